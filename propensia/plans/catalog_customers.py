@@ -1 +1,164 @@
-"""(filled below)"""
+"""Queries for the customer dimension, the date dimension, the source and
+sink connectors, and the dataset profile."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import functions as F
+
+from ..functions import calendar as cal
+from ..functions.columns import fill_missing_numeric
+from ..operators import customers as cu
+from ..operators.assemble import feature_columns_in_order
+from ..operators import profile as pr
+from ..session import scratch_path
+from ..sources import io
+from ..sources.fixtures import customer_updates, customers, internet
+from . import sqlgen as sg
+from .catalog import register
+from .catalog_assembly import _train_ctes, _filled, training_set
+from .catalog_evaluation import union_fact, _BASE as _EVAL_BASE, _UNION
+
+_CUST = sg.fixture_ctes("customers", "customer_updates")
+_ATTRS = ["first_name", "country", "city", "birth_date"]
+
+
+# ---------------------------------------------------------------------------- J8-J10
+
+
+@register("customers_update", "J8", sg.render(_CUST, "select t.cust_num, " + ", ".join(
+    f"case when u.cust_num is not null then u.{c} else t.{c} end as {c}" for c in _ATTRS) + """
+from customers t left join customer_updates u on t.cust_num = u.cust_num"""))
+def q_customers_update(spark, sf_dir):
+    return cu.customers_update(customers(spark, sf_dir), customer_updates(spark, sf_dir))
+
+
+@register("customers_new_only", "J9", sg.render(_CUST, """
+select * from customer_updates where cust_num not in (select cust_num from customers)"""))
+def q_customers_new_only(spark, sf_dir):
+    return cu.customers_new_only(customers(spark, sf_dir), customer_updates(spark, sf_dir))
+
+
+@register("customers_upsert", "J10", sg.render(_CUST, "select coalesce(u.cust_num, t.cust_num) as cust_num, " + ", ".join(
+    f"case when u.cust_num is not null then u.{c} else t.{c} end as {c}" for c in _ATTRS) + """
+from customers t full join customer_updates u on t.cust_num = u.cust_num"""))
+def q_customers_upsert(spark, sf_dir):
+    return cu.customers_upsert(customers(spark, sf_dir), customer_updates(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------- J11, J12, D1
+
+
+@register("fact_customer_star", "J11", sg.render(_EVAL_BASE + [_UNION] + sg.fixture_ctes("customers"), f"""
+select f.*, {', '.join('c.' + a for a in _ATTRS)} from fact f left join customers c on f.CUST_NUM = c.cust_num"""))
+def q_fact_customer_star(spark, sf_dir):
+    return cu.fact_customer_star(union_fact(spark, sf_dir), customers(spark, sf_dir))
+
+
+_DATES = ("dates", """select cast(d as date) as Date, cast(year(d) as integer) as Year,
+    cast(month(d) as integer) as MonthNo, strftime(d, '%B') as Month,
+    cast(quarter(d) as integer) as QuarterNo, 'Qtr ' || cast(quarter(d) as varchar) as Quarter,
+    cast(day(d) as integer) as Day
+  from (select unnest(generate_series(
+          make_date(cast(year(min(birth_date)) as integer), 1, 1),
+          make_date(cast(year(max(birth_date)) as integer), 12, 31), interval 1 day)) as d
+        from customers)""")
+
+
+@register("date_dimension", "D1", sg.render(sg.fixture_ctes("customers") + [_DATES], "select * from dates"))
+def q_date_dimension(spark, sf_dir):
+    return cal.date_dimension(customers(spark, sf_dir), "birth_date")
+
+
+@register("date_dim_join", "J12", sg.render(sg.fixture_ctes("customers") + [_DATES], """
+select c.*, d.Year, d.MonthNo, d.Month, d.QuarterNo, d.Quarter, d.Day
+from customers c left join dates d on c.birth_date = d.Date"""))
+def q_date_dim_join(spark, sf_dir):
+    dim = customers(spark, sf_dir)
+    return cu.date_dim_join(dim, cal.date_dimension(dim, "birth_date"))
+
+
+# ---------------------------------------------------------------------------- S1, S2, S4, S7
+
+
+@register("scan_typed", "S1", sg.render(sg.fixture_ctes("internet"), "select * from internet"))
+def q_scan_typed(spark, sf_dir):
+    """Land the internet source one folder per day, then scan it back with
+    the fixed schema through the day-folder glob."""
+    root = scratch_path(spark, "landing")
+    (internet(spark, sf_dir).withColumn("day", F.date_format("EVT_DT", "yyyyMMdd"))
+        .write.mode("overwrite").partitionBy("day").parquet(f"{root}/internet"))
+    return io.scan_typed(spark, "internet", root, timestamp_ntz=True, pattern="{root}/{source}/day=*/*.parquet")
+
+
+@register("csv_staging_load", "S2 S6", sg.render(sg.fixture_ctes("customer_updates"), "select * from customer_updates"))
+def q_csv_staging_load(spark, sf_dir):
+    path = scratch_path(spark, "customers_csv")
+    io.write_csv(customer_updates(spark, sf_dir), path)
+    return io.load_csv(spark, path)
+
+
+def _table_name(prefix: str, path: str) -> str:
+    return prefix + "_" + re.sub(r"[^0-9a-zA-Z]", "", path)[-10:]
+
+
+@register("table_roundtrip", "S3 S4 S5", sg.render(sg.fixture_ctes("customers"), "select * from customers"))
+def q_table_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "dim_customers")
+    return io.save_table(customers(spark, sf_dir), _table_name("dim_customers", path), path=path)
+
+
+@register("describe_table", "S7")
+def q_describe_table(spark, sf_dir):
+    path = scratch_path(spark, "dim_customers")
+    name = _table_name("dim_customers", path)
+    io.save_table(customers(spark, sf_dir), name, path=path)
+    return io.describe_table(spark, name)
+
+
+# ---------------------------------------------------------------------------- A7-A9
+
+_LABELLED_COLS = ["CUST_NUM", "MONTH", "YEAR"] + feature_columns_in_order() + ["TARGET_CHURN"]
+
+
+def _summary_sql() -> str:
+    casts = ", ".join(f"cast({c} as double) as {c}" for c in _LABELLED_COLS)
+    ctes = _train_ctes() + [
+        ("num", f"select {casts} from labelled"),
+        ("lng", f"unpivot num on {', '.join(_LABELLED_COLS)} into name column_name value v"),
+    ]
+    return sg.render(ctes, """
+select column_name, count(v) as count, round(avg(v), 6) as mean, round(stddev_samp(v), 6) as stddev,
+  min(v) as min, quantile_cont(v, 0.25) as p25, quantile_cont(v, 0.5) as p50,
+  quantile_cont(v, 0.75) as p75, max(v) as max
+from lng group by column_name""")
+
+
+@register("summary_stats", "A7", _summary_sql())
+def q_summary_stats(spark, sf_dir):
+    out = pr.summary_stats(training_set(spark, sf_dir))
+    return out.withColumnRenamed("column", "column_name")
+
+
+@register("null_share", "A8", sg.render(_train_ctes(), "select " + ", ".join(
+    f"avg(case when {c} is null then 1 else 0 end) as {c}" for c in _LABELLED_COLS) + " from labelled"))
+def q_null_share(spark, sf_dir):
+    return pr.null_share(training_set(spark, sf_dir))
+
+
+def _corr_sql() -> str:
+    cols = _LABELLED_COLS
+    items = []
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            items.append(f"{{'col1': '{a}', 'col2': '{b}', 'corr': case when var_pop({a}) > 0 and var_pop({b}) > 0 "
+                         f"then round(corr({a}, {b}), 2) end}}")
+    ctes = _train_ctes() + [("base", _filled("labelled")),
+                            ("lst", f"select [{', '.join(items)}] as l from base")]
+    return sg.render(ctes, "select unnest(l, recursive := true) from lst")
+
+
+@register("correlation_pairs", "A9", _corr_sql())
+def q_correlation_pairs(spark, sf_dir):
+    return pr.correlation_pairs(fill_missing_numeric(training_set(spark, sf_dir)), _LABELLED_COLS)
