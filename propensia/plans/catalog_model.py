@@ -1 +1,96 @@
-"""(filled below)"""
+"""Model queries: oversampling, training + scoring, importances, versions."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions.columns import cast_features, fill_missing_numeric
+from ..operators import evaluate as ev
+from ..operators import labels as lb
+from ..operators import model as ml
+from ..operators.assemble import feature_columns_in_order
+from ..session import scratch_path
+from ..sources.fixtures import scored
+from . import sqlgen as sg
+from .catalog import register
+from .catalog_assembly import _tables, training_set
+from ..operators import assemble as asm
+
+FEATURES = feature_columns_in_order()
+TARGET = "TARGET_CHURN"
+TRAIN_THRESHOLD = 0.01     # threshold of the training report
+SCORING_THRESHOLD = 0.16   # threshold of the scoring run
+QUERY_TREES = 5            # trees in the registered queries (the library default is 100)
+
+
+def model_frame(spark, sf_dir):
+    """Labelled training set, -1 fill, features as double, hash split."""
+    df = cast_features(fill_missing_numeric(training_set(spark, sf_dir, "CHURN")), FEATURES)
+    return lb.split_by_hash(df)
+
+
+def _fit(spark, sf_dir, oversample: bool = True):
+    df = model_frame(spark, sf_dir)
+    train = df.where(F.col("SPLIT") == "train").drop("SPLIT")
+    if oversample:
+        train = ml.oversample_minority(train, FEATURES, TARGET).drop("SYNTHETIC")
+    model = ml.train_gbt(train, FEATURES, TARGET, maxIter=QUERY_TREES)
+    return model, df
+
+
+@register("oversample_minority", "M4")
+def q_oversample_minority(spark, sf_dir):
+    df = model_frame(spark, sf_dir)
+    train = df.where(F.col("SPLIT") == "train").drop("SPLIT")
+    return ml.oversample_minority(train, FEATURES, TARGET)
+
+
+@register("train_and_score", "M5 M6 P15 P16 P17")
+def q_train_and_score(spark, sf_dir):
+    model, df = _fit(spark, sf_dir)
+    test = df.where(F.col("SPLIT") == "test").drop("SPLIT")
+    out = ev.apply_threshold(ml.score(model, test), TRAIN_THRESHOLD, pred_col="PREDICTION_CHURN")
+    return out.select("CUST_NUM", "YEAR", "MONTH", TARGET, "PREDICTION_CHURN", "y_proba",
+                      "THRESHOLD_USED", *FEATURES)
+
+
+@register("feature_importance", "M7 O3")
+def q_feature_importance(spark, sf_dir):
+    model, _ = _fit(spark, sf_dir)
+    pairs = ml.feature_importance(model, FEATURES)  # one value per feature
+    return spark.createDataFrame(pairs, "feature string, gain double").orderBy(F.desc("gain"), "feature")
+
+
+@register("score_latest_model", "M8 J7 M6 P16")
+def q_score_latest_model(spark, sf_dir):
+    """Train, register a version, load the latest version back and score the
+    scoring-window dataset with the scoring threshold."""
+    root = scratch_path(spark, "models")
+    model, _ = _fit(spark, sf_dir)
+    ml.register_model(spark, model, root, "churn_model")
+    latest = ml.load_latest(spark, root, "churn_model")
+    t = _tables(spark, sf_dir, "score")
+    scoring = asm.assemble(t.tv, t.internet, t.mobile, t.socio, t.journeys)
+    scoring = cast_features(fill_missing_numeric(scoring), FEATURES)
+    return ev.apply_threshold(ml.score(latest, scoring), SCORING_THRESHOLD, pred_col="PREDICTION_CHURN")
+
+
+def _registry(spark, sf_dir):
+    """One version per model and training month of the scored results."""
+    months = scored(spark, sf_dir).select("MODEL_TYPE", "YEAR", "MONTH").distinct()
+    w = Window.partitionBy("MODEL_TYPE").orderBy("YEAR", "MONTH")
+    name = F.concat(F.lower("MODEL_TYPE"), F.lit("_model"))
+    return months.select(name.alias("model_name"), F.dense_rank().over(w).cast("long").alias("version")) \
+        .withColumn("path", F.concat(F.lit("models/"), F.col("model_name"), F.lit("/v"), F.col("version").cast("string")))
+
+
+@register("latest_model_version", "M8", sg.render(sg.fixture_ctes("scored") + [
+    ("reg", """select lower(MODEL_TYPE) || '_model' as model_name,
+        dense_rank() over (partition by MODEL_TYPE order by YEAR, MONTH) as version
+      from (select distinct MODEL_TYPE, YEAR, MONTH from scored)""")], """
+select model_name, max(version) as version,
+  'models/' || model_name || '/v' || cast(max(version) as varchar) as path, 'last' as alias
+from reg group by model_name"""))
+def q_latest_model_version(spark, sf_dir):
+    return ml.latest_versions(_registry(spark, sf_dir))
