@@ -82,6 +82,22 @@ def source_months(df: DataFrame, date_col: str = "EVT_DT") -> SourceMonths:
     return SourceMonths(months)
 
 
+def sources_months(sources: dict[str, DataFrame], date_col: str = "EVT_DT") -> dict[str, SourceMonths]:
+    """``source_months`` of several sources in one job: the date columns are
+    unioned with a source tag and reduced to (source, distinct months), at
+    most sources x calendar months rows."""
+    from functools import reduce
+    parts = [df.select(F.lit(name).alias("src"), month_idx(date_col).alias("m"))
+             for name, df in sources.items()]
+    rows = (reduce(DataFrame.unionByName, parts).groupBy("src")
+            .agg(F.array_sort(F.collect_set("m")).alias("ms")).collect())
+    found = {r["src"]: tuple(int(m) for m in r["ms"]) for r in rows if r["ms"]}
+    missing = [n for n in sources if n not in found]
+    if missing:
+        raise ValueError(f"sources without dated rows: {missing}")
+    return {n: SourceMonths(found[n]) for n in sources}
+
+
 def month_range_filter(df: DataFrame, first_month: int, last_month: int,
                        date_col: str = "EVT_DT") -> DataFrame:
     """Rows whose month lies in [first_month, last_month], as a pushed range."""

@@ -5,7 +5,11 @@ groups here are few and large (three models, 27 category-months), so one of
 them can hold a third of all rows. Instead:
 
 1. ``repartitionByRange`` on (group, order) spreads every group over many
-   range partitions whose sizes come from Spark's sample of the keys;
+   range partitions whose sizes come from Spark's sample of the keys; the
+   sorted partitions are checkpointed once to the shared checkpoint folder,
+   so every later branch reads the very same partitions (two evaluations of
+   a range exchange would sample different boundaries) and a lost executor
+   does not change them;
 2. inside each partition, already sorted, a vectorised pass computes running
    sums per group (``mapInPandas``, Arrow batches, state carried across
    batches);
@@ -27,6 +31,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 _PID = "_rk_pid"
 
 
@@ -93,15 +99,16 @@ def prefix_sums(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[
     local_names = [f"_rk_loc_{w}" for w in weight_cols]
     n = _num_partitions(df, num_partitions)
     sort = _sort_exprs(group_cols, order)
-    ranged = (df.repartitionByRange(n, *sort)
-                .sortWithinPartitions(*sort)
+    ensure_checkpoint_dir(df.sparkSession)
+    ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+                .checkpoint(eager=True)
                 .withColumn(_PID, F.spark_partition_id()))
     out_schema = T.StructType(ranged.schema.fields + [
         T.StructField(c, T.DoubleType(), False) for c in local_names])
     local = ranged.mapInPandas(_local_running_sums(group_cols, weight_cols, local_names),
                                schema=out_schema)
 
-    blocks = local.groupBy(_PID, *group_cols).agg(
+    blocks = ranged.groupBy(_PID, *group_cols).agg(
         *[F.sum(F.col(w).cast("double")).alias(f"_rk_blk_{w}") for w in weight_cols])
     before_w = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(
         Window.unboundedPreceding, -1)

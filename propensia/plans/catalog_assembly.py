@@ -30,8 +30,8 @@ CHURN_WEIGHTS = {
 CHURN_QUANTILE = 0.97
 
 
-def _tables(spark, sf_dir, mode):
-    return fs.build_feature_tables(fs.fixture_sources(spark, sf_dir), mode)
+def _tables(spark, sf_dir, mode, with_requests=False):
+    return fs.build_feature_tables(fs.fixture_sources(spark, sf_dir), mode, with_requests=with_requests)
 
 
 def all_requests(spark, sf_dir):
@@ -113,7 +113,7 @@ def q_requests_left_join(spark, sf_dir):
     sg.feature_set_ctes("train") + sg.fixture_ctes("requests")
     + sg.requests_ctes("requests", "train", "f_requests"), sg.assembled_select(True)))
 def q_assemble_training(spark, sf_dir):
-    t = _tables(spark, sf_dir, "train")
+    t = _tables(spark, sf_dir, "train", with_requests=True)
     return asm.assemble(t.tv, t.internet, t.mobile, t.socio, t.journeys, t.requests)
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.calendar import SourceMonths, source_months
+from ..functions.calendar import SourceMonths, source_months, sources_months
 from ..operators import features as fx
 from ..sources import fixtures
 
@@ -24,7 +24,7 @@ class FeatureTables:
     mobile: DataFrame
     socio: DataFrame
     journeys: DataFrame
-    requests: DataFrame
+    requests: DataFrame | None
 
     def as_dict(self) -> dict[str, DataFrame]:
         return dict(internet=self.internet, tv=self.tv, mobile=self.mobile, socio=self.socio,
@@ -64,12 +64,21 @@ def requests_table(raw: DataFrame, mode: str, months: SourceMonths | None = None
 
 
 def build_feature_tables(sources: dict[str, DataFrame], mode: str,
-                         months: SourceMonths | None = None) -> FeatureTables:
+                         months: SourceMonths | None = None,
+                         with_requests: bool = True) -> FeatureTables:
+    """All feature tables of one run. Without a common calendar, each
+    source keeps its own (as the reference), found for all sources in one
+    job."""
+    names = ["internet", "tv", "mobile", "socio_demo", "journeys"] + (["requests"] if with_requests else [])
+    if months is None:
+        cal = sources_months({n: sources[n] for n in names})
+    else:
+        cal = {n: months for n in names}
     return FeatureTables(
-        internet=internet_table(sources["internet"], mode, months),
-        tv=tv_table(sources["tv"], mode, months),
-        mobile=mobile_table(sources["mobile"], mode, months),
-        socio=socio_table(sources["socio_demo"], mode, months),
-        journeys=journeys_table(sources["journeys"], mode, months),
-        requests=requests_table(sources["requests"], mode, months),
+        internet=internet_table(sources["internet"], mode, cal["internet"]),
+        tv=tv_table(sources["tv"], mode, cal["tv"]),
+        mobile=mobile_table(sources["mobile"], mode, cal["mobile"]),
+        socio=socio_table(sources["socio_demo"], mode, cal["socio_demo"]),
+        journeys=journeys_table(sources["journeys"], mode, cal["journeys"]),
+        requests=requests_table(sources["requests"], mode, cal["requests"]) if with_requests else None,
     )
