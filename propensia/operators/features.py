@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import (SourceMonths, month_idx, month_range_filter,
                                   standardize_events, year_of, month_of)
 from ..functions.ranking import with_percent_rank
+from ..session import materialize
 from ..sources.fixtures import CONTACT_TYPES, TV_PROGRAMS, WEBSITE_TYPES
 
 KEYS = ["CUST_NUM", "MONTH", "YEAR"]
@@ -135,7 +136,8 @@ def pivot_max(df: DataFrame, keys: Sequence[str], category_col: str, categories:
 def usage_features(raw: DataFrame, spec: UsageSpec, window: MonthWindow) -> DataFrame:
     """A2: monthly usage, rank and pivot into the wide per-customer-month table."""
     ev = standardize_events(window.apply(raw), spec.duration_col)
-    monthly = usage_monthly(ev, spec.category_col, spec.duration_col)
+    # written once: it feeds both the rank table and the join back
+    monthly = materialize(usage_monthly(ev, spec.category_col, spec.duration_col))
     rank_col = f"{spec.prefix}_RANK"
     ranked = usage_rank(monthly, spec.category_col, rank_col)
     p = spec.prefix

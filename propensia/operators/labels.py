@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import month_idx_of, shift_months
 from ..functions.ranking import value_ranks
+from ..session import materialize
 
 KEYS = ["CUST_NUM", "YEAR", "MONTH"]
 
@@ -94,6 +95,7 @@ def propensity_label(df: DataFrame, weights: Mapping[str, float], quantile: floa
     small row per group, joined back."""
     g = list(group_cols)
     cols = list(weights)
+    df = materialize(df)  # read by the statistics, the scaling and the quantile
     stats = df.groupBy(*g).agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols],
                                *[F.stddev_pop(c).alias(f"_sd_{c}") for c in cols])
     z = df.join(stats, on=g, how="inner")

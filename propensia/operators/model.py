@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ranking import with_row_number
+from ..session import materialize
 
 # The classifier's hyper-parameters (100 trees, rate 0.1,
 # depth 6, row and column sampling 0.8, seed 42).
@@ -94,6 +95,7 @@ def oversample_minority(df: DataFrame, feature_cols: Sequence[str], label_col: s
     floor or ceil of (majority - minority) / minority synthetic rows.
     """
     feats = list(feature_cols)
+    df = materialize(df)  # counted, profiled, ordered and unioned
     counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}  # two rows
     n_min, n_maj = counts.get(1, 0), counts.get(0, 0)
     marked = df.withColumn(synthetic_col, F.lit(0))

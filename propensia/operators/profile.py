@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ranking import value_ranks
+from ..session import materialize
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -47,6 +48,7 @@ def summary_stats(df: DataFrame, columns: Sequence[str] | None = None, digits: i
     sample stddev, min, exact 25/50/75 % (linear), max. Mean and stddev are
     rounded to ``digits`` so that summation order cannot change them."""
     cols = list(columns or numeric_columns(df))
+    df = materialize(df)  # read by the moments and by the quantiles
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "column", "value")
     basic = long.groupBy("column").agg(
@@ -77,7 +79,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None, digit
     set is profiled after the -1 fill).
     """
     cols = list(columns or numeric_columns(df))
-    x = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    x = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))  # two passes
     means = x.agg(*[F.avg(c).alias(c) for c in cols]).first()
     d = x.select(*[(F.col(c) - F.lit(means[c])).alias(c) for c in cols])
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]

@@ -10,7 +10,7 @@ from ..operators import evaluate as ev
 from ..operators import labels as lb
 from ..operators import model as ml
 from ..operators.assemble import feature_columns_in_order
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources.fixtures import scored
 from . import sqlgen as sg
 from .catalog import register
@@ -27,7 +27,7 @@ QUERY_TREES = 5            # trees in the registered queries (the library defaul
 def model_frame(spark, sf_dir):
     """Labelled training set, -1 fill, features as double, hash split."""
     df = cast_features(fill_missing_numeric(training_set(spark, sf_dir, "CHURN")), FEATURES)
-    return lb.split_by_hash(df)
+    return materialize(lb.split_by_hash(df))
 
 
 def _fit(spark, sf_dir, oversample: bool = True):

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins from runtime sizes (so a
 # small side becomes a broadcast only when it is measured small) and splits
@@ -24,6 +24,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of garbage-collected frames are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -54,6 +56,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return cur
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate once (eager reliable checkpoint in the shared
+    checkpoint folder) when it feeds several branches: the upstream scans and
+    shuffles then run once, and a lost executor re-reads the files instead of
+    recomputing from the raw sources."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for one job's output."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
