@@ -65,11 +65,13 @@ def requests_table(raw: DataFrame, mode: str, months: SourceMonths | None = None
 
 def build_feature_tables(sources: dict[str, DataFrame], mode: str,
                          months: SourceMonths | None = None,
-                         with_requests: bool = True) -> FeatureTables:
+                         with_requests: bool = True, dedupe: bool = False) -> FeatureTables:
     """All feature tables of one run. Without a common calendar, each
     source keeps its own (as the reference), found for all sources in one
-    job."""
+    job. ``dedupe`` drops exact duplicate events first (H1)."""
     names = ["internet", "tv", "mobile", "socio_demo", "journeys"] + (["requests"] if with_requests else [])
+    if dedupe:
+        sources = {n: fx.dedupe_events(df) if n in names else df for n, df in sources.items()}
     if months is None:
         cal = sources_months({n: sources[n] for n in names})
     else:
