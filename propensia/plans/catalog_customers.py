@@ -130,15 +130,16 @@ def _summary_sql() -> str:
     ]
     return sg.render(ctes, """
 select column_name, count(v) as count, round(avg(v), 6) as mean, round(stddev_samp(v), 6) as stddev,
-  min(v) as min, quantile_cont(v, 0.25) as p25, quantile_cont(v, 0.5) as p50,
-  quantile_cont(v, 0.75) as p75, max(v) as max
+  min(v) as min, round(quantile_cont(v, 0.25), 6) as p25, round(quantile_cont(v, 0.5), 6) as p50,
+  round(quantile_cont(v, 0.75), 6) as p75, max(v) as max
 from lng group by column_name""")
 
 
 @register("summary_stats", "A7", _summary_sql())
 def q_summary_stats(spark, sf_dir):
     out = pr.summary_stats(training_set(spark, sf_dir))
-    return out.withColumnRenamed("column", "column_name")
+    return out.select(F.col("column").alias("column_name"), "count", "mean", "stddev", "min",
+                      *[F.round(c, 6).alias(c) for c in ("p25", "p50", "p75")], "max")
 
 
 @register("null_share", "A8", sg.render(_train_ctes(), "select " + ", ".join(

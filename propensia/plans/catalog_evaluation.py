@@ -262,11 +262,12 @@ def q_report_lift(spark, sf_dir):
 
 
 @register("report_auc", "W7", sql("""
-select MODEL_TYPE, sum(a) as AUC from (
+select MODEL_TYPE, round(sum(a), 9) as AUC from (
   select MODEL_TYPE, case when lead(Running_FPR) over w is not null
       then (lead(Running_FPR) over w - Running_FPR) * (Running_Recall + lead(Running_Recall) over w) / 2
       else 0.0 end as a
   from rlift window w as (partition by MODEL_TYPE order by Decile))
 group by MODEL_TYPE""", *_report_lift_ctes()))
 def q_report_auc(spark, sf_dir):
-    return ev.report_auc(ev.report_lift(ev.report_tiles(_fact_r(spark, sf_dir))))
+    auc = ev.report_auc(ev.report_lift(ev.report_tiles(_fact_r(spark, sf_dir))))
+    return auc.select("MODEL_TYPE", F.round("AUC", 9).alias("AUC"))  # order-free digits only
