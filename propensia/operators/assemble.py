@@ -10,6 +10,8 @@ reference's behaviour is asked for.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +41,39 @@ def _left(df: DataFrame, other: DataFrame, cols: list[str]) -> DataFrame:
 def assemble(tv: DataFrame, internet: DataFrame, mobile: DataFrame, socio: DataFrame,
              journeys: DataFrame, requests: DataFrame | None = None) -> DataFrame:
     """J6 (with ``requests``) / J7 (without): one row per customer-month of
-    usage, 58 feature and key columns, plus EVENT_TYPE for J6."""
+    usage, 58 feature and key columns, plus EVENT_TYPE for J6.
+
+    Same rows as ``TV FULL JOIN internet LEFT JOIN socio LEFT JOIN journeys``,
+    computed as a union and one aggregate: every input has at most one row
+    per key, so ``max`` per column picks that row's value, and a flag keeps
+    the keys present in TV or internet. The inputs come out of aggregates
+    hash-partitioned on the same keys, and the union keeps that
+    partitioning, so the merge adds no shuffle (the join chain re-shuffles
+    after the full join, whose coalesced keys Spark cannot track). Mobile is
+    keyed by customer only (its month is the customer's latest), so it is
+    left-joined after the merge; only its narrow rows move.
+    """
+    tv_cols, it_cols = usage_feature_columns(TV), usage_feature_columns(INTERNET)
+    parts = [(tv, tv_cols, 1), (internet, it_cols, 1), (socio, SOCIO_SELECTED, 0),
+             (journeys, JOURNEY_SELECTED, 0)]
+    tagged = [df.select(*OUT_KEYS, *cols, F.lit(flag).alias("_usage")) for df, cols, flag in parts]
+    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    value_cols = tv_cols + it_cols + SOCIO_SELECTED + JOURNEY_SELECTED
+    merged = (merged.groupBy(*OUT_KEYS)
+              .agg(*[F.max(c).alias(c) for c in value_cols], F.max("_usage").alias("_usage"))
+              .where(F.col("_usage") == 1).drop("_usage"))
+    df = _left(merged, mobile, MOBILE_COLUMNS)
+    cols = OUT_KEYS + feature_columns_in_order()
+    if requests is not None:
+        df = requests_left_join(df, requests)
+        cols.append("EVENT_TYPE")
+    return df.select(*cols)
+
+
+def assemble_by_joins(tv: DataFrame, internet: DataFrame, mobile: DataFrame, socio: DataFrame,
+                      journeys: DataFrame, requests: DataFrame | None = None) -> DataFrame:
+    """The same result as ``assemble`` written as the reference's join chain
+    (kept for comparison and tests)."""
     df = usage_full_join(tv, internet)
     df = _left(df, mobile, MOBILE_COLUMNS)
     df = _left(df, socio, SOCIO_SELECTED)

@@ -125,3 +125,15 @@ def test_unpivot_requests_drops_recent(spark):
                                  "CUST_NUM long, date date, churn_target int, sport_target int")
     out = lb.unpivot_requests(wide, {"churn_target": "CHURN REQUEST", "sport_target": "SPORT REQUEST"}).collect()
     assert [(r.CUST_NUM, r.EVENT_TYPE) for r in out] == [(1, "CHURN REQUEST")]
+
+
+def test_union_merge_assembly_equals_join_chain(spark):
+    from propensia.plans.featureset import build_feature_tables, fixture_sources
+    from tests.conftest import SF001
+    t = build_feature_tables(fixture_sources(spark, SF001), "train")
+    for req in (None, t.requests):
+        a = asm.assemble(t.tv, t.internet, t.mobile, t.socio, t.journeys, req)
+        b = asm.assemble_by_joins(t.tv, t.internet, t.mobile, t.socio, t.journeys, req)
+        assert a.columns == b.columns
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
