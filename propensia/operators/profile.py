@@ -10,6 +10,9 @@ from __future__ import annotations
 
 from typing import Sequence
 
+import numpy as np
+import pandas as pd
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,29 +72,41 @@ def null_share(df: DataFrame) -> DataFrame:
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 2) -> DataFrame:
     """Pearson correlation of every pair of numeric columns (upper
-    triangle), rounded, as a long table.
-
-    Two aggregate passes, each one row (map-side combined): the column means
-    (one value per column, bounded by the schema, used as literals), then the
-    centred sums of squares and of products for all pairs. Centring keeps a
-    constant column at exactly zero variance, which gives a null
-    correlation. The frame must have no nulls in these columns (the training
-    set is profiled after the -1 fill).
+    triangle), rounded, as a long table ``(col1, col2, corr)``.
+
+    Two passes over the data. First the column means (one value per
+    column, bounded by the schema). Then every task accumulates the centred
+    cross-product matrix of its rows in numpy (``a.T @ a`` over Arrow
+    batches) and emits one row per upper-triangle cell; Spark sums the cells
+    over tasks (map-side combined, at most k(k+1)/2 groups). A wide
+    aggregate with one expression per pair would instead grow the plan with
+    the square of the column count. Centring keeps a constant column at
+    exactly zero variance, which gives a null correlation. The frame must
+    have no nulls in these columns (the training set is profiled after the
+    -1 fill).
     """
     cols = list(columns or numeric_columns(df))
+    k = len(cols)
     x = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))  # two passes
-    means = x.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    d = x.select(*[(F.col(c) - F.lit(means[c])).alias(c) for c in cols])
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    aggs = [F.sum(F.col(c) * F.col(c)).alias(f"v{i}") for i, c in enumerate(cols)]
-    aggs += [F.sum(F.col(a) * F.col(b)).alias(f"c{k}") for k, (a, b) in enumerate(pairs)]
-    sums = d.agg(*aggs)
-    idx = {c: i for i, c in enumerate(cols)}
-
-    def corr(k: int, a: str, b: str):
-        va, vb = F.col(f"v{idx[a]}"), F.col(f"v{idx[b]}")
-        return F.when((va > 0) & (vb > 0), F.col(f"c{k}") / F.sqrt(va * vb))
-
-    rows = F.array(*[F.struct(F.lit(a).alias("col1"), F.lit(b).alias("col2"),
-                              F.round(corr(k, a, b), digits).alias("corr")) for k, (a, b) in enumerate(pairs)])
-    return sums.select(F.inline(rows))
+    row = x.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    mu = np.array([row[c] if row[c] is not None else 0.0 for c in cols], dtype="float64")
+    iu, ju = np.triu_indices(k)
+
+    def cross_products(batches):
+        acc = np.zeros((k, k), dtype="float64")
+        for pdf in batches:
+            a = pdf[cols].to_numpy(dtype="float64") - mu
+            acc += a.T @ a
+        yield pd.DataFrame({"i": iu.astype("int32"), "j": ju.astype("int32"), "s": acc[iu, ju]})
+
+    cells = (x.mapInPandas(cross_products, "i int, j int, s double")
+              .groupBy("i", "j").agg(F.sum("s").alias("s")))
+    var = cells.where(F.col("i") == F.col("j")).select("i", F.col("s").alias("v"))
+    va, vb = var.select(F.col("i").alias("i"), F.col("v").alias("va")), var.select(
+        F.col("i").alias("j"), F.col("v").alias("vb"))
+    names = F.array(*[F.lit(c) for c in cols])
+    corr = F.when((F.col("va") > 0) & (F.col("vb") > 0), F.col("s") / F.sqrt(F.col("va") * F.col("vb")))
+    return (cells.where(F.col("i") < F.col("j")).join(va, "i").join(vb, "j")
+            .select(F.element_at(names, F.col("i") + 1).alias("col1"),
+                    F.element_at(names, F.col("j") + 1).alias("col2"),
+                    F.round(corr, digits).alias("corr")))

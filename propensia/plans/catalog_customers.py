@@ -84,12 +84,17 @@ def q_date_dim_join(spark, sf_dir):
 
 @register("scan_typed", "S1", sg.render(sg.fixture_ctes("internet"), "select * from internet"))
 def q_scan_typed(spark, sf_dir):
-    """Land the internet source one folder per day, then scan it back with
-    the fixed schema through the day-folder glob."""
+    """Land the internet source in the source system's layout, one folder per
+    generation batch (``history``: every day before the last, ``live``: the
+    last day), then scan it back with the fixed schema through the one-level
+    ``<source>/*/<source>.parquet`` glob."""
     root = scratch_path(spark, "landing")
-    (internet(spark, sf_dir).withColumn("day", F.date_format("EVT_DT", "yyyyMMdd"))
-        .write.mode("overwrite").partitionBy("day").parquet(f"{root}/internet"))
-    return io.scan_typed(spark, "internet", root, timestamp_ntz=True, pattern="{root}/{source}/day=*/*.parquet")
+    events = internet(spark, sf_dir)
+    last_day = events.agg(F.max(F.to_date("EVT_DT"))).first()[0]
+    live = F.to_date("EVT_DT") == F.lit(last_day)
+    for batch, cond in (("history", ~live), ("live", live)):
+        events.where(cond).write.mode("overwrite").parquet(f"{root}/internet/{batch}/internet.parquet")
+    return io.scan_typed(spark, "internet", root, timestamp_ntz=True)
 
 
 @register("csv_staging_load", "S2 S6", sg.render(sg.fixture_ctes("customer_updates"), "select * from customer_updates"))
