@@ -137,3 +137,15 @@ def test_union_merge_assembly_equals_join_chain(spark):
         assert a.columns == b.columns
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_requests_fan_out_hot_key_is_whole(spark):
+    base = spark.createDataFrame([(1, 2024, 1), (2, 2024, 1), (3, 2024, 2)], "CUST_NUM long, YEAR int, MONTH int")
+    rows = [(1, 2024, 1, "CHURN REQUEST")] * 103 + [(1, 2024, 1, "SPORT REQUEST")] * 5 \
+        + [(2, 2024, 1, "CHURN REQUEST")] * 2
+    req = spark.createDataFrame(rows, "CUST_NUM long, YEAR int, MONTH int, EVENT_TYPE string")
+    out = asm.requests_left_join(base, req, chunk=7)
+    naive = base.join(req, ["CUST_NUM", "YEAR", "MONTH"], "left")
+    assert out.count() == 103 + 5 + 2 + 1
+    assert out.exceptAll(naive.select(*out.columns)).count() == 0
+    assert naive.select(*out.columns).exceptAll(out).count() == 0
