@@ -53,3 +53,21 @@ def test_prefix_sums_weights(spark):
     df = spark.createDataFrame([(1, 10, 2), (1, 20, 3), (1, 30, 5), (2, 5, 7)], "g int, v int, w int")
     rows = {(r.g, r.v): (r.w_before, r.w_total) for r in rk.prefix_sums(df, ["g"], [("v", True)], ["w"], 3).collect()}
     assert rows == {(1, 10): (0, 10), (1, 20): (2, 10), (1, 30): (5, 10), (2, 5): (0, 7)}
+
+
+@pytest.mark.parametrize("key", ["split_by_hash", "score_tiles", "model_rank", "report_tiles"])
+def test_queries_scale_invariant(spark, key):
+    """SURVEY §5.4: the same answer under 1, 4 and 200 shuffle partitions."""
+    from propensia.plans.catalog import load_all
+    from tests.conftest import SF001
+    q = load_all()[key]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for n in (1, 4, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            df = q.build(spark, SF001)
+            results.append(sorted(tuple(r) for r in df.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] and results[0] == results[1] == results[2]
