@@ -14,6 +14,7 @@ total without a second aggregate or a self-join.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -106,9 +107,10 @@ def usage_monthly(events: DataFrame, category_col: str, duration_col: str) -> Da
         days_in_mask(F.bit_or(day_mask("EVT_DT"))).alias("NB_DAYS_USAGE_L3M"))
 
 
-def usage_rank(monthly: DataFrame, category_col: str, rank_col: str) -> DataFrame:
+def usage_rank(monthly: DataFrame, category_col: str, rank_col: str,
+               extra_group: Sequence[str] = ()) -> DataFrame:
     """``int(percent_rank * 99 + 1)`` of duration inside (category, month)."""
-    ranked = with_percent_rank(monthly, [category_col, "MONTH", "YEAR"], "DURATION_L3M", "_PR")
+    ranked = with_percent_rank(monthly, [*extra_group, category_col, "MONTH", "YEAR"], "DURATION_L3M", "_PR")
     return ranked.withColumn(rank_col, (F.col("_PR") * 99 + 1).cast("int")).drop("_PR")
 
 
@@ -135,17 +137,34 @@ def pivot_max(df: DataFrame, keys: Sequence[str], category_col: str, categories:
 
 def usage_features(raw: DataFrame, spec: UsageSpec, window: MonthWindow) -> DataFrame:
     """A2: monthly usage, rank and pivot into the wide per-customer-month table."""
-    ev = standardize_events(window.apply(raw), spec.duration_col)
-    # written once: it feeds both the rank table and the join back
-    monthly = materialize(usage_monthly(ev, spec.category_col, spec.duration_col))
-    rank_col = f"{spec.prefix}_RANK"
-    ranked = usage_rank(monthly, spec.category_col, rank_col)
-    p = spec.prefix
-    aggs = pivot_max(ranked, KEYS, spec.category_col, spec.categories, [
-        ("DURATION_L3M", p + "_DURATION_{cat}_L3M_SECONDES"),
-        ("NB_DAYS_USAGE_L3M", p + "_DURATION_{cat}_L3M_DAYS"),
-        (rank_col, p + "_RANK_{cat}_L3M")])
-    return ranked.groupBy(*KEYS).agg(*aggs)
+    return usage_features_many([(raw, spec, window)])[0]
+
+
+def usage_features_many(parts: Sequence[tuple[DataFrame, UsageSpec, MonthWindow]]) -> list[DataFrame]:
+    """A2 for several usage sources at once (internet and TV).
+
+    The sources' monthly aggregates are unioned with a source number and
+    written once (the table feeds both the ranks and the join back), and
+    one ranking pass serves all of them, the source being part of the rank
+    group; each source's ranks are those it would get alone. One source's
+    feature table is then its slice, pivoted."""
+    monthly = []
+    for i, (raw, spec, window) in enumerate(parts):
+        ev = standardize_events(window.apply(raw), spec.duration_col)
+        monthly.append(usage_monthly(ev, spec.category_col, spec.duration_col).select(
+            F.lit(i).alias("_src"), "CUST_NUM", F.col(spec.category_col).alias("_cat"),
+            "MONTH", "YEAR", "DURATION_L3M", "NB_DAYS_USAGE_L3M"))
+    allm = materialize(reduce(lambda a, b: a.unionByName(b), monthly))
+    ranked = usage_rank(allm, "_cat", "_RANK", extra_group=["_src"])
+    outs = []
+    for i, (_, spec, _) in enumerate(parts):
+        p = spec.prefix
+        aggs = pivot_max(ranked.where(F.col("_src") == i), KEYS, "_cat", spec.categories, [
+            ("DURATION_L3M", p + "_DURATION_{cat}_L3M_SECONDES"),
+            ("NB_DAYS_USAGE_L3M", p + "_DURATION_{cat}_L3M_DAYS"),
+            ("_RANK", p + "_RANK_{cat}_L3M")])
+        outs.append(ranked.where(F.col("_src") == i).groupBy(*KEYS).agg(*aggs))
+    return outs
 
 
 def usage_rolling_3m(raw: DataFrame, spec: UsageSpec, window: MonthWindow) -> DataFrame:

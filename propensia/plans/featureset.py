@@ -76,9 +76,12 @@ def build_feature_tables(sources: dict[str, DataFrame], mode: str,
         cal = sources_months({n: sources[n] for n in names})
     else:
         cal = {n: months for n in names}
+    internet, tv = fx.usage_features_many([
+        (sources["internet"], fx.INTERNET, fx.l3m_window(cal["internet"], mode)),
+        (sources["tv"], fx.TV, fx.l3m_window(cal["tv"], mode))])
     return FeatureTables(
-        internet=internet_table(sources["internet"], mode, cal["internet"]),
-        tv=tv_table(sources["tv"], mode, cal["tv"]),
+        internet=internet,
+        tv=tv,
         mobile=mobile_table(sources["mobile"], mode, cal["mobile"]),
         socio=socio_table(sources["socio_demo"], mode, cal["socio_demo"]),
         journeys=journeys_table(sources["journeys"], mode, cal["journeys"]),
