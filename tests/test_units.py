@@ -149,3 +149,20 @@ def test_requests_fan_out_hot_key_is_whole(spark):
     assert out.count() == 103 + 5 + 2 + 1
     assert out.exceptAll(naive.select(*out.columns)).count() == 0
     assert naive.select(*out.columns).exceptAll(out).count() == 0
+
+
+def test_correlation_pairs_match_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=400)
+    b = 0.6 * a + rng.normal(size=400)
+    d = -a + 0.1 * rng.normal(size=400)
+    rows = [(float(x), float(y), 5.0, float(z)) for x, y, z in zip(a, b, d)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(5)
+    got = {(r.col1, r.col2): r.corr for r in pr.correlation_pairs(df, digits=4).collect()}
+    m = np.corrcoef(np.vstack([a, b, d]))
+    want = {("a", "b"): m[0, 1], ("a", "d"): m[0, 2], ("b", "d"): m[1, 2]}
+    assert len(got) == 6
+    for k, v in want.items():
+        assert abs(got[k] - round(v, 4)) < 1e-9
+    assert got[("a", "c")] is None and got[("b", "c")] is None and got[("c", "d")] is None
