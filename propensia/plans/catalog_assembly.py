@@ -8,7 +8,7 @@ from ..functions import calendar as cal
 from ..functions.columns import cast_features, fill_missing_numeric
 from ..operators import assemble as asm
 from ..operators import labels as lb
-from ..sources.fixtures import FIXTURE_SQL, requests as requests_fixture
+from ..sources.fixtures import requests as requests_fixture
 from . import featureset as fs
 from . import sqlgen as sg
 from .catalog import register
@@ -93,7 +93,8 @@ from f_tv t full join f_internet i
   on t.CUST_NUM = i.CUST_NUM and t.YEAR = i.YEAR and t.MONTH = i.MONTH"""))
 def q_usage_full_join(spark, sf_dir):
     src = fs.fixture_sources(spark, sf_dir)
-    return asm.usage_full_join(fs.tv_table(src["tv"], "train"), fs.internet_table(src["internet"], "train"))
+    internet, tv = fs.usage_tables(src, "train")
+    return asm.usage_full_join(tv, internet)
 
 
 @register("requests_left_join", "J3", sg.render(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..operators import features as fx
 from ..sources import fixtures
-from ..sources.fixtures import EVENT_SOURCES, FIXTURE_SQL
+from ..sources.fixtures import EVENT_SOURCES
 from . import featureset as fs
 from . import sqlgen as sg
 from .catalog import register

@@ -47,6 +47,16 @@ def tv_table(raw: DataFrame, mode: str, months: SourceMonths | None = None) -> D
     return fx.usage_features(raw, fx.TV, fx.l3m_window(_months(raw, months), mode))
 
 
+def usage_tables(sources: dict[str, DataFrame], mode: str,
+                 cal: dict[str, SourceMonths] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Internet and TV feature tables from one shared ranking pass."""
+    cal = cal or sources_months({n: sources[n] for n in ("internet", "tv")})
+    internet, tv = fx.usage_features_many([
+        (sources["internet"], fx.INTERNET, fx.l3m_window(cal["internet"], mode)),
+        (sources["tv"], fx.TV, fx.l3m_window(cal["tv"], mode))])
+    return internet, tv
+
+
 def journeys_table(raw: DataFrame, mode: str, months: SourceMonths | None = None) -> DataFrame:
     return fx.journey_features(raw, fx.l3m_window(_months(raw, months), mode))
 
@@ -76,9 +86,7 @@ def build_feature_tables(sources: dict[str, DataFrame], mode: str,
         cal = sources_months({n: sources[n] for n in names})
     else:
         cal = {n: months for n in names}
-    internet, tv = fx.usage_features_many([
-        (sources["internet"], fx.INTERNET, fx.l3m_window(cal["internet"], mode)),
-        (sources["tv"], fx.TV, fx.l3m_window(cal["tv"], mode))])
+    internet, tv = usage_tables(sources, mode, cal)
     return FeatureTables(
         internet=internet,
         tv=tv,
