@@ -166,3 +166,18 @@ def test_correlation_pairs_match_numpy(spark):
     for k, v in want.items():
         assert abs(got[k] - round(v, 4)) < 1e-9
     assert got[("a", "c")] is None and got[("b", "c")] is None and got[("c", "d")] is None
+
+
+def test_shared_usage_pass_equals_single_source(spark):
+    from propensia.functions.calendar import sources_months
+    from propensia.plans.featureset import fixture_sources
+    from tests.conftest import SF001
+    src = fixture_sources(spark, SF001)
+    cal = sources_months({n: src[n] for n in ("internet", "tv")})
+    parts = [(src["internet"], fx.INTERNET, fx.l3m_window(cal["internet"], "train")),
+             (src["tv"], fx.TV, fx.l3m_window(cal["tv"], "train"))]
+    shared = fx.usage_features_many(parts)
+    for (raw, spec, win), got in zip(parts, shared):
+        alone = fx.usage_features(raw, spec, win)
+        assert got.columns == alone.columns and got.count() == alone.count() > 0
+        assert got.exceptAll(alone).count() == 0 and alone.exceptAll(got).count() == 0
