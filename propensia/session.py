@@ -8,6 +8,7 @@ A default is only installed when the setting is absent (local runs and tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -45,17 +46,31 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, installing a local one only if unset."""
+    """Return the shared checkpoint folder. Only a local master gets a default:
+    a machine-local folder on a cluster would hide files from other executors."""
+    sc = spark.sparkContext
+    share_code(spark)
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cur = os.path.join(tempfile.gettempdir(), f"propensia-ckpt-{uuid.uuid4().hex[:8]}")
         spark.conf.set("spark.checkpoint.dir", cur)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(cur)
     return cur
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it (a
+    shared folder); clusters without one ship it with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write an intermediate once (eager reliable checkpoint in the shared
     checkpoint folder) when it feeds several branches: the upstream scans and
