@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import slices
-from .vocab import ChunkTable, chunk_text, space_chunks
+from .vocab import ChunkTable, chunk_text, runs, space_chunks
 
 
 def byte_to_char() -> list[str]:
@@ -58,7 +58,7 @@ class ByteBPE:
         self.library = Tokenizer(models.BPE(vocab={n: i for i, n in enumerate(name)}, merges=merges, ignore_merges=True))
         self.library.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.Split(Regex(pattern), "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.table = ChunkTable(lambda chunks: [e.ids for e in self.library.encode_batch_fast([*map(chunk_text, chunks)], add_special_tokens=False)])
+        self.table = ChunkTable(lambda chunks: runs(chunks, [e.ids for e in self.library.encode_batch_fast([*map(chunk_text, chunks)], add_special_tokens=False)]))
         self.lens = np.array([len(t) for t in self.tokens], np.int64)
         self.starts = np.cumsum(self.lens) - self.lens
         self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)

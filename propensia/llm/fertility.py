@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import slices
-from .vocab import ChunkTable
+from .vocab import ChunkTable, runs
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -92,7 +92,7 @@ def _pieces(model: str) -> tuple[ChunkTable, np.ndarray]:
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
-    table = ChunkTable(lambda words: sp.encode([w.decode() for w in words], num_threads=1))
+    table = ChunkTable(lambda words: runs(words, sp.encode([w.decode() for w in words], num_threads=1)))
     return table, np.array([sp.is_byte(i) for i in range(sp.vocab_size())])
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, slices, stage
-from .vocab import ChunkTable
+from .vocab import ChunkTable, Runs, runs
 
 CAPACITY = 4096
 END_ID = 1
@@ -48,6 +48,9 @@ def word_chunks(text: str) -> list[str]:
     return _WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
 
 
+JOINED = 256   # words in one call of the library
+
+
 @lru_cache(maxsize=2)
 def _table(tokenizer: str) -> ChunkTable:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -55,7 +58,23 @@ def _table(tokenizer: str) -> ChunkTable:
 
     t = Tokenizer.from_file(tokenizer)
     t.encode_special_tokens = True   # special tokens' strings in a text are ordinary text
-    return ChunkTable(lambda words: [e.ids for e in t.encode_batch_fast(words, add_special_tokens=False)], tails="")
+    closes = np.array([str(t.id_to_token(i)).endswith("</w>") for i in range(t.get_vocab_size())])
+
+    def encode(chunks: list[str]) -> Runs:
+        # A chunk of letters is one word and ends with its only id that closes a
+        # word, so many of them can go through the library as one text.
+        words = [c for c in chunks if c.isalpha()]
+        texts = [" ".join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)]
+        flat = np.array([i for e in t.encode_batch_fast(texts, add_special_tokens=False) for i in e.ids], np.uint32)
+        ends = np.flatnonzero(closes[flat]) + 1
+        if len(ends) != len(words):   # the library's Unicode version knows other letters
+            words, flat, ends = [], flat[:0], ends[:0]
+        done = set(words)
+        rest = [c for c in chunks if c not in done]
+        rest, ids, lens = runs(rest, [e.ids for e in t.encode_batch_fast(rest, add_special_tokens=False)])
+        return words + rest, np.concatenate([flat, ids]), np.concatenate([np.diff(ends, prepend=0), lens])
+
+    return ChunkTable(encode, tails="", limit=1_000_000)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -66,9 +85,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(tokenizer)
         for batch in slices(batches):
-            runs = table.encode_docs([word_chunks(t or "") for t in batch.column("text").to_pylist()])
+            encoded = table.encode_docs([word_chunks(t or "") for t in batch.column("text").to_pylist()])
             row, piece, start, length, data = [], [], [], [], []
-            for i, ids in enumerate(runs):
+            for i, ids in enumerate(encoded):
                 ids = np.append(ids, end_id).astype("<u4")
                 for k, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at:at + capacity]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import slices, stage
-from .vocab import ChunkTable, chunk_text, space_chunks
+from .vocab import ChunkTable, chunk_text, runs, space_chunks
 
 BLOCK_TOKENS = 1 << 16
 GROUP_SHIFT = 12   # 4096 blocks in a group of the scan
@@ -94,7 +94,7 @@ def _table(tokenizer: str) -> ChunkTable:
 
     t = Tokenizer.from_file(tokenizer)
     t.encode_special_tokens = True   # a separator's string in a text is ordinary text
-    return ChunkTable(lambda chunks: [e.ids for e in t.encode_batch_fast([*map(chunk_text, chunks)], add_special_tokens=False)])
+    return ChunkTable(lambda chunks: runs(chunks, [e.ids for e in t.encode_batch_fast([*map(chunk_text, chunks)], add_special_tokens=False)]))
 
 
 def write_token_shards(docs: DataFrame, tokenizer: str, eod: int, doc_id: str = "doc_id", text: str = "text",
@@ -118,8 +118,8 @@ def write_token_shards(docs: DataFrame, tokenizer: str, eod: int, doc_id: str =
                  pa.array([*blobs, *([None] * (n - len(blobs)))], pa.binary()), pa.array(lists, ids_type)], names=["shard", "block", "data", "ids"])
 
         for batch in slices(batches):
-            runs = table.encode_docs([space_chunks(t or "") for t in batch.column("text").to_pylist()])
-            stream = np.concatenate([rest, *(x for r in runs for x in (r.astype("<u2"), np.array([eod], "<u2")))])
+            encoded = table.encode_docs([space_chunks(t or "") for t in batch.column("text").to_pylist()])
+            stream = np.concatenate([rest, *(x for r in encoded for x in (r.astype("<u2"), np.array([eod], "<u2")))])
             full = len(stream) // block_tokens
             blobs = [stream[i * block_tokens:(i + 1) * block_tokens].tobytes() for i in range(full)]
             yield rows(blobs, block, doc_no, batch.column("doc_id"))

@@ -23,12 +23,21 @@ _ODD = re.compile(r"\s\s|^\s|\s$|[\x1c-\x1f]")
 TAIL = ".,!?;:*#$%&|()[]{}<>-_=+/\\\"~^@"
 
 
+Runs = tuple[list[str], np.ndarray, np.ndarray]   # chunks, all their ids, number of ids of each
+
+
+def runs(chunks: list[str], ids: Sequence[Sequence[int]]) -> Runs:
+    lens = np.fromiter(map(len, ids), np.int64, len(ids))
+    return chunks, np.fromiter(chain.from_iterable(ids), np.uint32, int(lens.sum())), lens
+
+
 class ChunkTable:
-    """chunk -> run of ids. encode gets a list of chunks that are not in the table.
+    """chunk -> run of ids. encode gets chunks that are not in the table and
+    returns them, in any order, with their ids.
     tails: if not None, a letter and the punctuation after it are encoded apart,
     the punctuation as a chunk that has this string before it."""
 
-    def __init__(self, encode: Callable[[list[str]], Sequence[Sequence[int]]], tails: str | None = None, limit: int = 600_000):
+    def __init__(self, encode: Callable[[list[str]], Runs], tails: str | None = None, limit: int = 600_000):
         self.encode, self.tails, self.limit = encode, tails, limit
         self.clear()
 
@@ -48,13 +57,11 @@ class ChunkTable:
         if self.tails is not None:
             for c in new:
                 core = c.rstrip(TAIL)
-                if len(core) < len(c) and core and core[-1].isalpha():
+                if len(core) < len(c) and core and core[-1].isalpha() and core[-1] < "\u0100":   # others may be normalised into marks
                     parts[c] = (core, self.tails + c[len(core):])
         plain = sorted(set(chain.from_iterable(parts.values())).difference(self.index).union(new.difference(parts)))
         if plain:
-            runs = self.encode(plain)
-            lens = np.fromiter(map(len, runs), np.int64, len(runs))
-            self._add(plain, np.fromiter(chain.from_iterable(runs), np.uint32, int(lens.sum())), lens)
+            self._add(*self.encode(plain))
         if rest := [c for c in parts if c not in self.index]:
             pairs = np.fromiter((self.index[p] for c in rest for p in parts[c]), np.int64, 2 * len(rest))
             lens = (self.start[pairs + 1] - self.start[pairs]).reshape(-1, 2).sum(1)
