@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from propensia.llm import exact_dedup, fertility, packing, quality_model, queries
+from propensia.llm import exact_dedup, fertility, ngram_join, packing, quality_model, queries
 from propensia.llm.common import read, stage
 
 
@@ -29,12 +29,18 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return exact_dedup.drop_exact_duplicates(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that 4-word shingles link."""
+    return ngram_join.drop_near_duplicates(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents left and their places in the sequences."""
     return packing.pack_documents(docs, queries.WORD_JSON)
 
 
-STAGES = [("quality_rules", quality_rules), ("quality_classifier", quality_classifier), ("exact_dedup", exact_duplicates), ("best_fit_packing", pack)]
+STAGES = [("quality_rules", quality_rules), ("quality_classifier", quality_classifier), ("exact_dedup", exact_duplicates),
+          ("ngram_join", near_duplicates), ("best_fit_packing", pack)]
 
 #: SQL has no tokenizer and no model; the tests run a brute-force version.
 ORACLE_SQL = None

@@ -396,3 +396,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return members.select("doc_id", "n", "dig").join(by_set, "dig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """docs with one row of each component left, that of the smallest doc_id (null
+    ids last, then the first row), all columns as they were."""
+    keyed = with_row_ids(docs, "near-dedup-docs")
+    # an input column may be called like a result, so ids alone go through the join
+    found = near_duplicates(keyed, doc_id="_uid").select(F.col("doc_id").alias("_uid"), F.col("component_id").alias("_component"))
+    groups = found.join(keyed.select("_uid", F.col(doc_id).alias("_id")), "_uid")
+    keep = groups.groupBy("_component").agg(F.min(F.struct(F.col("_id").isNull().alias("z"), "_id", "_uid")).alias("k")).select(F.col("k._uid").alias("_uid"))
+    return keyed.join(keep, "_uid", "left_semi").select(*docs.columns)

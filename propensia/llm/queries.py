@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, exact_dedup, fertility, packing, quality_model, token_counts, url_rules
+from . import byte_bpe, chat_format, exact_dedup, fertility, ngram_join, packing, quality_model, token_counts, url_rules
 from .common import read
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -29,6 +29,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(read(spark, sf_dir, "pages"), url_rules.default_rules(spark))
 
@@ -59,7 +63,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_chat_format, op3_exact_dedup, op5_url_rules, op6_byte_bpe, op7_quality_model, op8_packing, op9_quality_rules,
+    f.__name__: f for f in (op1_chat_format, op3_exact_dedup, op4_ngram_join, op5_url_rules, op6_byte_bpe, op7_quality_model, op8_packing, op9_quality_rules,
                             op10_token_counts)}
 
 ORACLE: dict[str, str] = {
