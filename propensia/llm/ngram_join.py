@@ -244,7 +244,7 @@ def _candidates(postings: DataFrame) -> DataFrame:
 def _blocks(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of the classes in long lists: (cls, blk) and the pairs of blocks (x <= y) that share a long list."""
     long = postings.where(F.col("m") > RARE).select("key", "cls", "m")
-    home = long.groupBy("cls").agg(F.min(F.struct("key", "m")).alias("h"))
+    home = long.groupBy("cls").agg(F.max(F.struct("m", "key")).alias("h"))   # longest list first: few homes, full blocks
     blocks = stage(home.select("cls", F.xxhash64("h.key", F.pmod(F.xxhash64("cls"), F.ceil(F.col("h.m") / BLOCK))).alias("blk")), "join-blocks")
     in_list = stage(long.select("key", "cls").join(blocks, "cls").select("key", "blk").distinct(), "join-block-keys")
     x, y = in_list.withColumnRenamed("blk", "x"), in_list.withColumnRenamed("blk", "y")
