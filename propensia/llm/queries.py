@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, exact_dedup, fertility, ngram_join, packing, quality_model, token_counts, url_rules
+from . import byte_bpe, chat_format, exact_dedup, fertility, html_wrapper, ngram_join, packing, quality_model, token_counts, url_rules
 from .common import read
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -25,6 +25,10 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce(F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]), F.lit(0)).alias("n_assistant_chars"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract_text(read(spark, sf_dir, "pages"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"))
 
@@ -63,7 +67,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_chat_format, op3_exact_dedup, op4_ngram_join, op5_url_rules, op6_byte_bpe, op7_quality_model, op8_packing, op9_quality_rules,
+    f.__name__: f for f in (op1_chat_format, op2_html_text, op3_exact_dedup, op4_ngram_join, op5_url_rules, op6_byte_bpe, op7_quality_model, op8_packing, op9_quality_rules,
                             op10_token_counts)}
 
 ORACLE: dict[str, str] = {
