@@ -3,7 +3,7 @@
 Documents are sets of hashed 4-word shingles ("tokens"); two link when 100 *
 intersection >= 85 * union. A set of n tokens can miss e = n - ceil(0.85 n) of
 them in a partner. In one global order (by hash) the first f = e + k tokens of
-two linked sets share at least k tokens, where k = e/2 + 1, so
+two linked sets share at least k tokens, where k = e + 1, so
 
 1. only the prefixes are counted over the corpus: batch by batch, then by ranges
    of tokens; a token sends one entry per batch, so a passage that a third of
@@ -41,7 +41,7 @@ from .vocab import ChunkTable, Runs
 WORDS = 4
 PERCENT = 85
 RARE = 64          # a token in more documents than this is frequent; lists of at most this many classes are short
-BLOCK = 256        # classes in a block
+BLOCK = 512        # classes in a block
 BATCH_ROWS = 4096
 U64 = np.uint64
 
@@ -52,7 +52,7 @@ def misses(n):
 
 def shared(n):
     """Tokens that the prefixes of two linked sets share, if n is the smaller size."""
-    return misses(n) // 2 + 1
+    return misses(n) + 1
 
 
 def smallest_partner(n):
@@ -76,7 +76,7 @@ def _word_hashes(words: list[bytes]) -> Runs:
 
 @lru_cache(maxsize=1)
 def _words() -> ChunkTable:
-    return ChunkTable(_word_hashes, limit=1_000_000)
+    return ChunkTable(_word_hashes, limit=500_000)
 
 
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
@@ -235,7 +235,7 @@ def _candidates(postings: DataFrame) -> DataFrame:
     low, high = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     pairs = a.join(b, "key").where((F.col("cls_a") < F.col("cls_b")) & (100 * low >= PERCENT * high))
     need = low - F.expr(f"({PERCENT} * least(n_a, n_b) + 99) div 100")
-    need = F.floor(need / 2) + 1
+    need = need + 1
     return pairs.groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).agg(
         F.sum(F.col("rare_a").cast("long")).alias("c"), F.max(F.least("fq_a", "fq_b")).alias("q"), F.max(need).alias("need")) \
         .where("c + q >= need").select("a", "b")

@@ -74,7 +74,7 @@ def _table(tokenizer: str) -> ChunkTable:
         rest, ids, lens = runs(rest, [e.ids for e in t.encode_batch_fast(rest, add_special_tokens=False)])
         return words + rest, np.concatenate([flat, ids]), np.concatenate([np.diff(ends, prepend=0), lens])
 
-    return ChunkTable(encode, tails="", limit=1_000_000)
+    return ChunkTable(encode, tails="")
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID,

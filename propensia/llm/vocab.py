@@ -2,8 +2,8 @@
 
 A text is cut only where the tokenizer itself always cuts, so the ids of the
 text are the ids of its chunks one after the other. Each distinct chunk is
-encoded once per Python worker by the tokenizer library; the chunk table is a
-cache (it is emptied when full) and never changes a result.
+encoded by the tokenizer library when a Python worker first meets it; the chunk
+table is a cache (when it is full, chunks met only once leave it) and never changes a result.
 """
 
 from __future__ import annotations
@@ -37,12 +37,13 @@ class ChunkTable:
     tails: if not None, a letter and the punctuation after it are encoded apart,
     the punctuation as a chunk that has this string before it."""
 
-    def __init__(self, encode: Callable[[list[str]], Runs], tails: str | None = None, limit: int = 600_000):
+    def __init__(self, encode: Callable[[list[str]], Runs], tails: str | None = None, limit: int = 500_000):
         self.encode, self.tails, self.limit = encode, tails, limit
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
+        self.met = np.zeros(0, np.int64)     # times that each chunk was met
         self.start = np.zeros(1, np.int64)   # start of each chunk's ids, then the end
         self.flat = np.empty(0, np.uint32)
 
@@ -52,6 +53,17 @@ class ChunkTable:
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lens)])
         self.index.update(zip(chunks, range(base, base + len(chunks))))
 
+    def shrink(self) -> None:
+        """Drop chunks met once since the last time, or all if that leaves the table more than half full."""
+        often = np.flatnonzero(self.met > 1)
+        if 2 * len(often) > self.limit:
+            often = often[:0]
+        chunks = list(self.index)
+        lens, flat = self.start[often + 1] - self.start[often], self.ids(often)
+        chunks = [chunks[i] for i in often]
+        self.clear()
+        self._add(chunks, flat, lens)
+
     def learn(self, new: set[str]) -> None:
         parts: dict[str, tuple[str, str]] = {}
         if self.tails is not None:
@@ -76,12 +88,17 @@ class ChunkTable:
             chunks = list(chain.from_iterable(docs))
             new = {chunks[i] for i in lost}
             if len(self.index) + 2 * len(new) > self.limit and self.index:
-                self.clear()
-                return self.slots(docs)
+                self.shrink()
+                return self.slots(docs) if len(self.index) + len(new) <= self.limit else self._fresh(docs)
             self.learn(new)
             slots[lost] = [self.index[chunks[i]] for i in lost]
+        self.met = np.pad(self.met, (0, len(self.index) - len(self.met))) + np.bincount(slots, minlength=len(self.index))
         return slots
 
+    def _fresh(self, docs: list[list[str]]) -> np.ndarray:
+        self.clear()
+        return self.slots(docs)
+
     def ids(self, slots: np.ndarray) -> np.ndarray:
         n = self.start[slots + 1] - self.start[slots]
         ends = np.cumsum(n)
