@@ -41,7 +41,8 @@ from .vocab import ChunkTable, Runs
 WORDS = 4
 PERCENT = 85
 RARE = 64          # a token in more documents than this is frequent; lists of at most this many classes are short
-BLOCK = 512        # classes in a block
+BLOCK = 1024       # classes in a block, and
+BLOCK_TOKENS = 1 << 21   # tokens of their sets: both bound a task's memory
 BATCH_ROWS = 4096
 U64 = np.uint64
 
@@ -243,9 +244,9 @@ def _candidates(postings: DataFrame) -> DataFrame:
 
 def _blocks(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of the classes in long lists: (cls, blk) and the pairs of blocks (x <= y) that share a long list."""
-    long = postings.where(F.col("m") > RARE).select("key", "cls", "m")
-    home = long.groupBy("cls").agg(F.max(F.struct("m", "key")).alias("h"))   # longest list first: few homes, full blocks
-    blocks = stage(home.select("cls", F.xxhash64("h.key", F.pmod(F.xxhash64("cls"), F.ceil(F.col("h.m") / BLOCK))).alias("blk")), "join-blocks")
+    long = postings.where(F.col("m") > RARE).select("key", "cls", "m", "t")
+    home = long.groupBy("cls").agg(F.max(F.struct("m", "key", "t")).alias("h"))   # longest list first: few homes, full blocks
+    blocks = stage(home.select("cls", F.xxhash64("h.key", F.pmod(F.xxhash64("cls"), F.ceil(F.greatest(F.col("h.m") / BLOCK, F.col("h.t") / BLOCK_TOKENS)))).alias("blk")), "join-blocks")
     in_list = stage(long.select("key", "cls").join(blocks, "cls").select("key", "blk").distinct(), "join-block-keys")
     x, y = in_list.withColumnRenamed("blk", "x"), in_list.withColumnRenamed("blk", "y")
     return blocks, stage(x.join(y, "key").where("x <= y").select("x", "y").distinct(), "join-block-pairs")
@@ -371,7 +372,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     linkable = _linkable(members, _repeated(_prefix_counts(members, 2 * n)))
     classes = with_row_ids(linkable.join(sizes, "dig"), "join-classes")
     keys = stage(_index(classes), "join-keys")
-    lists = stage(keys.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "join-lists")
+    lists = stage(keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("t")).where("m > 1"), "join-lists")
     postings = stage(keys.join(lists, "key"), "join-postings")
     blocks, block_pairs = _blocks(postings)
     # A pair that a comparison of blocks covers needs no other.
