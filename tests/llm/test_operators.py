@@ -273,9 +273,10 @@ def test_quality_measures(spark, odd):
         want = (len(words), sum(len(w.decode()) for w in words), sum((t or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(again))
         assert (out[i].n_words, out[i].word_chars, out[i].n_symbols, out[i].n_dup_lines, out[i].n_repeat_words) == want
         assert out[i].base_failed == (len(words) < 10 or 100 * len(again) > 20 * len(words)) and not (out[i].base_failed and out[i].kept)
-    assert out[6].script == "cjk" and out[5].kept
-    kept = fertility.drop_rejected(odd, queries.PIECE_MODEL)
-    assert kept.columns == odd.columns and [r.doc_id for r in kept.collect()] == [0]
+    assert out[6].script == "cjk" and out[5].reasons == ["entropy"]   # one word and digits, again and again
+    prose = "The river rose slowly through the spring, and by the time the orchards were in bloom nobody could remember when it had last been quiet."
+    kept = fertility.drop_rejected(odd.union(docs(spark, [prose], [77])), queries.PIECE_MODEL)
+    assert kept.columns == odd.columns and [r.doc_id for r in kept.collect()] == [77]
     assert fertility.quality_measures(odd.limit(0), queries.PIECE_MODEL).count() == 0
 
 
