@@ -23,6 +23,7 @@ The rows fed in must be unique on (group, order); callers pre-aggregate ties
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterable, Sequence
 
 import numpy as np
@@ -119,7 +120,7 @@ def prefix_sums(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[
           for w in weight_cols],
         *[F.sum(f"_rk_blk_{w}").over(whole_w).alias(f"{w}_total") for w in weight_cols])
 
-    joined = local.join(offsets, on=[_PID, *group_cols], how="inner")
+    joined = _null_safe_join(local, offsets, [_PID, *group_cols], "inner")
     cols = [c for c in df.columns]
     cols += [(F.col(f"_rk_loc_{w}") + F.col(f"_rk_off_{w}")).cast("long").alias(f"{w}_before")
              for w in weight_cols]
@@ -127,6 +128,13 @@ def prefix_sums(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[
     return joined.select(*cols)
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join in which null keys match each other, as they do in a window's groups."""
+    right = right.withColumnsRenamed({k: f"_rk_key_{k}" for k in keys})
+    match = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_rk_key_{k}"]) for k in keys])
+    return left.join(right, match, how).drop(*[f"_rk_key_{k}" for k in keys])
+
+
 def value_ranks(df: DataFrame, group_cols: Sequence[str], value_col: str,
                 ascending: bool = True, num_partitions: int | None = None) -> DataFrame:
     """One row per distinct (group, value) with ``rows_before`` (rows of the
@@ -147,7 +155,7 @@ def with_percent_rank(df: DataFrame, group_cols: Sequence[str], value_col: str,
                  F.col("rows_before").cast("double") / (F.col("group_rows") - 1).cast("double"))
           .otherwise(F.lit(0.0)))
     ranks = ranks.select(*group_cols, value_col, pr.alias(out_col))
-    return df.join(ranks, on=[*group_cols, value_col], how="left")
+    return _null_safe_join(df, ranks, [*group_cols, value_col], "left")
 
 
 def with_competition_rank(df: DataFrame, group_cols: Sequence[str], value_col: str,
@@ -160,7 +168,7 @@ def with_competition_rank(df: DataFrame, group_cols: Sequence[str], value_col: s
     sel = [*group_cols, value_col, (F.col("rows_before") + 1).alias(out_col)]
     if count_col:
         sel.append(F.col("group_rows").alias(count_col))
-    return df.join(ranks.select(*sel), on=[*group_cols, value_col], how="left")
+    return _null_safe_join(df, ranks.select(*sel), [*group_cols, value_col], "left")
 
 
 def with_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[str, bool]],

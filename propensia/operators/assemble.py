@@ -91,26 +91,17 @@ def requests_left_join(df: DataFrame, requests: DataFrame, chunk: int = 4096) ->
 
     A customer-month may hold a large share of all requests, and a plain
     join would then produce all of its copies in one task. Requests are
-    counted per (key, event type) first (map-side combined), so the join
-    matches at most one row per event type, and the copies are generated
-    after it. Counts up to ``chunk`` expand in place. Only when the largest
-    count (one scalar job) is above ``chunk`` are those counts cut into
-    chunks of ``chunk`` copies that are spread over the shuffle partitions
-    before they expand. The result holds every copy.
+    counted per (key, event type) first (map-side combined) and every count is
+    cut into chunks of at most ``chunk`` copies, so a joined row stands for a
+    bounded number of copies. The rows are dealt out by key, type and chunk
+    before they expand. One plan serves every input; the result holds every copy.
     """
     counts = requests.groupBy(*JOIN_KEYS, "EVENT_TYPE").agg(F.count(F.lit(1)).alias("_n"))
-    joined = df.join(counts, on=JOIN_KEYS, how="left").withColumn(
-        "_n", F.coalesce(F.col("_n"), F.lit(1).cast("long")))
-    cols = [c for c in joined.columns if c != "_n"]
-    top = counts.agg(F.max("_n")).first()[0] or 0
-    if top <= chunk:
-        return joined.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_i")).drop("_i")
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     last_chunk = F.floor((F.col("_n") - 1) / chunk).cast("long")
-    hot = (joined.where(F.col("_n") > chunk)
-           .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
-           .repartition(parts, *JOIN_KEYS, "EVENT_TYPE", "_c")
-           .withColumn("_n", F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_c") * chunk))
-           .drop("_c"))
-    rows = joined.where(F.col("_n") <= chunk).unionByName(hot)
-    return rows.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_i")).drop("_i")
+    chunks = counts.withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk))) \
+        .withColumn("_n", F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_c") * chunk))
+    joined = df.join(chunks, on=JOIN_KEYS, how="left").withColumn("_n", F.coalesce(F.col("_n"), F.lit(1).cast("long")))
+    cols = [c for c in joined.columns if c not in ("_n", "_c")]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    dealt = joined.repartition(parts, *JOIN_KEYS, "EVENT_TYPE", "_c")
+    return dealt.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_i")).drop("_i")

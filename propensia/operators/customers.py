@@ -22,11 +22,19 @@ def _attrs(target: DataFrame, key: str) -> list[str]:
     return [c for c in target.columns if c != key]
 
 
+def _staged(staged: DataFrame, key: str) -> DataFrame:
+    """The load with at most one row per id. A null id matches nothing and is no
+    customer; of several rows for one id the smallest by its attributes counts."""
+    attrs = _attrs(staged, key)
+    one = staged.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_sk")).agg(F.min(F.struct(*attrs)).alias("_a"))
+    return one.select("_sk", *[F.col(f"_a.{c}").alias(f"_s_{c}") for c in attrs])
+
+
 def customers_update(target: DataFrame, staged: DataFrame, key: str = ID) -> DataFrame:
     """Every target row; matched rows take all staged attributes, nulls
     included (``UPDATE … FROM``). Attributes absent from the load keep their
     value (H10)."""
-    s = staged.select(F.col(key).alias("_sk"), *[F.col(c).alias(f"_s_{c}") for c in staged.columns if c != key])
+    s = _staged(staged, key)
     j = target.join(s, target[key] == s["_sk"], "left")
     loaded = set(staged.columns)
     cols = [F.col(key)]
@@ -40,22 +48,22 @@ def customers_new_only(target: DataFrame, staged: DataFrame, key: str = ID,
                        null_aware: bool = False) -> DataFrame:
     """Staged rows whose id is not in the target.
 
-    Default: anti join on non-null ids. ``null_aware=True`` keeps SQL
-    ``NOT IN`` semantics (a null id in the target inserts nothing); Spark
-    plans that as a broadcast null-aware anti join, so it is only for a
-    target of checked small size.
+    Anti join on non-null ids; a staged row without id is no customer and is
+    not inserted. ``null_aware=True`` adds the other half of SQL's ``NOT IN``:
+    a null id in the target inserts nothing.
     """
     if null_aware:
         has_null = target.where(F.col(key).isNull()).limit(1).count() > 0
         if has_null:
             return staged.limit(0)
+    staged = staged.where(F.col(key).isNotNull())
     return staged.join(target.select(key).where(F.col(key).isNotNull()), on=key, how="left_anti")
 
 
 def customers_upsert(target: DataFrame, staged: DataFrame, key: str = ID) -> DataFrame:
     """Update matched ids, insert new ones, keep the rest, in one full
-    outer join; the result has one row per id."""
-    s = staged.select(F.col(key).alias("_sk"), *[F.col(c).alias(f"_s_{c}") for c in staged.columns if c != key])
+    outer join; one row per id (target rows without id stay as they are)."""
+    s = _staged(staged, key)
     t = target.withColumn("_tk", F.col(key))
     j = t.join(s, t["_tk"] == s["_sk"], "full")
     hit = F.col("_sk").isNotNull()

@@ -99,7 +99,8 @@ def q_request_months(spark, sf_dir):
     return fs.requests_table(_src(spark, sf_dir, "requests"), "train")
 
 
-_ACTIVE_COLS = ["AMOUNT_OF_CONTACT_ADMINISTRATIVE_ISSUES_L3M", "AMOUNT_OF_CONTACT_COMPLAINTS_L3M"]
+_ACTIVE_COLS = ["AMOUNT_OF_CONTACT_ADMINISTRATIVE_ISSUES_L3M", "AMOUNT_OF_CONTACT_COMPLAINTS_L3M",
+                "AMOUNT_OF_CONTACT_TECHNICAL_ISSUES_L3M"]
 
 
 @register("filter_active_rows", "P21", sg.render(
