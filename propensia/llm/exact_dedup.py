@@ -39,7 +39,6 @@ def duplicate_groups(rows: DataFrame, first_digit: int = FIRST_DIGIT) -> DataFra
         best = F.min(F.struct((-F.col("_cp")).alias("c"), F.col("_id").isNull().alias("z"), F.col("_id").alias("i"), F.col("_uid").alias("u")))
         groups = cur.groupBy("_gid", "_digit", "_ended").agg(
             F.min("_uid").alias("_new"), F.count(F.lit(1)).alias("group_size"), best.alias("_best")).where("group_size > 1")
-        groups = stage(groups, "radix-groups")   # on its own, so that Spark can split a hot group's side of the join
         joined = cur.join(groups, ["_gid", "_digit", "_ended"]).select(
             "_uid", "_id", "_cp", F.col("_new").alias("_gid"), "_ended", "group_size",
             F.col("_best.u").alias("keep_uid"), F.col("_best.i").alias("keep_id"),
