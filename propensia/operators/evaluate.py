@@ -182,11 +182,12 @@ def roc_auc(df: DataFrame, group_cols: Sequence[str] = (MODEL,), score_col: str
 
 
 def score_tiles(df: DataFrame, group_cols: Sequence[str] = (MODEL,), score_col: str = "y_proba",
-                tie_col: str = "ROW_ID", n_tiles: int = N_TILES, out_col: str = "TILE") -> DataFrame:
+                tie_col: str | Sequence[str] = "ROW_ID", n_tiles: int = N_TILES, out_col: str = "TILE") -> DataFrame:
     """Equal-count tiles over rows sorted by score descending (ties
     broken by ``tie_col``), quantile cut of the row position:
     tile = max(1, ceil(n_tiles * i / (n - 1))) for 0-based position i."""
-    rn = with_row_number(df, group_cols, [(score_col, False), (tie_col, True)], "_rn", "_n")
+    ties = [tie_col] if isinstance(tie_col, str) else tie_col
+    rn = with_row_number(df, group_cols, [(score_col, False), *((c, True) for c in ties)], "_rn", "_n")
     # integer ceil(n_tiles * i / (n - 1)) = (n_tiles * i + n - 2) div (n - 1), i = rn - 1
     tile = F.expr(f"case when _rn = 1 then 1 else ({n_tiles} * (_rn - 1) + _n - 2) div greatest(_n - 1, 1) end")
     return rn.withColumn(out_col, F.least(tile, F.lit(n_tiles)).cast("int")).drop("_rn", "_n")
@@ -291,6 +292,7 @@ def captured_positives(df: DataFrame, group_cols: Sequence[str] = (MODEL,), targ
                    F.sum(pred).cast("long").alias("SUM_PREDICTION")))
 
 
-def scored_ordered(df: DataFrame, score_col: str = "y_proba") -> DataFrame:
-    """O1: highest probability first (a range-partitioned global sort)."""
-    return df.orderBy(F.col(score_col).desc())
+def scored_ordered(df: DataFrame, score_col: str = "y_proba", key_cols: Sequence[str] = ()) -> DataFrame:
+    """O1: highest probability first (a range-partitioned global sort). ``key_cols``
+    settle ties and let Spark deal the rows of one score to many tasks."""
+    return df.orderBy(F.col(score_col).desc(), *key_cols)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import month_idx_of, shift_months
 from ..functions.ranking import value_ranks
-from ..session import materialize
+from ..session import stage
 
 KEYS = ["CUST_NUM", "YEAR", "MONTH"]
 
@@ -25,9 +25,8 @@ def event_filter(df: DataFrame, event: str) -> DataFrame:
 
 def next_month_targets(events: DataFrame, event: str, target_col: str) -> DataFrame:
     """P9 + P10 + P11 + A6: one row per customer-month whose next month has the event."""
-    ev = shift_months(event_filter(events, event), -1)
-    return (ev.withColumn(target_col, F.when(F.col("EVENT_TYPE") == event, F.lit(1)))
-              .groupBy(*KEYS).agg(F.max(target_col).alias(target_col)))
+    marked = event_filter(events, event).drop("EVENT_TYPE").distinct()
+    return shift_months(marked, -1).withColumn(target_col, F.lit(1))
 
 
 def label_next_month(df: DataFrame, events: DataFrame, event: str, target_col: str) -> DataFrame:
@@ -87,33 +86,33 @@ def exact_quantile(df: DataFrame, group_cols: Sequence[str], value_col: str, q:
 
 
 def propensity_label(df: DataFrame, weights: Mapping[str, float], quantile: float,
-                     group_cols: Sequence[str] = ("YEAR", "MONTH"),
+                     group_cols: Sequence[str] = ("YEAR", "MONTH"), key_cols: Sequence[str] = ("CUST_NUM",),
                      score_col: str = "PROPENSITY_SCORE", target_col: str = "TARGET") -> DataFrame:
     """M9: z-score each weighted column inside its group (population std,
     zero std → 1), weighted sum, min-max scale to [0, 1], label the rows at or
-    above the group's ``quantile`` of the score. Group statistics are one
-    small row per group, joined back."""
-    g = list(group_cols)
-    cols = list(weights)
-    df = materialize(df)  # read by the statistics, the scaling and the quantile
-    stats = df.groupBy(*g).agg(*[F.avg(c).alias(f"_mu_{c}") for c in cols],
-                               *[F.stddev_pop(c).alias(f"_sd_{c}") for c in cols])
-    z = df.join(stats, on=g, how="inner")
-    terms = [F.lit(w) * ((F.col(c) - F.col(f"_mu_{c}")) /
-                         F.when(F.col(f"_sd_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_sd_{c}")))
-             for c, w in weights.items()]
-    raw = reduce(lambda a, b: a + b, terms)
-    scored = z.withColumn("_raw", raw).drop(*[f"_mu_{c}" for c in cols], *[f"_sd_{c}" for c in cols])
-    mm = scored.groupBy(*g).agg(F.min("_raw").alias("_lo"), F.max("_raw").alias("_hi"))
-    rng = F.col("_hi") - F.col("_lo")
-    scaled = (scored.join(mm, on=g, how="inner")
-              .withColumn(score_col, (F.col("_raw") - F.col("_lo")) /
-                          F.when(rng == 0, F.lit(1.0)).otherwise(rng))
-              .drop("_raw", "_lo", "_hi"))
-    thr = exact_quantile(scaled, g, score_col, quantile, "_thr")
-    return (scaled.join(thr, on=g, how="inner")
-            .withColumn(target_col, (F.col(score_col) >= F.col("_thr")).cast("int"))
-            .drop("_thr"))
+    above the group's ``quantile`` of the score. Returns ``key_cols``, the group
+    columns, the score and the label.
+
+    The groups are few and hot (one per month), so no row is shuffled by them:
+    each step's statistics, one row per group, are written as a small table, and
+    Spark joins it by broadcast as its size is known. Only keys and weighted
+    columns are staged, and the weighted sums are written once, so that scaling
+    and quantile see the same doubles."""
+    g, keys = list(group_cols), list(key_cols)
+    df = stage(df.select(*keys, *g, *weights), "propensity-in")
+    stats = stage(df.groupBy(*g).agg(*[f(c).alias(f"_{n}_{c}") for c in weights
+                                       for n, f in (("mu", F.avg), ("sd", F.stddev_pop))]), "propensity-stats")
+    raw = reduce(lambda a, b: a + b, [
+        F.lit(w) * ((F.col(c) - F.col(f"_mu_{c}")) / F.when(F.col(f"_sd_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_sd_{c}")))
+        for c, w in weights.items()])
+    summed = stage(df.join(stats, on=g).select(*keys, *g, raw.alias("_raw")), "propensity-sums")
+    ends = stage(summed.groupBy(*g).agg(F.min("_raw").alias("_lo"), F.max("_raw").alias("_hi")), "propensity-ends")
+    width = F.col("_hi") - F.col("_lo")
+    scaled = summed.join(ends, on=g).select(
+        *keys, *g, ((F.col("_raw") - F.col("_lo")) / F.when(width == 0, F.lit(1.0)).otherwise(width)).alias(score_col))
+    cut = stage(exact_quantile(scaled, g, score_col, quantile, "_thr"), "propensity-cut")
+    return (scaled.join(cut, on=g)
+            .withColumn(target_col, (F.col(score_col) >= F.col("_thr")).cast("int")).drop("_thr"))
 
 
 def wide_request_flags(requests: DataFrame, events: Mapping[str, str] = TARGET_EVENTS) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from typing import Sequence
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ranking import with_row_number
-from ..session import materialize
+from ..session import stage
 
 # The classifier's hyper-parameters (100 trees, rate 0.1,
 # depth 6, row and column sampling 0.8, seed 42).
@@ -55,19 +56,6 @@ def feature_importance(model: PipelineModel, feature_cols: Sequence[str]) -> lis
     return sorted(pairs, key=lambda p: (-p[1], p[0]))
 
 
-def class_weights(df: DataFrame, label_col: str, out_col: str = "WEIGHT") -> DataFrame:
-    """Balanced class weights (n / (2 * n_class)), the cheap alternative to
-    oversampling: two counts, then a column expression."""
-    counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}  # two rows
-    n = sum(counts.values())
-    w = {k: n / (2.0 * v) for k, v in counts.items() if v}
-    expr = None
-    for k, v in w.items():
-        cond = F.col(label_col) == F.lit(k)
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-    return df.withColumn(out_col, expr if expr is not None else F.lit(1.0))
-
-
 def _unit_vector(dim: int, seed: int) -> list[float]:
     v = np.random.default_rng(seed).normal(size=dim)
     v = v / (np.linalg.norm(v) or 1.0)
@@ -95,7 +83,7 @@ def oversample_minority(df: DataFrame, feature_cols: Sequence[str], label_col: s
     floor or ceil of (majority - minority) / minority synthetic rows.
     """
     feats = list(feature_cols)
-    df = materialize(df)  # counted, profiled, ordered and unioned
+    df = stage(df)  # counted, profiled, ordered and unioned
     counts = {r[0]: r[1] for r in df.groupBy(label_col).count().collect()}  # two rows
     n_min, n_maj = counts.get(1, 0), counts.get(0, 0)
     marked = df.withColumn(synthetic_col, F.lit(0))
@@ -150,11 +138,13 @@ def register_model(spark: SparkSession, model: PipelineModel, root: str, name: s
     try:
         current = spark.read.schema(REGISTRY_SCHEMA).parquet(reg_path).where(F.col("model_name") == name)
         last = current.agg(F.max("version")).first()[0] or 0
-    except Exception:  # noqa: BLE001 - first registration, no table yet
-        last = 0
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = 0  # first registration, no table yet
     version = int(last) + 1
     path = f"{root.rstrip('/')}/{name}/v{version}"
-    model.write().overwrite().save(path)
+    model.save(path)  # fails where the version exists
     spark.createDataFrame([(name, version, path)], REGISTRY_SCHEMA).write.mode("append").parquet(reg_path)
     return version
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ranking import value_ranks
-from ..session import materialize
+from ..session import stage
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -51,14 +51,14 @@ def summary_stats(df: DataFrame, columns: Sequence[str] | None = None, digits: i
     sample stddev, min, exact 25/50/75 % (linear), max. Mean and stddev are
     rounded to ``digits`` so that summation order cannot change them."""
     cols = list(columns or numeric_columns(df))
-    df = materialize(df)  # read by the moments and by the quantiles
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], cols, "column", "value")
-    basic = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.round(F.avg("value"), digits).alias("mean"),
-        F.round(F.stddev_samp("value"), digits).alias("stddev"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
+    df = stage(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))  # read by the moments and by the quantiles
+    moments = df.agg(*[F.struct(F.lit(c).alias("column"), F.count(c).alias("count"),
+                                F.round(F.avg(c), digits).alias("mean"),
+                                F.round(F.stddev_samp(c), digits).alias("stddev"),
+                                F.min(c).alias("min"), F.max(c).alias("max")).alias(f"m{i}")
+                       for i, c in enumerate(cols)])
+    basic = moments.select(F.inline(F.array(*[f"m{i}" for i in range(len(cols))])))
+    long = df.unpivot([], cols, "column", "value")
     qs = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75]).select(
         "column", F.col("q0").alias("p25"), F.col("q1").alias("p50"), F.col("q2").alias("p75"))
     return basic.join(qs, on="column", how="left").select(
@@ -81,14 +81,15 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None, digit
     over tasks (map-side combined, at most k(k+1)/2 groups). A wide
     aggregate with one expression per pair would instead grow the plan with
     the square of the column count. Centring keeps a constant column at
-    exactly zero variance, which gives a null correlation. The frame must
-    have no nulls in these columns (the training set is profiled after the
-    -1 fill).
+    exactly zero variance, which gives a null correlation. Nulls in these
+    columns are an error (the training set is profiled after the -1 fill).
     """
     cols = list(columns or numeric_columns(df))
     k = len(cols)
-    x = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))  # two passes
-    row = x.agg(*[F.avg(c).alias(c) for c in cols]).first()
+    x = stage(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))  # two passes
+    row = x.agg(*[F.avg(c).alias(c) for c in cols], *[F.count_if(F.col(c).isNull()).alias(f"_nulls_{c}") for c in cols]).first()
+    if holes := [c for c in cols if row[f"_nulls_{c}"]]:
+        raise ValueError(f"correlation_pairs: fill the nulls of {', '.join(holes)} first")
     mu = np.array([row[c] if row[c] is not None else 0.0 for c in cols], dtype="float64")
     iu, ju = np.triu_indices(k)
 

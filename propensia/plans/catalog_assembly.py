@@ -150,6 +150,16 @@ def q_label_next_month(spark, sf_dir):
     return training_set(spark, sf_dir, "CHURN")
 
 
+@register("label_next_month_sport", "M1", sg.render(_train_ctes("SPORT"), "select * from labelled"))
+def q_label_next_month_sport(spark, sf_dir):
+    return training_set(spark, sf_dir, "SPORT")
+
+
+@register("label_next_month_cinema", "M1", sg.render(_train_ctes("CINEMA"), "select * from labelled"))
+def q_label_next_month_cinema(spark, sf_dir):
+    return training_set(spark, sf_dir, "CINEMA")
+
+
 # ---------------------------------------------------------------------------- P13, P14
 
 

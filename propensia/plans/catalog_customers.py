@@ -114,7 +114,9 @@ def q_table_roundtrip(spark, sf_dir):
     return io.save_table(customers(spark, sf_dir), _table_name("dim_customers", path), path=path)
 
 
-@register("describe_table", "S7")
+@register("describe_table", "S7", """
+select * from (values ('cust_num', 'bigint', null), ('first_name', 'string', null), ('country', 'string', null),
+  ('city', 'string', null), ('birth_date', 'date', null)) as t(col_name, data_type, comment)""")
 def q_describe_table(spark, sf_dir):
     path = scratch_path(spark, "dim_customers")
     name = _table_name("dim_customers", path)

@@ -65,7 +65,7 @@ def q_apply_threshold(spark, sf_dir):
 
 @register("scored_ordered", "O1", sql("select * from thr order by y_proba desc"))
 def q_scored_ordered(spark, sf_dir):
-    return ev.scored_ordered(thresholded(spark, sf_dir))
+    return ev.scored_ordered(thresholded(spark, sf_dir), key_cols=["ROW_ID"])
 
 
 @register("union_model_results", "U1 P18 P19", sql("select * from fact", _UNION))

@@ -5,54 +5,91 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import cast_features, fill_missing_numeric
+from ..functions.columns import cast_features, feature_columns, fill_missing_numeric
 from ..operators import evaluate as ev
 from ..operators import labels as lb
 from ..operators import model as ml
 from ..operators.assemble import feature_columns_in_order
-from ..session import materialize, scratch_path
+from ..session import scratch_path, stage
 from ..sources.fixtures import scored
 from . import sqlgen as sg
 from .catalog import register
-from .catalog_assembly import _tables, training_set
+from .catalog_assembly import _HASH_SQL, _tables, _train_ctes, training_set
 from ..operators import assemble as asm
 
 FEATURES = feature_columns_in_order()
 TARGET = "TARGET_CHURN"
 TRAIN_THRESHOLD = 0.01     # threshold of the training report
 SCORING_THRESHOLD = 0.16   # threshold of the scoring run
-QUERY_TREES = 5            # trees in the registered queries (the library default is 100)
 
 
 def model_frame(spark, sf_dir):
     """Labelled training set, -1 fill, features as double, hash split."""
     df = cast_features(fill_missing_numeric(training_set(spark, sf_dir, "CHURN")), FEATURES)
-    return materialize(lb.split_by_hash(df))
+    return stage(lb.split_by_hash(df), "model-frame")
 
 
-def _fit(spark, sf_dir, oversample: bool = True):
-    df = model_frame(spark, sf_dir)
-    train = df.where(F.col("SPLIT") == "train").drop("SPLIT")
-    if oversample:
-        train = ml.oversample_minority(train, FEATURES, TARGET).drop("SYNTHETIC")
-    model = ml.train_gbt(train, FEATURES, TARGET, maxIter=QUERY_TREES)
-    return model, df
+def _train_rows(df):
+    return df.where(F.col("SPLIT") == "train").drop("SPLIT")
+
+
+_FITTED = {}  # the model and its frame, by application and table folder: the model keys share one fit
+
+
+def _fit(spark, sf_dir):
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        df = model_frame(spark, sf_dir)
+        balanced = ml.oversample_minority(_train_rows(df), FEATURES, TARGET).drop("SYNTHETIC")
+        _FITTED[key] = ml.train_gbt(balanced, FEATURES, TARGET), df
+    return _FITTED[key]
+
+
+# DuckDB parts: rows, keys and invariants of the model results (the scores
+# themselves come out of a fit that SQL cannot express).
+_SPLIT_CTES = _train_ctes() + [("parts", f"""select CUST_NUM, YEAR, MONTH, {TARGET},
+    case when {_HASH_SQL} < 70 then 'train' else 'test' end as SPLIT from labelled""")]
+
+
+def _checked(df, threshold):
+    """The rows with the invariants of a scoring run in place of the score."""
+    valid = F.col("y_proba").between(0, 1)
+    agrees = F.col("PREDICTION_CHURN") == (F.col("y_proba") >= threshold).cast("int")
+    return df.select("*", valid.alias("SCORE_VALID"), agrees.alias("PREDICTION_VALID"))
 
 
 @register("oversample_minority", "M4")
 def q_oversample_minority(spark, sf_dir):
-    df = model_frame(spark, sf_dir)
-    train = df.where(F.col("SPLIT") == "train").drop("SPLIT")
-    return ml.oversample_minority(train, FEATURES, TARGET)
+    return ml.oversample_minority(_train_rows(model_frame(spark, sf_dir)), FEATURES, TARGET)
+
+
+@register("oversample_counts", "M4", sg.render(_SPLIT_CTES + [
+    ("tr", f"select {TARGET} as y from parts where SPLIT = 'train'"),
+    ("c", "select count(*) filter (y = 0) as n0, count(*) filter (y = 1) as n1 from tr")], f"""
+select y as {TARGET}, 0 as SYNTHETIC, count(*) as N from tr group by y
+union all select 1, 1, n0 - n1 from c where n1 >= 2 and n0 > n1"""))
+def q_oversample_counts(spark, sf_dir):
+    """Rows of each class after balancing, real and synthetic."""
+    return q_oversample_minority(spark, sf_dir).groupBy(TARGET, "SYNTHETIC").agg(F.count(F.lit(1)).alias("N"))
 
 
 @register("train_and_score", "M5 M6 P15 P16 P17")
 def q_train_and_score(spark, sf_dir):
     model, df = _fit(spark, sf_dir)
     test = df.where(F.col("SPLIT") == "test").drop("SPLIT")
+    features = feature_columns(test, exclude=[TARGET])
     out = ev.apply_threshold(ml.score(model, test), TRAIN_THRESHOLD, pred_col="PREDICTION_CHURN")
     return out.select("CUST_NUM", "YEAR", "MONTH", TARGET, "PREDICTION_CHURN", "y_proba",
-                      "THRESHOLD_USED", *FEATURES)
+                      "THRESHOLD_USED", *features)
+
+
+@register("scored_test_rows", "M5 M6 P15 P16 P17", sg.render(_SPLIT_CTES, f"""
+select CUST_NUM, YEAR, MONTH, {TARGET}, cast({TRAIN_THRESHOLD} as double) as THRESHOLD_USED,
+  true as SCORE_VALID, true as PREDICTION_VALID from parts where SPLIT = 'test'"""))
+def q_scored_test_rows(spark, sf_dir):
+    """Keys and invariants of ``train_and_score``."""
+    return _checked(q_train_and_score(spark, sf_dir), TRAIN_THRESHOLD).select(
+        "CUST_NUM", "YEAR", "MONTH", TARGET, "THRESHOLD_USED", "SCORE_VALID", "PREDICTION_VALID")
 
 
 @register("feature_importance", "M7 O3")
@@ -62,10 +99,17 @@ def q_feature_importance(spark, sf_dir):
     return spark.createDataFrame(pairs, "feature string, gain double").orderBy(F.desc("gain"), "feature")
 
 
+@register("feature_importance_rows", "M7 O3", "select unnest([" + ", ".join(f"'{c}'" for c in FEATURES)
+          + "]) as feature, true as GAIN_VALID")
+def q_feature_importance_rows(spark, sf_dir):
+    """Features and invariants of ``feature_importance``."""
+    return q_feature_importance(spark, sf_dir).select("feature", F.col("gain").between(0, 1).alias("GAIN_VALID"))
+
+
 @register("score_latest_model", "M8 J7 M6 P16")
 def q_score_latest_model(spark, sf_dir):
-    """Train, register a version, load the latest version back and score the
-    scoring-window dataset with the scoring threshold."""
+    """Register the fitted model as a version, load the latest version back and
+    score the scoring-window dataset with the scoring threshold."""
     root = scratch_path(spark, "models")
     model, _ = _fit(spark, sf_dir)
     ml.register_model(spark, model, root, "churn_model")
@@ -76,6 +120,16 @@ def q_score_latest_model(spark, sf_dir):
     return ev.apply_threshold(ml.score(latest, scoring), SCORING_THRESHOLD, pred_col="PREDICTION_CHURN")
 
 
+@register("scored_latest_rows", "M8 J7 M6 P16", sg.render(
+    sg.feature_set_ctes("score") + [("assembled", sg.assembled_select(False))], f"""
+select CUST_NUM, YEAR, MONTH, cast({SCORING_THRESHOLD} as double) as THRESHOLD_USED,
+  true as SCORE_VALID, true as PREDICTION_VALID from assembled"""))
+def q_scored_latest_rows(spark, sf_dir):
+    """Keys and invariants of ``score_latest_model``."""
+    return _checked(q_score_latest_model(spark, sf_dir), SCORING_THRESHOLD).select(
+        "CUST_NUM", "YEAR", "MONTH", "THRESHOLD_USED", "SCORE_VALID", "PREDICTION_VALID")
+
+
 def _registry(spark, sf_dir):
     """One version per model and training month of the scored results."""
     months = scored(spark, sf_dir).select("MODEL_TYPE", "YEAR", "MONTH").distinct()

@@ -74,9 +74,9 @@ def run_training(spark: SparkSession, sources: dict[str, DataFrame], cfg: JobCon
     result = save_table(scored, *_t(cfg, f"train_result_{cfg.target.lower()}"))
     out["result"] = result
     ev_in = result.select(F.lit(cfg.target).alias("MODEL_TYPE"), F.col(target_col).alias("TARGET"),
-                          "y_proba", F.monotonically_increasing_id().alias("ROW_ID"))
-    ev_in = save_table(ev_in, *_t(cfg, f"eval_input_{cfg.target.lower()}"))  # fixed row ids
-    out["lift"] = save_table(ev.lift_table(ev.score_tiles(ev_in)), *_t(cfg, f"lift_{cfg.target.lower()}"))
+                          "y_proba", *lb.KEYS)
+    ev_in = save_table(ev_in, *_t(cfg, f"eval_input_{cfg.target.lower()}"))
+    out["lift"] = save_table(ev.lift_table(ev.score_tiles(ev_in, tie_col=lb.KEYS)), *_t(cfg, f"lift_{cfg.target.lower()}"))
     out["sweep"] = save_table(ev.threshold_sweep(ev_in), *_t(cfg, f"sweep_{cfg.target.lower()}"))
     out["auc"] = save_table(ev.roc_auc(ev_in), *_t(cfg, f"auc_{cfg.target.lower()}"))
     return out
@@ -101,7 +101,7 @@ def run_reporting(spark: SparkSession, results: dict[str, DataFrame], customers:
     """Union fact of the models' results, report tiles and running measures,
     tile AUC, star join to the customer dimension."""
     fact = ev.union_model_results(results.items())
-    fact = save_table(fact.withColumn("ROW_ID", F.monotonically_increasing_id()), *_t(cfg, "fact_train_all"))
+    fact = save_table(fact, *_t(cfg, "fact_train_all"))
     tiles = ev.report_tiles(fact)
     lift = save_table(ev.report_lift(tiles), *_t(cfg, "report_lift"))
     return {

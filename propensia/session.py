@@ -80,6 +80,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write an intermediate as Parquet in the shared checkpoint folder and read
+    it back: later scans read only the columns they need, and Spark knows the
+    written size when it plans the joins (a few rows of statistics are broadcast,
+    a large table is shuffled)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for one job's output."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -49,6 +49,7 @@ def daily_totals(events: DataFrame, watermark: str = "2 days") -> DataFrame:
     dropped inside each Arrow batch of the input partitions, so a group of
     copies holding a large share of a micro-batch sends at most one row per
     batch through the shuffle; the stateful operator removes the rest."""
+    events = events.select("event_id", "ts", "event_type", "value")  # Python gets no other column
     events = events.mapInPandas(_first_per_batch("event_id"), schema=events.schema)
     deduped = (events.withColumn("_evt", F.col("ts").cast("timestamp"))
                .withWatermark("_evt", watermark).dropDuplicatesWithinWatermark(["event_id"]))

@@ -15,8 +15,6 @@ from .conftest import SF001
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-SLOW = {"train_and_score", "feature_importance", "score_latest_model", "oversample_minority",
-        "correlation_pairs"}
 
 
 def _norm(v):
@@ -52,7 +50,7 @@ def duck():
 REG = load_all()
 
 
-@pytest.mark.parametrize("key", sorted(k for k in REG if k not in SLOW))
+@pytest.mark.parametrize("key", sorted(REG))
 def test_query_against_oracle(spark, duck, key):
     q = REG[key]
     got = q.build(spark, SF001).toPandas()
