@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from propensia.functions import ranking
-from propensia.operators import assemble, customers
+from propensia.operators import assemble, customers, labels, model, profile
 
 
 def test_ranks_with_nulls_equal_windows(spark):
@@ -41,3 +42,41 @@ def test_request_join_has_one_plan(spark):
         assert out.count() == n + 1
         shapes.append([line.split("#")[0].strip(" +-:") for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines()])
     assert [x.split(" ")[0] for x in shapes[0]] == [x.split(" ")[0] for x in shapes[1]]
+
+
+def test_correlations_refuse_nulls(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (None, 3.0)], "a double, b double")
+    with pytest.raises(ValueError, match="nulls of a"):
+        profile.correlation_pairs(df)
+
+
+def test_summary_of_nulls_and_empty_columns(spark):
+    df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None)], "a double, b double")
+    got = {r["column"]: r for r in profile.summary_stats(df).collect()}
+    assert (got["a"]["count"], got["a"]["mean"], got["a"]["p50"]) == (2, 2.0, 2.0)
+    assert (got["b"]["count"], got["b"]["mean"], got["b"]["p50"]) == (0, None, None)
+
+
+def test_propensity_rows_are_not_shuffled_by_month(spark):
+    rows = [(i, 2020, 1 + i % 2, float(i), float(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(rows, "CUST_NUM long, YEAR int, MONTH int, a double, b double")
+    out = labels.propensity_label(df, {"a": 0.5, "b": -0.1}, 0.97)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(YEAR" not in plan
+    p = df.toPandas()
+    by = p.groupby("MONTH")
+    z = sum(w * (p[c] - by[c].transform("mean")) / by[c].transform(lambda s: s.std(ddof=0)) for c, w in (("a", 0.5), ("b", -0.1)))
+    lo, hi = z.groupby(p.MONTH).transform("min"), z.groupby(p.MONTH).transform("max")
+    s = (z - lo) / (hi - lo)
+    want = dict(zip(p.CUST_NUM, (s >= s.groupby(p.MONTH).transform(lambda v: v.quantile(0.97))).astype(int)))
+    assert {r.CUST_NUM: r.TARGET for r in out.collect()} == want
+
+
+def test_versions_are_never_overwritten(spark, tmp_path):
+    df = spark.createDataFrame([(float(i), i % 2) for i in range(20)], "a double, y int")
+    fitted = model.train_gbt(df, ["a"], "y", maxIter=1)
+    assert [model.register_model(spark, fitted, str(tmp_path), "m") for _ in range(2)] == [1, 2]
+    assert model.load_latest(spark, str(tmp_path), "m").stages
+    (tmp_path / "m" / "v3").mkdir()
+    with pytest.raises(Exception, match="(?i)already exists"):
+        model.register_model(spark, fitted, str(tmp_path), "m")
