@@ -19,6 +19,7 @@ from .features import INTERNET, JOURNEY_SELECTED, TV, usage_feature_columns
 
 JOIN_KEYS = ["CUST_NUM", "YEAR", "MONTH"]
 OUT_KEYS = ["CUST_NUM", "MONTH", "YEAR"]
+# Feature columns kept by the assembled datasets.
 MOBILE_COLUMNS = ["AMOUNT_OUT_OF_BUNDLE_L3M", "NB_DAYS_OUT_OF_BUNDLE_L3M"]
 SOCIO_SELECTED = ["AVG_CUST_AGE", "AVG_NB_DAYS_INTERNET_LINE", "AVG_NB_DAYS_TV_LINE",
                   "AVG_NB_MOBILE_SUBS"]

@@ -40,6 +40,7 @@ def tag_model(df: DataFrame, model: str) -> DataFrame:
               .withColumn(MODEL, F.lit(m)))
 
 
+# Columns of the union fact.
 UNION_COLUMNS = ["CUST_NUM", "YEAR", "MONTH", "TARGET", "PREDICTION", "y_proba", "THRESHOLD_USED", MODEL]
 
 

@@ -188,6 +188,7 @@ def month_idx_of_keys() -> Column:
 # ---------------------------------------------------------------------------
 # Journeys (A3, J4 folded into one aggregate)
 
+# Fixed values.
 JOURNEY_SELECTED = [  # columns the assembled datasets keep (H14)
     "AMOUNT_OF_CONTACT_ADMINISTRATIVE_ISSUES_L3M", "AMOUNT_OF_CONTACT_COMPLAINTS_L3M",
     "JOURNEY_DURATION_ADMINISTRATIVE_ISSUES_L3M_DAYS", "JOURNEY_DURATION_COMPLAINTS_L3M_DAYS",
