@@ -13,6 +13,9 @@ from ..session import scratch_path, share_code
 #: ASCII white space [\x20\x09-\x0D]; words are the runs between it.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
+#: Lets Spark delete a query's shuffle files at its end, not at some later garbage collection.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Rows that one Python step handles at a time.
 SLICE_ROWS = 512
 
@@ -25,10 +28,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate as Parquet in the shared checkpoint folder and read
     it back. It cuts the lineage (a lost executor re-reads files), keeps
-    columns prunable, and gives the optimizer a measured size."""
+    columns prunable, and gives the optimizer a measured size. Nothing reads the
+    shuffles of the write again, so Spark removes their files when it ends."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
