@@ -405,6 +405,8 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     keyed = with_row_ids(docs, "near-dedup-docs")
     # an input column may be called like a result, so ids alone go through the join
     found = near_duplicates(keyed, doc_id="_uid").select(F.col("doc_id").alias("_uid"), F.col("component_id").alias("_component"))
-    groups = found.join(keyed.select("_uid", F.col(doc_id).alias("_id")), "_uid")
+    groups = stage(found.join(keyed.select("_uid", F.col(doc_id).alias("_id")), "_uid"), "near-dedup-groups")
     keep = groups.groupBy("_component").agg(F.min(F.struct(F.col("_id").isNull().alias("z"), "_id", "_uid")).alias("k")).select(F.col("k._uid").alias("_uid"))
-    return keyed.join(keep, "_uid", "left_semi").select(*docs.columns)
+    # The ids that go are mostly the fewer, and staged: Spark knows their size before it plans the join with the texts.
+    copies = stage(groups.select("_uid").join(keep, "_uid", "left_anti"), "near-dedup-copies")
+    return keyed.join(copies, "_uid", "left_anti").select(*docs.columns)
