@@ -76,5 +76,5 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """docs without the copies, all columns as they were."""
     keyed = with_row_ids(docs, "dedup-docs")
-    copies = duplicate_groups(radix_rows(keyed)).where("_uid <> keep_uid").select("_uid")
+    copies = stage(duplicate_groups(radix_rows(keyed)).where("_uid <> keep_uid").select("_uid"), "dedup-copies")
     return keyed.join(copies, "_uid", "left_anti").select(*docs.columns)
