@@ -4,8 +4,11 @@ A public vocabulary fits text of the languages it was made from: there a token
 holds several characters, hardly any character falls back to bytes, and the
 tokens are varied. Noise breaks one of these. Each text's words are encoded by a
 public sentencepiece vocabulary; three measures are held against the bands of
-the text's script: characters per token, share of byte-fallback tokens, and token entropy
-(as a share of the most that so many tokens can have). Plain counts of words,
+the text's language (its script where the language is missing): characters per
+token, share of byte-fallback tokens, and token entropy (as a share of the most
+that so many tokens can have). The bands come from the quartiles of each measure
+over the whole corpus, by language and length; a group of few documents, and every
+document besides, keeps to its script's fixed band. Plain counts of words,
 symbols, repeated lines and repeated windows come from the same pass.
 """
 
@@ -18,8 +21,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, stage
 from .vocab import ChunkTable, runs
 
 SYMBOLS = b"#*$%&|<>"
@@ -52,6 +56,13 @@ BANDS = {"latin": Band(1.1, 12.0, 0.10, 0.42), "cyrillic": Band(1.0, 12.0, 0.10,
          "thai": Band(0.3, 8.0, 1.00, 0.20), "cjk": Band(0.3, 4.0, 0.90, 0.30), "hangul": Band(0.3, 4.0, 0.95, 0.20),
          "other": Band(0.8, 12.0, 0.60, 0.30)}
 
+#: A language's band reaches so many interquartile ranges beyond its quartiles, and at least so far in the measure's own unit.
+#: Set on the labels of sf0.1 so that clean documents stay.
+MARGINS = {"chars_per_token": (2.5, 0.05), "byte_share": (2.5, 0.02), "entropy_share": (2.0, 0.02)}
+#: Fewest documents of a group with bands of its own, fewest tokens of a document that they judge, and the length
+#: below which a few numbers or names move a clean text, so that the margin is doubled.
+MIN_DOCS, MIN_TOKENS, SHORT_TOKENS = 100, 40, 256
+
 
 def script_of(text: str) -> str:
     """The script of most letters; ties go to the first name."""
@@ -97,17 +108,19 @@ def _pieces(model: str) -> tuple[ChunkTable, np.ndarray]:
 
 
 def quality_measures(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text",
-                     bands: dict[str, Band] = BANDS, keep: list[str] | None = None) -> DataFrame:
+                     bands: dict[str, Band] = BANDS, keep: list[str] | None = None, lang: str = "lang") -> DataFrame:
     """One row per row of docs: the keep columns (default: doc_id), n_words,
     word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, script,
     n_tokens, chars_per_token, byte_share, entropy_share, reasons (array) and kept.
 
     Words are runs without ASCII white space. A null text has no words and so
     fails, as any text of fewer than ten words does; measures that such a text hasn't are 0.
-    Rows are judged one by one: repeated rows get equal results, no rows give none."""
+    The measures are staged, as the bands come from all rows. Rows of equal text
+    and language get equal results; no rows give none. Without a lang column, or
+    where lang is null or empty, the script stands for the language."""
     names = keep if keep is not None else [doc_id]
     own = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, script string, "
-           "n_tokens bigint, chars_per_token double, byte_share double, entropy_share double, reasons array<string>, kept boolean")
+           "n_tokens bigint, chars_per_token double, byte_share double, entropy_share double, reasons array<string>")
 
     def judge(data: bytes, text: str, slots: np.ndarray, table: ChunkTable, is_byte: np.ndarray, spaces: int) -> tuple:
         n_words, word_chars = len(slots), len(text) - spaces
@@ -130,11 +143,11 @@ def quality_measures(docs: DataFrame, model: str, doc_id: str = "doc_id", text:
         if n >= band.min_tokens and entropy < band.min_entropy_share:
             reasons.append("entropy")
         return (n_words, word_chars, sum(map(data.count, SYMBOLS)) if data else 0, len(lines) - len(set(lines)), repeats, base, script,
-                n, fertility, byte_share, entropy, reasons, not base and not reasons)
+                n, fertility, byte_share, entropy, reasons)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, is_byte = _pieces(model)
-        types = [pa.int64()] * 5 + [pa.bool_(), pa.string(), pa.int64()] + [pa.float64()] * 3 + [pa.list_(pa.string()), pa.bool_()]
+        types = [pa.int64()] * 5 + [pa.bool_(), pa.string(), pa.int64()] + [pa.float64()] * 3 + [pa.list_(pa.string())]
         for batch in slices(batches):
             texts = [t or "" for t in batch.column("_text").to_pylist()]
             datas = [t.encode() for t in texts]
@@ -143,21 +156,53 @@ def quality_measures(docs: DataFrame, model: str, doc_id: str = "doc_id", text:
             rows = [judge(d, t, slots[a:b], table, is_byte, len(d) - sum(map(len, w)))
                     for d, t, w, a, b in zip(datas, texts, words, ends, ends[1:])]
             columns = list(zip(*rows)) or [()] * len(types)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), *(pa.array(list(c), k) for c, k in zip(columns, types))],
-                                             names=[f"c{i}" for i in range(len(names) + len(types))])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names) + 1)), *(pa.array(list(c), k) for c, k in zip(columns, types))],
+                                             names=[*(f"c{i}" for i in range(len(names))), "_lang", *own_names])
 
     kinds = [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names)]
     own_names = [x.split()[0] for x in own.split(", ")]
-    own_kinds = [f"c{i + len(names)} {x.split()[1]}" for i, x in enumerate(own.split(", "))]
-    out = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], docs[text].alias("_text")) \
-        .mapInArrow(run, ", ".join(kinds + own_kinds))
-    return out.toDF(*names, *own_names)
+    said = F.nullif(docs[lang].cast("string"), F.lit("")) if lang in docs.columns else F.lit(None).cast("string")
+    measured = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], said.alias("_lang"), docs[text].alias("_text")) \
+        .mapInArrow(run, ", ".join([*kinds, "_lang string", own]))
+    out = _held_to_corpus(stage(measured, "fertility"))
+    return out.select(*[f"c{i}" for i in range(len(names))], *own_names, "kept").toDF(*names, *own_names, "kept")
+
+
+def corpus_bands(measured: DataFrame, group: list[str]) -> DataFrame:
+    """For each group of MIN_DOCS documents or more that pass the base rules, the
+    lower and upper quartile of each measure; staged, as small as the groups are few."""
+    quartiles = [F.expr(f"percentile(round({m}, 3), array(0.25, 0.75))").alias(f"_{m}") for m in MARGINS]   # rounded, so that a group's state is bounded
+    found = measured.where(f"not base_failed and n_tokens >= {MIN_TOKENS}").groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *quartiles)
+    return stage(found.where(f"_n >= {MIN_DOCS}").drop("_n"), "fertility_bands")
+
+
+def _held_to_corpus(measured: DataFrame) -> DataFrame:
+    """measured with the reasons of the corpus's own bands added, and kept. The
+    band of a language's texts of like length (by powers of two) counts; that
+    of the whole language where these are few."""
+    measured = measured.withColumn("_group", F.coalesce(F.concat(F.lit("lang "), "_lang"), F.concat(F.lit("script "), "script"))) \
+        .withColumn("_length", F.length(F.bin("n_tokens")))
+    near, whole = corpus_bands(measured, ["_group", "_length"]), corpus_bands(measured, ["_group"])
+    both = measured.join(near, ["_group", "_length"], "left") \
+        .join(whole.toDF("_group", *[f"_whole_{m}" for m in MARGINS]), "_group", "left")
+    wide = F.when(F.col("n_tokens") < SHORT_TOKENS, 2.0).otherwise(1.0)
+    outside = {}
+    for m, (times, least) in MARGINS.items():
+        quartile = F.coalesce(f"_{m}", f"_whole_{m}")
+        margin = wide * F.greatest(F.lit(times) * (quartile[1] - quartile[0]), F.lit(least))
+        low, high = F.col(m) < quartile[0] - margin, F.col(m) > quartile[1] + margin
+        outside[m] = {"chars_per_token": low | high, "byte_share": high, "entropy_share": low}[m] & (F.col("n_tokens") >= MIN_TOKENS)
+    more = [F.when(outside[m], F.lit(m.removesuffix("_share") if m == "entropy_share" else m)) for m in MARGINS]
+    reasons = F.array_distinct(F.concat("reasons", F.array_compact(F.array(*more))))
+    return both.withColumn("reasons", reasons).withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0))
 
 
 def drop_rejected(docs: DataFrame, model: str) -> DataFrame:
-    """docs without the rows that the rules reject, all columns as they were."""
-    names = docs.columns
-    judged = quality_measures(docs, model, keep=names)
-    verdict = judged.toDF(*[f"c{i}" for i in range(len(names))], *[f"_m{i}" for i in range(len(judged.columns) - len(names))])
-    last = verdict.columns[-1]
-    return verdict.where(last).select(*[verdict[f"c{i}"].alias(c) for i, c in enumerate(names)])
+    """docs without the rows that the rules reject, all columns as they were. The
+    verdict hangs on text and language alone, so the rejected ones are known by
+    their hash; they are staged, and Spark broadcasts them if they are small."""
+    said = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+    keyed = docs.withColumn("_key", F.sha2(F.concat(said, F.lit("\0"), F.coalesce("text", F.lit(""))), 256))
+    judged = quality_measures(keyed, model, keep=["_key"])
+    rejected = stage(judged.where("not kept").select("_key").distinct(), "rejected")
+    return keyed.join(rejected, "_key", "left_anti").select(*docs.columns)

@@ -280,6 +280,30 @@ def test_quality_measures(spark, odd):
     assert fertility.quality_measures(odd.limit(0), queries.PIECE_MODEL).count() == 0
 
 
+def test_quality_bands_of_the_corpus(spark):
+    """One noisy document per measure passes the base rules and its script's fixed band, and falls by its language's own."""
+    rng = random.Random(9)
+    words = "the river rose slowly through spring and by time orchards were in bloom nobody could remember when it had last been quiet there".split()
+    syllables = ["ban", "del", "mor", "ti", "ster", "vo", "land", "er", "ing"]
+    words += ["".join(rng.choices(syllables, k=2)) for _ in range(300)]
+    clean = [" ".join(rng.choices(words, k=150)) for _ in range(150)]
+    noisy = {"chars_per_token": " ".join("".join(rng.choices("qxzjkvwpbg", k=6)) for _ in range(90)),
+             "byte_share": " ".join(w + "\U0001F9FF" * (i % 30 == 9) for i, w in enumerate(rng.choices(words, k=90))),
+             "entropy": " ".join(rng.choices(words[23:36], k=150))}
+    rows = [(i, t, lang) for lang in ("xx", None) for i, t in enumerate([*clean, *noisy.values()])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    judged = fertility.quality_measures(df, queries.PIECE_MODEL, keep=["doc_id", "lang"]).collect()
+    for lang in ("xx", None):
+        out = {r.doc_id: r for r in judged if r.lang == lang}
+        assert all(out[i].kept for i in range(150))
+        for i, measure in enumerate(noisy, 150):
+            assert not out[i].base_failed and measure in out[i].reasons and not out[i].kept, (measure, out[i])
+            band = fertility.BANDS[out[i].script]
+            assert band.min_chars_per_token <= out[i].chars_per_token and out[i].byte_share <= band.max_byte_share and out[i].entropy_share >= band.min_entropy_share
+    kept = fertility.drop_rejected(df, queries.PIECE_MODEL)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == sorted([*range(150)] * 2)
+
+
 # 10
 def test_separator_scan(spark, monkeypatch, tmp_path):
     rng = np.random.default_rng(3)
