@@ -211,6 +211,23 @@ def test_ordinal_model_held_out():
     assert ((tails > 0.5).sum(1) == grades[800:]).mean() > 0.95
 
 
+def test_ordinal_model_stems_and_held_out_tail():
+    """Toxic words that hardly ever come twice in one form are known by their stem."""
+    rng = random.Random(5)
+    def text(g):
+        words = ["".join(rng.choices(("ka", "lo", "mi", "ne", "ru", "so", "ti", "ve"), k=3)) for _ in range(rng.randrange(30, 120))]
+        if g == 1:
+            for _ in range(3):
+                words[rng.randrange(len(words))] = "bomente" + "".join(rng.choices("abcdefghij", k=4))
+        return " ".join(words)
+    grades = np.array([rng.choice((1, 2, 2, 2)) for _ in range(4600)])
+    found = quality_model.text_features([text(g) for g in grades])
+    least = quality_model.held_out_tail(found[:3600], grades[:3600])
+    tails = quality_model.fit_ordinal(found[:3600], grades[:3600]).tails(found[3600:])[:, -1]
+    assert (tails >= least)[grades[3600:] == 2].mean() > 0.99 and (tails >= least)[grades[3600:] == 1].mean() < 0.05
+    assert quality_model.held_out_tail(found[:100], grades[:100]) == quality_model.MIN_TAIL
+
+
 def test_quality_model_odd(spark, odd):
     labels = spark.createDataFrame([(0, 1, 0), (0, 0, 0), (None, 1, 0), (4, None, None), (1, 1, 1)], "doc_id bigint, quality int, toxic int")
     rows = quality_model.labelled_features(odd, labels)
