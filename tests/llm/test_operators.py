@@ -238,6 +238,15 @@ def test_quality_model_odd(spark, odd):
     assert quality_model.score_texts(odd.limit(0), none, ["doc_id"]).count() == 0
 
 
+def test_quality_model_repeated_documents(spark):
+    """One row per rated document is collected, however often it comes, and no rating is lost."""
+    df = docs(spark, [f"same id {i % 3}" for i in range(40)] + ["last one"], [1] * 40 + [2])
+    labels = spark.createDataFrame([(1, 0, 0), (2, 1, 0)], "doc_id bigint, quality int, toxic int")
+    for frame in (df, df.repartition(5)):
+        rows = quality_model.labelled_features(frame, labels, max_labels=2)
+        assert [g for g, _ in rows] == [0, 2] and all(np.array_equal(a, b) for (_, x), (_, y) in zip(rows, quality_model.labelled_features(df, labels)) for a, b in zip(x, y))
+
+
 # 8
 @pytest.mark.parametrize("seed", range(4))
 def test_pack_plan(seed):
