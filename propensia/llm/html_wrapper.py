@@ -11,7 +11,9 @@ ever different. Wrappers are merged per task first, then by salted host, then by
 host, so no task holds a host's pages.
 
 The finished wrapper says which slots are the article: slots under menus,
-headers, footers, sidebars, notices, adverts, forms or comments are not; if the
+headers, footers, sidebars, notices, adverts, forms or comments are not (inside an
+article only containers whose whole class names one, outside it any element that
+doesn't hold most of the host's varying text); if the
 template has an article (else a main) element, only slots inside it are; else a slot
 whose text is the same on all of the host's pages is template text, and so are
 slots that are mostly links (this also goes for single pages without the article element). Pages are then read again along their host's wrapper.
@@ -35,7 +37,7 @@ from .url_rules import url_host
 
 # Element names of the HTML standard by what they do to text.
 SWALLOW = frozenset("script style textarea title noscript template".split())   # without an end tag they take the rest of the page
-RAW = SWALLOW | frozenset("iframe object svg math canvas audio video select datalist button".split())
+RAW = SWALLOW | frozenset("iframe object svg canvas audio video select datalist button annotation annotation-xml".split())   # math is text, but for its unseen annotations
 BLOCKS = frozenset("""html body article main section nav header footer aside div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr
     td th caption blockquote pre figure figcaption form fieldset legend details summary dialog address hr center menu hgroup search""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,6 +55,15 @@ BOILER_WORDS = frozenset("""nav navbar navigation menu menubar topbar header mas
 BESIDE_WORDS = frozenset("""comment comments reply replies disqus discussion respond related recommended promo promotion sponsor sponsored ad ads
     advert adverts advertisement newsletter""".split())
 
+#: Words that may stand with these in a class's name for boilerplate inside an article ("comments-section"); with any other it names something else.
+PLAIN_WORDS = frozenset("""box block container wrapper wrap area section list item items link links post posts article articles story stories button buttons bar
+    inner outer unit slot site page global top bottom left right primary secondary""".split())
+#: Whole ids that name boilerplate inside an article; other ids there are anchors made from a heading.
+ID_WORDS = frozenset("""comment comments disqus respond replies sidebar navbar menubar topbar masthead adsense breadcrumb breadcrumbs pagination newsletter
+    subscribe toolbar tagcloud""".split())
+CONTAINERS = frozenset("div section aside nav header footer form ul ol dl menu table center details fieldset hgroup search dialog".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|$)", re.S)
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -66,9 +77,18 @@ def _words(value: str) -> list[str]:
     return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
 
 
+def _names_boilerplate(token: str, is_id: bool) -> bool:
+    if is_id:
+        return token.lower() in ID_WORDS
+    words = set(_words(token)) - {"header"}
+    return bool(words & BOILER_WORDS) and words <= BOILER_WORDS | PLAIN_WORDS
+
+
 def _element(name: str, tag: str) -> tuple[str, bool]:
-    """The element's key (name and class words) and whether it is hidden."""
-    words, hidden = [], False
+    """The element's key and whether it is hidden. The key is the name, the words
+    of class, role and id (a heading's id says what its text says), and "!" if a
+    container's whole class, role or id names boilerplate."""
+    words, hidden, named = [], False, False
     if len(tag) > len(name) + 2:
         for attribute, value in _ATTRIBUTE.findall(tag[len(name) + 1:].rstrip("/>")):
             attribute, value = attribute.lower(), value.strip("\"'")
@@ -76,9 +96,10 @@ def _element(name: str, tag: str) -> tuple[str, bool]:
                 hidden = True
             elif attribute == "style":
                 hidden |= bool(_HIDDEN.search(value))
-            else:
+            elif attribute != "id" or name not in HEADINGS:
                 words += _words(value)
-    return " ".join([name, *sorted(set(words))]), hidden
+                named |= any(_names_boilerplate(token, attribute == "id") for token in value.split())
+    return " ".join([name, *["!"] * (named and name in CONTAINERS), *sorted(set(words))]), hidden
 
 
 def page_blocks(page: str) -> Iterator[tuple[tuple[tuple[str, int], ...], str, int]]:
@@ -261,16 +282,28 @@ def _has_article(node: Node) -> bool:
     return any(n["k"].split(" ")[0] in ("article", "main") or _has_article(n) for _, _, nodes in node["r"] for n in nodes)
 
 
-def _boiler(node: Node, inside: bool) -> bool:
-    """Whether an element (inside: of an article) is no article text."""
+def _story(node: Node, pages: int) -> int:
+    """Characters of text under the node in slots that vary and are mostly no links."""
+    s = node["s"]
+    own = s[1] if s[0] and 2 * s[2] <= s[1] and (s[4] or pages == 1) else 0
+    return own + sum(_story(n, pages) for _, _, nodes in node["r"] for n in nodes)
+
+
+def _boiler(node: Node, inside: bool, pages: int, story: int) -> bool:
+    """Whether an element (inside: of an article) is no article text. story: the
+    characters of the whole wrapper's varying text."""
     name, *words = node["k"].split(" ")
-    said = BOILER_WORDS.intersection(words) - ({"header"} if inside else set())
     if name in ("html", "body", "main") or name == "article" and not inside:
         return False
     if name in BOILER_TAGS or name == "header" and not inside:
         return True
-    # a layout element may be called by what it has beside the article ("content-with-sidebar")
-    return bool(said) and (bool(said & BESIDE_WORDS) or not _has_article(node))
+    if inside:
+        return "!" in words
+    said = BOILER_WORDS.intersection(words)
+    if said & BESIDE_WORDS:
+        return True
+    # a layout element may be called by what it has beside the article ("content-with-sidebar"): it holds an article, or most of the varying text
+    return bool(said) and not _has_article(node) and not 2 * _story(node, pages) > story
 
 
 def main_slots(wrapper: Node, pages: int) -> tuple[set[int], set[int]]:
@@ -279,7 +312,7 @@ def main_slots(wrapper: Node, pages: int) -> tuple[set[int], set[int]]:
     slots: list[tuple[Node, str, int]] = []   # element, innermost kind of container, link share in percent
 
     def walk(node: Node, inside: str) -> None:
-        if _boiler(node, bool(inside)):
+        if _boiler(node, bool(inside), pages, story):
             return
         name = node["k"].split(" ")[0]
         inside = "article" if name == "article" else inside or name * (name == "main")
@@ -289,6 +322,7 @@ def main_slots(wrapper: Node, pages: int) -> tuple[set[int], set[int]]:
             for n in nodes:
                 walk(n, inside)
 
+    story = _story(wrapper, pages)
     walk(wrapper, "")
     plain = [n for n, _, share in slots if share <= 50]
     varied = {id(n) for n in plain if n["s"][4] or pages == 1} or {id(n) for n in plain}

@@ -75,6 +75,19 @@ def test_html(spark):
     assert html_wrapper.extract_text(df.limit(0)).count() == 0
 
 
+def test_html_words_in_names(spark):
+    """A word of a class or id drops no article text that it doesn't name as boilerplate."""
+    article = """<nav>Menu</nav><article><h1 id="social">Title {n}</h1><h2 id="related-work">Related work</h2><p>One {n}</p><section id="discussion"><p>Two {n}</p></section>
+<div class="legal-analysis"><p>Three {n}</p></div><section id="social-history"><p>Four <math><mi>x</mi><mo>=</mo><mn>{n}</mn><annotation>tex</annotation></math></p></section>
+<p class="notice">Five</p><div class="share-buttons">Share</div><div class="comments-section"><p>Reader {n}</p></div></article><footer>me</footer>"""
+    layout = """<div class="site-nav"><a href=x>Menu</a></div><div class="content with-sidebar"><div class="text"><p>The story number {n} of this host, told at some length.</p></div>
+<div class="left-sidebar">About {n}</div></div><div class="comments"><p>Reader {n} says what readers say</p></div><div class="legal">Imprint</div>"""
+    rows = [(10 * k + n, f"http://{host}.example.org/{n}", page.format(n=n)) for k, (host, page) in enumerate((("a", article), ("b", layout))) for n in range(4)]
+    out = {r.page_id: r.text for r in html_wrapper.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert out[3] == "Title 3\nRelated work\nOne 3\nTwo 3\nThree 3\nFour x=3\nFive"
+    assert out[12] == "The story number 2 of this host, told at some length."
+
+
 def test_html_wrapper_groups():
     trees = [html_wrapper.page_tree(html_wrapper.page_blocks(h))[0] for h in ("<ul><li>a<li>b</ul><p>x", "<ul><li>a</ul><h2>t</h2><p>x", "<p>x<ul><li>c</ul><p>y")]
     two = html_wrapper.merge(trees[0], trees[1])
