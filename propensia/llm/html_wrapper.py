@@ -24,7 +24,7 @@ from __future__ import annotations
 import html
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Generator, Iterable, Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -68,8 +68,6 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-MAX_DEPTH = 40   # deeper elements are read as their ancestor's
-
 Node = dict   # key, kids (list of runs [key, repeated, [nodes]]), mixed, optional, slot [pages, chars, links, hash, varies]
 
 
@@ -102,11 +100,11 @@ def _element(name: str, tag: str) -> tuple[str, bool]:
     return " ".join([name, *["!"] * (named and name in CONTAINERS), *sorted(set(words))]), hidden
 
 
-def page_blocks(page: str) -> Iterator[tuple[tuple[tuple[str, int], ...], str, int]]:
-    """The page's runs of text in order: path of (key, number of the element in
-    the page) from the root, text (white space runs as one space, references
+def page_blocks(page: str) -> Iterator[tuple[tuple | None, str, int]]:
+    """The page's runs of text in order: innermost element (its key, its number in
+    the page, the element around it; none at the root), text (white space runs as one space, references
     decoded), and how many of its characters are in links."""
-    path: list[tuple[str, int]] = []
+    path: list[tuple] = []
     names: list[str] = []
     hidden, links, serial, at, raw = 0, 0, 0, 0, ""
     text: list[str] = []
@@ -118,7 +116,7 @@ def page_blocks(page: str) -> Iterator[tuple[tuple[tuple[str, int], ...], str, i
         said, in_links = " ".join("".join(text).split()), linked
         text.clear()
         linked = 0
-        return (tuple(path[:MAX_DEPTH]), said, min(in_links, len(said))) if said and not hidden else None
+        return (path[-1] if path else None, said, min(in_links, len(said))) if said and not hidden else None
 
     for m in _TOKEN.finditer(page + " "):
         if m.start() < at:
@@ -171,7 +169,7 @@ def page_blocks(page: str) -> Iterator[tuple[tuple[tuple[str, int], ...], str, i
         key, unseen = _element(name, tag)
         serial += 1
         names.append(name)
-        path.append((key, serial))
+        path.append((key, serial, path[-1] if path else None))
         depth_hidden.append(unseen)
         hidden += unseen
     if at < len(page) and (rest := page[at:]):
@@ -187,16 +185,19 @@ def _node(key: str) -> Node:
 def page_tree(blocks: Iterable[tuple]) -> tuple[Node, list[tuple[Node, str]]]:
     """The page as a wrapper of itself, and its texts with their elements."""
     root, made, texts = _node(""), {}, []
-    for path, text, links in blocks:
-        at = root
-        for step in path:
-            if step not in made:
-                made[step] = kid = _node(step[0])
-                if at["r"] and at["r"][-1][0] == step[0]:
-                    at["r"][-1][2].append(kid)
-                else:
-                    at["r"].append([step[0], False, [kid]])
-            at = made[step]
+    for step, text, links in blocks:
+        new = []
+        while step and step[1] not in made:
+            new.append(step)
+            step = step[2]
+        at = made[step[1]] if step else root
+        for key, serial, _ in reversed(new):
+            made[serial] = kid = _node(key)
+            if at["r"] and at["r"][-1][0] == key:
+                at["r"][-1][2].append(kid)
+            else:
+                at["r"].append([key, False, [kid]])
+            at = kid
         texts.append((at, text))
         s = at["s"]
         s[0], s[1], s[2] = 1, s[1] + len(text), s[2] + links
@@ -210,14 +211,33 @@ def _merge_slots(a: list, b: list) -> list:
 
 
 def merge(a: Node, b: Node) -> Node:
-    """One element that stands for both."""
+    """One element that stands for both. Elements inside are merged on a stack of
+    its own, so that no depth is too great."""
+    stack, done = [_merge(a, b)], None
+    while stack:
+        try:
+            pair = stack[-1].send(done)
+        except StopIteration as end:
+            stack.pop()
+            done = end.value
+        else:
+            stack.append(_merge(*pair))
+            done = None
+    return done
+
+
+Merging = Generator[tuple[Node, Node], Node, object]   # asks for two elements to be merged, gets the one that stands for them
+
+
+def _merge(a: Node, b: Node) -> Merging:
     out = {"k": a["k"], "m": a["m"] or b["m"], "o": a["o"] or b["o"], "s": _merge_slots(a["s"], b["s"]), "r": []}
     keys_a, keys_b = [r[0] for r in a["r"]], [r[0] for r in b["r"]]
     if not out["m"] and keys_a == keys_b:
-        out["r"] = [_merge_runs(x, y) for x, y in zip(a["r"], b["r"])]
+        for x, y in zip(a["r"], b["r"]):
+            out["r"].append((yield from _merge_runs(x, y)))
         return out
     if not out["m"] and len(set(keys_a)) == len(keys_a) and len(set(keys_b)) == len(keys_b):
-        runs = _align(a["r"], b["r"], keys_a, keys_b)
+        runs = yield from _align(a["r"], b["r"], keys_a, keys_b)
         if len({r[0] for r in runs}) == len(runs):
             out["r"] = runs
             return out
@@ -225,35 +245,67 @@ def merge(a: Node, b: Node) -> Node:
     by_key: dict[str, list] = {}
     for key, _, nodes in [*a["r"], *b["r"]]:
         by_key.setdefault(key, []).extend(nodes)
-    out["r"] = [[key, True, [_fold(nodes)]] for key, nodes in by_key.items()]
+    for key, nodes in by_key.items():
+        out["r"].append([key, True, [(yield from _fold(nodes))]])
     return out
 
 
-def _fold(nodes: list[Node]) -> Node:
+def _fold(nodes: list[Node]) -> Merging:
     out = nodes[0]
     for n in nodes[1:]:
-        out = merge(out, n)
+        out = yield out, n
     return {**out, "o": True}
 
 
-def _merge_runs(x: list, y: list) -> list:
+def _merge_runs(x: list, y: list) -> Merging:
     if not x[1] and not y[1] and len(x[2]) == len(y[2]):
-        return [x[0], False, [merge(n, m) for n, m in zip(x[2], y[2])]]
-    folded = _fold([*x[2], *y[2]])
+        merged = []
+        for n, m in zip(x[2], y[2]):
+            merged.append((yield n, m))
+        return [x[0], False, merged]
+    folded = yield from _fold([*x[2], *y[2]])
     return [x[0], True, [{**folded, "o": x[2][0]["o"] or y[2][0]["o"]}]]
 
 
-def _align(a: list, b: list, keys_a: list[str], keys_b: list[str]) -> list:
+def _align(a: list, b: list, keys_a: list[str], keys_b: list[str]) -> Merging:
     optional = lambda run: [run[0], run[1], [{**n, "o": True} for n in run[2]]]
     out = []
     for kind, i, j, x, y in SequenceMatcher(None, keys_a, keys_b, autojunk=False).get_opcodes():
         if kind == "equal":
-            out += [_merge_runs(p, q) for p, q in zip(a[i:j], b[x:y])]
+            for p, q in zip(a[i:j], b[x:y]):
+                out.append((yield from _merge_runs(p, q)))
         else:
             out += [optional(r) for r in [*a[i:j], *b[x:y]]]
     return out
 
 
+def _walk(root: Node) -> Iterator[tuple[Node, int, int, bool]]:
+    """The elements in order, each with its depth, the number of its run in the element around it, and whether that is repeated."""
+    todo = [(root, 0, 0, False)]
+    while todo:
+        node, depth, _, _ = found = todo.pop()
+        yield found
+        todo += [(n, depth + 1, i, run[1]) for i, run in reversed([*enumerate(node["r"])]) for n in reversed(run[2])]
+
+
+def write_tree(root: Node) -> str:
+    return json.dumps([[depth, i, repeated, n["k"], n["m"], n["o"], n["s"]] for n, depth, i, repeated in _walk(root)], separators=(",", ":"))
+
+
+def read_tree(text: str) -> Node:
+    path: list[Node] = []
+    for depth, i, repeated, key, mixed, optional, slot in json.loads(text):
+        node = {"k": key, "r": [], "m": mixed, "o": optional, "s": slot}
+        del path[depth:]
+        if path:
+            runs = path[-1]["r"]
+            if i == len(runs):
+                runs.append([key, repeated, []])
+            runs[i][2].append(node)
+        path.append(node)
+    return path[0]
+
+
 def expression(node: Node) -> str:
     """The wrapper as a union-free regular expression, for people."""
     def one(run: list) -> str:
@@ -267,31 +319,32 @@ def expression(node: Node) -> str:
 
 def match(wrapper: Node, page: Node) -> Iterator[tuple[Node, Node]]:
     """Each element of the page with the wrapper's element that stands for it."""
-    yield wrapper, page
-    same = not wrapper["m"] and [r[0] for r in wrapper["r"]] == [r[0] for r in page["r"]]
-    by_key = {r[0]: r for r in wrapper["r"]}
-    for i, (key, _, nodes) in enumerate(page["r"]):
-        run = wrapper["r"][i] if same else by_key.get(key)
-        if run is None:
-            continue
-        for j, node in enumerate(nodes):
-            yield from match(run[2][j] if not run[1] and j < len(run[2]) else run[2][0], node)
-
-
-def _has_article(node: Node) -> bool:
-    return any(n["k"].split(" ")[0] in ("article", "main") or _has_article(n) for _, _, nodes in node["r"] for n in nodes)
-
-
-def _story(node: Node, pages: int) -> int:
-    """Characters of text under the node in slots that vary and are mostly no links."""
-    s = node["s"]
-    own = s[1] if s[0] and 2 * s[2] <= s[1] and (s[4] or pages == 1) else 0
-    return own + sum(_story(n, pages) for _, _, nodes in node["r"] for n in nodes)
+    todo = [(wrapper, page)]
+    while todo:
+        wrapper, page = pair = todo.pop()
+        yield pair
+        same = not wrapper["m"] and [r[0] for r in wrapper["r"]] == [r[0] for r in page["r"]]
+        by_key = {r[0]: r for r in wrapper["r"]}
+        for i, (key, _, nodes) in enumerate(page["r"]):
+            run = wrapper["r"][i] if same else by_key.get(key)
+            if run is not None:
+                todo += [(run[2][j] if not run[1] and j < len(run[2]) else run[2][0], node) for j, node in enumerate(nodes)]
+
+
+def _evidence(wrapper: Node, pages: int) -> dict[int, tuple[bool, int]]:
+    """By id() of an element: whether it has an article or main inside, and its
+    characters of text in slots that vary and are mostly no links."""
+    out: dict[int, tuple[bool, int]] = {}
+    for node, *_ in reversed([*_walk(wrapper)]):   # inner ones first
+        s, kids = node["s"], [n for _, _, nodes in node["r"] for n in nodes]
+        story = s[1] if s[0] and 2 * s[2] <= s[1] and (s[4] or pages == 1) else 0
+        out[id(node)] = (any(out[id(n)][0] or n["k"].split(" ")[0] in ("article", "main") for n in kids), story + sum(out[id(n)][1] for n in kids))
+    return out
 
 
-def _boiler(node: Node, inside: bool, pages: int, story: int) -> bool:
-    """Whether an element (inside: of an article) is no article text. story: the
-    characters of the whole wrapper's varying text."""
+def _boiler(node: Node, inside: bool, has_article: bool, most: bool) -> bool:
+    """Whether an element (inside: of an article) is no article text; most: it has
+    most of the wrapper's varying text."""
     name, *words = node["k"].split(" ")
     if name in ("html", "body", "main") or name == "article" and not inside:
         return False
@@ -303,7 +356,7 @@ def _boiler(node: Node, inside: bool, pages: int, story: int) -> bool:
     if said & BESIDE_WORDS:
         return True
     # a layout element may be called by what it has beside the article ("content-with-sidebar"): it holds an article, or most of the varying text
-    return bool(said) and not _has_article(node) and not 2 * _story(node, pages) > story
+    return bool(said) and not has_article and not most
 
 
 def main_slots(wrapper: Node, pages: int) -> tuple[set[int], set[int]]:
@@ -311,19 +364,20 @@ def main_slots(wrapper: Node, pages: int) -> tuple[set[int], set[int]]:
     that are for pages that have none of them."""
     slots: list[tuple[Node, str, int]] = []   # element, innermost kind of container, link share in percent
 
-    def walk(node: Node, inside: str) -> None:
-        if _boiler(node, bool(inside), pages, story):
-            return
+    evidence = _evidence(wrapper, pages)
+    story = evidence[id(wrapper)][1]
+    todo = [(wrapper, "")]
+    while todo:
+        node, inside = todo.pop()
+        has_article, own = evidence[id(node)]
+        if _boiler(node, bool(inside), has_article, 2 * own > story):
+            continue
         name = node["k"].split(" ")[0]
         inside = "article" if name == "article" else inside or name * (name == "main")
         if node["s"][0]:
             slots.append((node, inside, 100 * node["s"][2] // max(node["s"][1], 1)))
-        for _, _, nodes in node["r"]:
-            for n in nodes:
-                walk(n, inside)
+        todo += [(n, inside) for _, _, nodes in node["r"] for n in nodes]
 
-    story = _story(wrapper, pages)
-    walk(wrapper, "")
     plain = [n for n, _, share in slots if share <= 50]
     varied = {id(n) for n in plain if n["s"][4] or pages == 1} or {id(n) for n in plain}
     for kind in ("article", "main"):
@@ -336,7 +390,7 @@ def _merge_all(rows: Iterable[tuple[str, int, str]]) -> Iterator[tuple[str, int,
     """Sorted (host, pages, wrapper): the wrappers of a host merged, one host at a time."""
     host, pages, tree = None, 0, None
     for h, n, w in rows:
-        w = json.loads(w)
+        w = read_tree(w)
         if h == host:
             pages, tree = pages + n, merge(tree, w)
             continue
@@ -348,7 +402,7 @@ def _merge_all(rows: Iterable[tuple[str, int, str]]) -> Iterator[tuple[str, int,
 
 
 def _wrapper_rows(found: Iterable[tuple[str, int, Node]]) -> pa.RecordBatch:
-    rows = [(h, n, json.dumps(t, separators=(",", ":"))) for h, n, t in found]
+    rows = [(h, n, write_tree(t)) for h, n, t in found]
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
                                        pa.array([r[2] for r in rows], pa.string())], names=["host", "pages", "wrapper"])
 
@@ -404,7 +458,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
                 if host not in known:
                     if len(known) >= TASK_HOSTS:
                         known.clear()
-                    tree = json.loads(wrapper)
+                    tree = read_tree(wrapper)
                     known[host] = (tree, main_slots(tree, n))
                 tree, article = known[host]
                 own, blocks = page_tree(page_blocks(page or ""))

@@ -88,6 +88,14 @@ def test_html_words_in_names(spark):
     assert out[12] == "The story number 2 of this host, told at some length."
 
 
+@pytest.mark.parametrize("depth", [60, 5000])
+def test_html_deep_pages(spark, depth):
+    page = "<div>" * depth + "<nav><a href=x>Menu</a> of it</nav><article><h1>Title {n}</h1><p>Story {n}</article><footer>me</footer>"
+    rows = [(n, f"http://a.example.org/{n}", page.format(n=n) + "</div>" * (depth * (n % 2))) for n in range(4)]
+    out = {r.page_id: r.text for r in html_wrapper.extract_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert out == {n: f"Title {n}\nStory {n}" for n in range(4)}
+
+
 def test_html_wrapper_groups():
     trees = [html_wrapper.page_tree(html_wrapper.page_blocks(h))[0] for h in ("<ul><li>a<li>b</ul><p>x", "<ul><li>a</ul><h2>t</h2><p>x", "<p>x<ul><li>c</ul><p>y")]
     two = html_wrapper.merge(trees[0], trees[1])
