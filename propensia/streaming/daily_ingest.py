@@ -1,9 +1,11 @@
 """Incremental ingest of daily landed event files with per-day totals.
 
 Sources land one day per run; instead of re-reading the full history every
-month, a file stream picks up only new files. Each trigger deduplicates
-events within the watermark, folds them into per-day, per-type counts and
-sums, and rewrites the (small: days x types) result table. The checkpoint
+month, a file stream picks up only new files. Each trigger takes the events not
+counted yet, however late, adds them to the event table (by batch and day), and
+adds their counts and sums per day and type to the totals as the batch's own
+rows; late and undated events are listed in a side table too. No batch changes
+another's files, and a repeated batch replaces its own. The checkpoint
 lives under the shared ``spark.checkpoint.dir`` so a restarted driver or a
 lost executor resumes from the last committed batch; ``availableNow``
 processes everything landed so far, then stops, which is what a daily
@@ -26,80 +28,97 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-def _first_per_batch(key: str):
-    """Keep the first row of each key inside one Arrow batch (stateless)."""
+EVENTS = "event_id bigint, ts timestamp_ntz, event_type string, value double, batch bigint, day date"
+TOTALS = "window_start timestamp_ntz, event_type string, n_events bigint, total_value_cents bigint, last_ts timestamp_ntz, batch bigint"
+LATE = "event_id bigint, ts timestamp_ntz, event_type string, value double, reason string, batch bigint"
 
-    def run(batches):
-        for pdf in batches:
-            yield pdf[~pdf[key].duplicated()]
 
-    return run
-
-
-def daily_totals(events: DataFrame, watermark: str = "2 days") -> DataFrame:
+def daily_totals(events: DataFrame) -> DataFrame:
     """Per (day, event type): event count and value sum in integer cents
-    (exact under any arrival order), after de-duplication on event_id.
-
-    The watermark needs an instant, so it runs on ``ts`` cast to a timestamp;
-    the day windows are cut on the wall-clock ``ts`` itself, so the output
-    does not depend on the session time zone.
-
-    Streaming de-duplication has no map-side combine: every copy of an
-    event_id would reach the one task that owns its state. Copies are first
-    dropped inside each Arrow batch of the input partitions, so a group of
-    copies holding a large share of a micro-batch sends at most one row per
-    batch through the shuffle; the stateful operator removes the rest."""
-    events = events.select("event_id", "ts", "event_type", "value")  # Python gets no other column
-    events = events.mapInPandas(_first_per_batch("event_id"), schema=events.schema)
-    deduped = (events.withColumn("_evt", F.col("ts").cast("timestamp"))
-               .withWatermark("_evt", watermark).dropDuplicatesWithinWatermark(["event_id"]))
-    agg = deduped.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(
+    (exact under any arrival order) and last ts. Days are cut on the wall-clock ``ts``,
+    so they don't depend on the session time zone; undated events have a null day."""
+    return events.groupBy(F.to_date("ts").cast("timestamp_ntz").alias("window_start"), "event_type").agg(
         F.count(F.lit(1)).alias("n_events"),
-        F.sum(F.round(F.col("value") * 100).cast("long")).alias("total_value_cents"))
-    return agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      "event_type", "n_events", "total_value_cents")
+        F.sum(F.round(F.col("value") * 100).cast("long")).alias("total_value_cents"),
+        F.max("ts").alias("last_ts"))
+
+
+def new_events(batch: DataFrame, counted: DataFrame | None, watermark: str) -> DataFrame:
+    """One row per event_id of the batch (the earliest; undated ones last) that isn't
+    among the counted events of the days within the watermark of the batch's days.
+    Copies combine before the shuffle; the list of days is bounded by the calendar."""
+    row = F.min(F.struct(F.col("ts").isNull().alias("undated"), "ts", "event_type", "value")).alias("_row")
+    once = batch.groupBy("event_id").agg(row).select("event_id", "_row.ts", "_row.event_type", "_row.value")
+    if counted is None:
+        return once
+    near = F.explode(F.sequence(F.to_date(F.expr(f"ts - interval {watermark}")), F.to_date(F.expr(f"ts + interval {watermark}"))))
+    days = [r[0] for r in batch.where("ts is not null").select(near).distinct().collect()]
+    known = counted.where(F.col("day").isin(days) | F.col("day").isNull()).select(F.col("event_id").alias("_known"))
+    return once.join(known, F.col("event_id").eqNullSafe(F.col("_known")), "left_anti")
 
 
 def land_events(events: DataFrame, landing_dir: str, days_per_drop: int = 4) -> int:
     """Land events as the upstream systems do: one drop of files per block of
     ``days_per_drop`` days, written in time order (so file times follow
-    event times). Returns the number of drops. The number of drops is the
+    event times), then one of the rows without ts, if any. Returns the number of drops. The number of drops is the
     calendar span over the block size, not a function of the row count."""
-    bounds = events.agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi")).first()
+    bounds = events.agg(F.min(F.to_date("ts")).alias("lo"), F.max(F.to_date("ts")).alias("hi"),
+                        F.count_if(F.col("ts").isNull()).alias("undated")).first()
     lo, hi = bounds["lo"], bounds["hi"]
-    if lo is None:
-        return 0
     drops = 0
     day = lo
-    while day <= hi:
+    while lo is not None and day <= hi:
         end = day + _dt.timedelta(days=days_per_drop)
         (events.where((F.col("ts") >= F.lit(_dt.datetime.combine(day, _dt.time())))
                       & (F.col("ts") < F.lit(_dt.datetime.combine(end, _dt.time()))))
                .write.mode("append").parquet(landing_dir))
         drops += 1
         day = end
+    if bounds["undated"]:
+        events.where(F.col("ts").isNull()).write.mode("append").parquet(landing_dir)
+        drops += 1
     return drops
 
 
 def run_daily_ingest(spark: SparkSession, source_path: str, out_path: str | None = None,
                      checkpoint: str | None = None, schema: T.StructType = EVENT_SCHEMA,
                      watermark: str = "2 days", max_files_per_trigger: int | None = None) -> DataFrame:
-    """Process every landed file not yet seen and return the result table."""
+    """Process every landed file not yet seen and return the totals of all batches.
+    out_path (folders events, totals and late) and checkpoint belong together."""
     out_path = out_path or scratch_path(spark, "daily_totals")
     checkpoint = checkpoint or scratch_path(spark, "daily_totals_ckpt")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(source_path)
+    stream = reader.parquet(source_path).select("event_id", "ts", "event_type", "value")
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # complete mode: the batch is the whole (days x types) table
-        batch.write.mode("overwrite").parquet(out_path)
+    def table(batch: DataFrame, name: str, kind: str) -> DataFrame:
+        return batch.sparkSession.read.schema(kind).parquet(f"{out_path}/{name}")
 
-    q = (daily_totals(stream, watermark).writeStream.outputMode("complete")
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        counted = table(batch, "events", EVENTS).where(F.col("batch") < batch_id) if batch_id else None
+        last = table(batch, "totals", TOTALS).where(F.col("batch") < batch_id).agg(F.max("last_ts")).first()[0] if batch_id else None
+        (new_events(batch, counted, watermark).withColumn("day", F.to_date("ts"))
+         .write.mode("overwrite").partitionBy("day").parquet(f"{out_path}/events/batch={batch_id}"))
+        found = table(batch, "events", EVENTS).where(F.col("batch") == batch_id)
+        late = F.when(F.col("ts").isNull(), F.lit("undated"))
+        if last is not None:
+            late = late.when(F.col("ts") < F.lit(str(last)).cast("timestamp_ntz") - F.expr(f"interval {watermark}"), F.lit("late"))
+        (found.select("event_id", "ts", "event_type", "value", late.alias("reason")).where("reason is not null")
+         .write.mode("overwrite").parquet(f"{out_path}/late/batch={batch_id}"))
+        daily_totals(found).write.mode("overwrite").parquet(f"{out_path}/totals/batch={batch_id}")
+
+    q = (stream.writeStream
          .option("checkpointLocation", checkpoint)
          .foreachBatch(write_batch)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
-    return spark.read.parquet(out_path)
+    return (spark.read.schema(TOTALS).parquet(f"{out_path}/totals").groupBy("window_start", "event_type")
+            .agg(F.sum("n_events").alias("n_events"), F.sum("total_value_cents").alias("total_value_cents"))
+            .select("window_start", F.expr("window_start + interval 1 day").alias("window_end"), "event_type", "n_events", "total_value_cents"))
+
+
+def late_events(spark: SparkSession, out_path: str) -> DataFrame:
+    """The counted events that came later than the watermark or without ts, with the reason and their batch."""
+    return spark.read.schema(LATE).parquet(f"{out_path}/late")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from propensia.session import scratch_path
-from propensia.streaming.daily_ingest import EVENT_SCHEMA, run_daily_ingest
+from propensia.streaming.daily_ingest import EVENT_SCHEMA, land_events, late_events, run_daily_ingest
 
 
 def _drop(spark, rows, path):
@@ -26,3 +26,22 @@ def test_copies_counted_once_across_drops_and_runs(spark):
     second = {(r.window_start.day, r.event_type, r.n_events, r.total_value_cents)
               for r in run_daily_ingest(spark, land, out, ckpt).collect()}
     assert second == {(1, "click", 1, 125), (1, "view", 1, 250), (2, "click", 1, 50)}
+
+
+def test_late_and_undated_events_are_counted(spark):
+    land, out, ckpt = (scratch_path(spark, n) for n in ("t_late_landing", "t_late_out", "t_late_ckpt"))
+    day = lambda n: dt.datetime(2024, 1, n, 12)
+    for n in (1, 2, 9):
+        _drop(spark, [(n, day(n), 1, "click", 1.0, "{}")], land)
+        run_daily_ingest(spark, land, out, ckpt)
+    # day 4 lands 5 days late, with a copy of a counted event and one without ts
+    _drop(spark, [(4, day(4), 1, "click", 2.0, "{}"), (2, day(2), 1, "click", 1.0, "{}"), (50, None, 1, "view", 3.0, "{}")], land)
+    got = {(r.window_start and r.window_start.day, r.event_type, r.n_events, r.total_value_cents) for r in run_daily_ingest(spark, land, out, ckpt).collect()}
+    assert got == {(1, "click", 1, 100), (2, "click", 1, 100), (4, "click", 1, 200), (9, "click", 1, 100), (None, "view", 1, 300)}
+    assert {(r.event_id, r.reason) for r in late_events(spark, out).collect()} == {(4, "late"), (50, "undated")}
+
+
+def test_undated_events_are_landed(spark):
+    path = scratch_path(spark, "t_undated")
+    rows = [(1, dt.datetime(2024, 1, 1), 1, "a", 1.0, "{}"), (2, None, 1, "a", 1.0, "{}")]
+    assert land_events(spark.createDataFrame(rows, EVENT_SCHEMA), path) == 2 and spark.read.parquet(path).count() == 2
