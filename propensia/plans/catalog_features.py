@@ -111,6 +111,12 @@ def q_filter_active_rows(spark, sf_dir):
     return fx.filter_active_rows(j, _ACTIVE_COLS)
 
 
+@register("filter_mobile_subscribers", "P21", sg.render(
+    _fx("socio_demo"), "select * from socio_demo where NB_MOBILE_SUBS > 0"))
+def q_filter_mobile_subscribers(spark, sf_dir):
+    return fx.filter_active_rows(_src(spark, sf_dir, "socio_demo"), ["NB_MOBILE_SUBS"])
+
+
 # --------------------------------------------------------------------------- A1, W1, W8
 
 

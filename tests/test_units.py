@@ -181,3 +181,10 @@ def test_shared_usage_pass_equals_single_source(spark):
         alone = fx.usage_features(raw, spec, win)
         assert got.columns == alone.columns and got.count() == alone.count() > 0
         assert got.exceptAll(alone).count() == 0 and alone.exceptAll(got).count() == 0
+
+
+def test_filter_mobile_subscribers(spark):
+    from propensia.plans.catalog import load_all
+    from .conftest import SF001
+    rows = load_all()["filter_mobile_subscribers"].build(spark, SF001).select("NB_MOBILE_SUBS").distinct().collect()
+    assert {r[0] for r in rows} == {1, 2, 3}
