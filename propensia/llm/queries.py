@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat_format, exact_dedup, fertility, html_wrapper, ngram_join, packing, quality_model, token_counts, url_rules
+from . import byte_bpe, chat_format, collocations, exact_dedup, fertility, hnsw, html_wrapper, ngram_join, packing, quality_model, token_counts, url_rules, whitening
 from .common import read
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -66,9 +66,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.document_token_counts(read(spark, sf_dir, "documents"), BYTE_JSON, BYTE_JSON_EOD).select("doc_id", "n_tokens")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest_neighbours(read(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_format, op2_html_text, op3_exact_dedup, op4_ngram_join, op5_url_rules, op6_byte_bpe, op7_quality_model, op8_packing, op9_quality_rules,
-                            op10_token_counts)}
+                            op10_token_counts, op11_collocations, op12_hnsw_search, op13_whitening)}
 
 ORACLE: dict[str, str] = {
     "op1_chat_format": r"""
@@ -99,4 +111,25 @@ r(rh, rp, v) as (values ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
 m as (select h.*, r.rh || r.rp as rule, r.v, row_number() over (partition by h.page_id order by length(r.rh || r.rp) desc nulls last, length(r.rh) desc) as k
       from h left join r on (h.host = r.rh or ends_with(h.host, '.' || r.rh)) and starts_with(h.path, r.rp))
 select page_id, host, path, rule, coalesce(v, 'allow') as verdict from m where k = 1""",
+    "op11_collocations": r"""
+with p as (select doc_id, lang, row_number() over () as piece, p from (select doc_id, coalesce(lang, 'und') as lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p from documents)),
+w as (select lang, piece, unnest(ws) as x, generate_subscripts(ws, 1) as i
+      from (select lang, piece, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') as ws from p)),
+e as (select lang, x as w1, lead(x, 1) over v as w2, lead(x, 2) over v as w3, lead(x, 3) over v as w4 from w window v as (partition by piece order by i)),
+g as (select lang, 1 as k, w1 as ph from e union all select lang, 2, w1 || ' ' || w2 from e where w2 is not null
+      union all select lang, 3, w1 || ' ' || w2 || ' ' || w3 from e where w3 is not null
+      union all select lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 from e where w4 is not null),
+f as (select lang, k, ph, count(*) as a from g group by all having count(*) >= 30),
+n as (select lang, count(*) as n from w group by lang),
+s as (select *, string_split(ph, ' ') as ws from f where k > 1),
+c as (select s.lang, s.k, s.ph, s.a, cut, x.a as l, y.a as r, ((2000000::hugeint * s.a) // (x.a + y.a))::bigint as score
+      from s cross join (select unnest([1, 2, 3]) as cut) join f x on x.lang = s.lang and x.ph = array_to_string(s.ws[1:cut], ' ')
+      join f y on y.lang = s.lang and y.ph = array_to_string(s.ws[cut + 1:s.k], ' ') where cut < s.k),
+b as (select * from c qualify row_number() over (partition by lang, ph order by score, cut) = 1),
+h as (select lang, array_to_string(ws[o:o + m - 1], ' ') as ph, max(a) as a from s, unnest([2, 3]) as t(m), unnest([1, 2, 3]) as v(o)
+      where m < k and o + m - 1 <= k group by all),
+z as (select b.* from b left join h on h.lang = b.lang and h.ph = b.ph where h.a is null or 100 * h.a < 80 * b.a)
+select z.lang, (row_number() over (partition by z.lang order by score desc, z.a desc, ph))::int as rank, ph as phrase, z.a, l, r, n.n, score
+from z join n on n.lang = z.lang qualify rank <= 2000""",
 }
