@@ -286,7 +286,8 @@ def query_blocks(queries: DataFrame, block_bytes: int = QUERY_BYTES) -> DataFram
         return pa.RecordBatch.from_pydict({"block": pa.array([number]), "dim": pa.array([dim], pa.int32()), "ids": pa.array([ids.tobytes()], pa.binary()),
                                            "vectors": pa.array([vectors.tobytes()], pa.binary())})
 
-    return stage(queries.select("id", "vec").mapInArrow(run, "block bigint, dim int, ids binary, vectors binary"), "ann-queries")
+    # dealt anew by size, so that blocks are as few and full as can be
+    return stage(queries.select("id", "vec").hint("rebalance").mapInArrow(run, "block bigint, dim int, ids binary, vectors binary"), "ann-queries")
 
 
 def search_index(index: DataFrame, blocks: DataFrame, nearest: int = NEAREST, width: int = SEARCH_BEAM) -> DataFrame:
