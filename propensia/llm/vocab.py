@@ -4,6 +4,8 @@ A text is cut only where the tokenizer itself always cuts, so the ids of the
 text are the ids of its chunks one after the other. Each distinct chunk is
 encoded by the tokenizer library when a Python worker first meets it; the chunk
 table is a cache (when it is full, chunks met only once leave it) and never changes a result.
+A Python worker outlives its task and serves other operators after it: it holds the table of one
+operator at a time, bounded in bytes.
 """
 
 from __future__ import annotations
@@ -23,6 +25,12 @@ _ODD = re.compile(r"\s\s|^\s|\s$|[\x1c-\x1f]")
 TAIL = ".,!?;:*#$%&|()[]{}<>-_=+/\\\"~^@"
 
 
+#: Estimated bytes of a table beyond its chunks' characters and ids, for each chunk; and the most of a table in all.
+CHUNK_BYTES, TABLE_BYTES = 160, 88 << 20
+
+_held: ChunkTable | None = None   # the table that this worker used last
+
+
 Runs = tuple[list[str], np.ndarray, np.ndarray]   # chunks, all their ids, number of ids of each
 
 
@@ -37,12 +45,13 @@ class ChunkTable:
     tails: if not None, a letter and the punctuation after it are encoded apart,
     the punctuation as a chunk that has this string before it."""
 
-    def __init__(self, encode: Callable[[list[str]], Runs], tails: str | None = None, limit: int = 500_000):
+    def __init__(self, encode: Callable[[list[str]], Runs], tails: str | None = None, limit: int = TABLE_BYTES):
         self.encode, self.tails, self.limit = encode, tails, limit
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
+        self.size = 0                        # estimated bytes
         self.met = np.zeros(0, np.int64)     # times that each chunk was met
         self.start = np.zeros(1, np.int64)   # start of each chunk's ids, then the end
         self.flat = np.empty(0, np.uint32)
@@ -52,17 +61,18 @@ class ChunkTable:
         self.flat = np.concatenate([self.flat, flat])
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lens)])
         self.index.update(zip(chunks, range(base, base + len(chunks))))
+        self.size += CHUNK_BYTES * len(chunks) + sum(map(len, chunks)) + flat.nbytes
 
     def shrink(self) -> None:
         """Drop chunks met once since the last time, or all if that leaves the table more than half full."""
         often = np.flatnonzero(self.met > 1)
-        if 2 * len(often) > self.limit:
-            often = often[:0]
         chunks = list(self.index)
         lens, flat = self.start[often + 1] - self.start[often], self.ids(often)
         chunks = [chunks[i] for i in often]
         self.clear()
         self._add(chunks, flat, lens)
+        if 2 * self.size > self.limit:
+            self.clear()
 
     def learn(self, new: set[str]) -> None:
         parts: dict[str, tuple[str, str]] = {}
@@ -79,17 +89,27 @@ class ChunkTable:
             lens = (self.start[pairs + 1] - self.start[pairs]).reshape(-1, 2).sum(1)
             self._add(rest, self.ids(pairs), lens)
 
+    def hold(self) -> None:
+        """Release the table of the operator that this worker served before."""
+        global _held
+        if _held is not self:
+            if _held is not None:
+                _held.clear()
+            _held = self
+
     def slots(self, docs: list[list[str]]) -> np.ndarray:
         """The places of all chunks of all lists, one after the other."""
+        self.hold()
         n = sum(map(len, docs))
         slots = np.fromiter(map(self.index.get, chain.from_iterable(docs), repeat(-1)), np.int64, n)
         lost = np.flatnonzero(slots < 0)
         if len(lost):
             chunks = list(chain.from_iterable(docs))
             new = {chunks[i] for i in lost}
-            if len(self.index) + 2 * len(new) > self.limit and self.index:
+            more = CHUNK_BYTES * len(new) + sum(map(len, new))
+            if self.size + 2 * more > self.limit and self.index:
                 self.shrink()
-                return self.slots(docs) if len(self.index) + len(new) <= self.limit else self._fresh(docs)
+                return self.slots(docs) if self.size + more <= self.limit else self._fresh(docs)
             self.learn(new)
             slots[lost] = [self.index[chunks[i]] for i in lost]
         self.met = np.pad(self.met, (0, len(self.index) - len(self.met))) + np.bincount(slots, minlength=len(self.index))
