@@ -7,8 +7,9 @@ public sentencepiece vocabulary; three measures are held against the bands of
 the text's language (its script where the language is missing): characters per
 token, share of byte-fallback tokens, and token entropy (as a share of the most
 that so many tokens can have). The bands come from the quartiles of each measure
-over the whole corpus, by language and length; a group of few documents, and every
-document besides, keeps to its script's fixed band. Plain counts of words,
+over the whole corpus, by language and length; the fewer documents a group has, the nearer
+its limits are to those of the language, and these to the script's fixed band, which
+every document must keep to besides. Plain counts of words,
 symbols, repeated lines and repeated windows come from the same pass.
 """
 
@@ -59,9 +60,9 @@ BANDS = {"latin": Band(1.1, 12.0, 0.10, 0.42), "cyrillic": Band(1.0, 12.0, 0.10,
 #: A language's band reaches so many interquartile ranges beyond its quartiles, and at least so far in the measure's own unit.
 #: Set on the labels of sf0.1 so that clean documents stay.
 MARGINS = {"chars_per_token": (2.5, 0.05), "byte_share": (2.5, 0.02), "entropy_share": (2.0, 0.02)}
-#: Fewest documents of a group with bands of its own, fewest tokens of a document that they judge, and the length
-#: below which a few numbers or names move a clean text, so that the margin is doubled.
-MIN_DOCS, MIN_TOKENS, SHORT_TOKENS = 100, 40, 256
+#: Documents for which a group's wider limits count (n of its own weigh n / (n + SHRINK)), fewest tokens of a document that the
+#: bands judge, and the length below which a few numbers or names move a clean text, so that the margin is doubled.
+SHRINK, MIN_TOKENS, SHORT_TOKENS = 25, 40, 256
 
 
 def script_of(text: str) -> str:
@@ -119,9 +120,21 @@ def quality_measures(docs: DataFrame, model: str, doc_id: str = "doc_id", text:
     and language get equal results; no rows give none. Without a lang column, or
     where lang is null or empty, the script stands for the language."""
     names = keep if keep is not None else [doc_id]
-    own = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, script string, "
+    out = _judged(docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], _said(docs, lang), docs[text].alias("_text")), model, "_text", bands)
+    return out.drop("_lang", "_text").toDF(*names, *_OWN_NAMES, "kept")
+
+
+_OWN = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, script string, "
            "n_tokens bigint, chars_per_token double, byte_share double, entropy_share double, reasons array<string>")
+_OWN_NAMES = [x.split()[0] for x in _OWN.split(", ")]
+
+
+def _said(docs: DataFrame, lang: str):
+    return (F.nullif(docs[lang].cast("string"), F.lit("")) if lang in docs.columns else F.lit(None).cast("string")).alias("_lang")
 
+
+def _judged(docs: DataFrame, model: str, text: str, bands: dict[str, Band]) -> DataFrame:
+    """docs (with _lang) without _text, and the measures, reasons and kept."""
     def judge(data: bytes, text: str, slots: np.ndarray, table: ChunkTable, is_byte: np.ndarray, spaces: int) -> tuple:
         n_words, word_chars = len(slots), len(text) - spaces
         lines = [x for x in data.split(b"\n") if x.strip()]
@@ -149,60 +162,66 @@ def quality_measures(docs: DataFrame, model: str, doc_id: str = "doc_id", text:
         table, is_byte = _pieces(model)
         types = [pa.int64()] * 5 + [pa.bool_(), pa.string(), pa.int64()] + [pa.float64()] * 3 + [pa.list_(pa.string())]
         for batch in slices(batches):
-            texts = [t or "" for t in batch.column("_text").to_pylist()]
+            texts = [t or "" for t in batch.column(text).to_pylist()]
             datas = [t.encode() for t in texts]
             words = [d.split() for d in datas]   # bytes split at ASCII white space only
             slots, ends = table.slots(words), np.cumsum([0, *map(len, words)])
             rows = [judge(d, t, slots[a:b], table, is_byte, len(d) - sum(map(len, w)))
                     for d, t, w, a, b in zip(datas, texts, words, ends, ends[1:])]
             columns = list(zip(*rows)) or [()] * len(types)
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names) + 1)), *(pa.array(list(c), k) for c, k in zip(columns, types))],
-                                             names=[*(f"c{i}" for i in range(len(names))), "_lang", *own_names])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), *(pa.array(list(c), k) for c, k in zip(columns, types))], names=[*names, *_OWN_NAMES])
 
-    kinds = [f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names)]
-    own_names = [x.split()[0] for x in own.split(", ")]
-    said = F.nullif(docs[lang].cast("string"), F.lit("")) if lang in docs.columns else F.lit(None).cast("string")
-    measured = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], said.alias("_lang"), docs[text].alias("_text")) \
-        .mapInArrow(run, ", ".join([*kinds, "_lang string", own]))
-    out = _held_to_corpus(stage(measured, "fertility"))
-    return out.select(*[f"c{i}" for i in range(len(names))], *own_names, "kept").toDF(*names, *own_names, "kept")
+    names = [c for c in docs.columns if c != "_text"]
+    kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in names]
+    return _held_to_corpus(stage(docs.mapInArrow(run, ", ".join([*kinds, _OWN])), "fertility")).select(*names, *_OWN_NAMES, "kept")
 
 
 def corpus_bands(measured: DataFrame, group: list[str]) -> DataFrame:
-    """For each group of MIN_DOCS documents or more that pass the base rules, the
-    lower and upper quartile of each measure; staged, as small as the groups are few."""
+    """For each group its number of documents that pass the base rules, and the lower and
+    upper quartile of each measure; staged, as small as the groups are few."""
     quartiles = [F.expr(f"percentile(round({m}, 3), array(0.25, 0.75))").alias(f"_{m}") for m in MARGINS]   # rounded, so that a group's state is bounded
     found = measured.where(f"not base_failed and n_tokens >= {MIN_TOKENS}").groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *quartiles)
-    return stage(found.where(f"_n >= {MIN_DOCS}").drop("_n"), "fertility_bands")
+    return stage(found, "fertility_bands")
+
+
+def _fixed(measure: str, high: bool):
+    """The limit of the script's fixed band."""
+    value = {("chars_per_token", False): lambda b: b.min_chars_per_token, ("chars_per_token", True): lambda b: b.max_chars_per_token,
+             ("byte_share", True): lambda b: b.max_byte_share, ("entropy_share", False): lambda b: b.min_entropy_share}[measure, high]
+    return F.create_map(*[F.lit(x) for name, band in BANDS.items() for x in (name, value(band))])[F.col("script")]
 
 
 def _held_to_corpus(measured: DataFrame) -> DataFrame:
-    """measured with the reasons of the corpus's own bands added, and kept. The
-    band of a language's texts of like length (by powers of two) counts; that
-    of the whole language where these are few."""
+    """measured with the reasons of the corpus's own bands added, and kept. The limits come
+    from a language's texts of like length (by powers of two), drawn to those of the whole
+    language, and these to the script's fixed ones, the more the fewer the documents."""
     measured = measured.withColumn("_group", F.coalesce(F.concat(F.lit("lang "), "_lang"), F.concat(F.lit("script "), "script"))) \
         .withColumn("_length", F.length(F.bin("n_tokens")))
     near, whole = corpus_bands(measured, ["_group", "_length"]), corpus_bands(measured, ["_group"])
     both = measured.join(near, ["_group", "_length"], "left") \
-        .join(whole.toDF("_group", *[f"_whole_{m}" for m in MARGINS]), "_group", "left")
+        .join(whole.toDF("_group", *[f"_whole{c}" for c in whole.columns[1:]]), "_group", "left")
     wide = F.when(F.col("n_tokens") < SHORT_TOKENS, 2.0).otherwise(1.0)
-    outside = {}
-    for m, (times, least) in MARGINS.items():
-        quartile = F.coalesce(f"_{m}", f"_whole_{m}")
-        margin = wide * F.greatest(F.lit(times) * (quartile[1] - quartile[0]), F.lit(least))
-        low, high = F.col(m) < quartile[0] - margin, F.col(m) > quartile[1] + margin
-        outside[m] = {"chars_per_token": low | high, "byte_share": high, "entropy_share": low}[m] & (F.col("n_tokens") >= MIN_TOKENS)
-    more = [F.when(outside[m], F.lit(m.removesuffix("_share") if m == "entropy_share" else m)) for m in MARGINS]
+
+    def limit(m: str, high: bool):
+        out = _fixed(m, high)
+        for n, quartile in ((F.col("_whole_n"), F.col(f"_whole_{m}")), (F.col("_n"), F.col(f"_{m}"))):
+            times, least = MARGINS[m]
+            margin = wide * F.greatest(F.lit(times) * (quartile[1] - quartile[0]), F.lit(least))
+            own = quartile[1] + margin if high else quartile[0] - margin
+            out = F.when(n.isNull(), out).otherwise((n * own + SHRINK * out) / (n + SHRINK))
+        return out
+
+    outside = {"chars_per_token": (F.col("chars_per_token") < limit("chars_per_token", False)) | (F.col("chars_per_token") > limit("chars_per_token", True)),
+               "byte_share": F.col("byte_share") > limit("byte_share", True), "entropy": F.col("entropy_share") < limit("entropy_share", False)}
+    more = [F.when(hit & (F.col("n_tokens") >= MIN_TOKENS), F.lit(reason)) for reason, hit in outside.items()]
     reasons = F.array_distinct(F.concat("reasons", F.array_compact(F.array(*more))))
     return both.withColumn("reasons", reasons).withColumn("kept", ~F.col("base_failed") & (F.size("reasons") == 0))
 
 
 def drop_rejected(docs: DataFrame, model: str) -> DataFrame:
-    """docs without the rows that the rules reject, all columns as they were. The
-    verdict hangs on text and language alone, so the rejected ones are known by
-    their hash; they are staged, and Spark broadcasts them if they are small."""
-    said = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
-    keyed = docs.withColumn("_key", F.sha2(F.concat(said, F.lit("\0"), F.coalesce("text", F.lit(""))), 256))
-    judged = quality_measures(keyed, model, keep=["_key"])
-    rejected = stage(judged.where("not kept").select("_key").distinct(), "rejected")
-    return keyed.join(rejected, "_key", "left_anti").select(*docs.columns)
+    """docs without the rows that the rules reject, all columns as they were, whatever
+    their names. The documents are staged with their measures once, and filtered by the few rows of bands."""
+    names = docs.columns
+    rows = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], _said(docs, "lang"))
+    judged = _judged(rows, model, f"c{names.index('text')}", BANDS)
+    return judged.where("kept").select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
