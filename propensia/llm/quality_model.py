@@ -13,7 +13,7 @@ that says nothing has weight 0 and long texts aren't at a disadvantage.
 
 The fit uses at most ``max_labels`` labelled documents, those of the smallest
 hashes of doc_id; scoring covers every document. The least tail probability of a
-kept document is chosen on a fifth of them that the fit for it leaves out.
+kept document is chosen on all of them by cross-validation.
 """
 
 from __future__ import annotations
@@ -34,10 +34,10 @@ from .vocab import ChunkTable, runs
 
 BITS = 18
 MAX_LABELS = 12_000
-#: The least tail probability without enough held-out clean documents to choose it on.
-MIN_TAIL, MIN_HELD_OUT = 0.5, 500
-#: Share of held-out clean documents that the chosen one keeps.
-CLEAN_KEPT = 0.998
+#: Of a model that was not fitted on any clean document; else the least tail is chosen on held-out ones.
+MIN_TAIL = 0.5
+#: Parts that are held out in turn, and the share of clean documents, each judged by the fit without its part, that stays.
+FOLDS, CLEAN_KEPT = 3, 0.998
 STEM = 4
 
 #: Places after the hashed ones: share of words equal to the one before, share
@@ -172,15 +172,17 @@ def fit_model(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS)
     return replace(fit_ordinal(features, grades), min_tail=held_out_tail(features, grades))
 
 
-def held_out_tail(features: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int = 3) -> float:
-    """The highest least tail that keeps CLEAN_KEPT of the clean documents among
-    every fifth row, by a fit on the others; MIN_TAIL if these are few."""
-    held = np.arange(len(grades)) % 5 == 4
-    clean = np.flatnonzero(held & (grades == n_grades - 1))
-    if len(clean) < MIN_HELD_OUT:
-        return MIN_TAIL
-    model = fit_ordinal([f for f, h in zip(features, held) if not h], grades[~held], n_grades)
-    return float(np.sort(model.tails([features[i] for i in clean])[:, -1])[int((1 - CLEAN_KEPT) * len(clean))])
+def held_out_tail(features: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int = 3, folds: int = FOLDS) -> float:
+    """The highest least tail that keeps CLEAN_KEPT of the clean documents, each
+    judged by a fit on the folds that it isn't in. The same rule for any number of documents."""
+    fold, tails = np.arange(len(grades)) % folds, [np.zeros(0)]
+    for k in range(folds):
+        clean = np.flatnonzero((fold == k) & (grades == n_grades - 1))
+        if len(clean):
+            model = fit_ordinal([f for f, own in zip(features, fold) if own != k], grades[fold != k], n_grades)
+            tails.append(model.tails([features[i] for i in clean])[:, -1])
+    tails = np.sort(np.concatenate(tails))
+    return float(tails[int((1 - CLEAN_KEPT) * len(tails))]) if len(tails) else MIN_TAIL
 
 
 def score_texts(docs: DataFrame, model: OrdinalModel, keep: list[str], text: str = "text", min_tail: float | None = None) -> DataFrame:
