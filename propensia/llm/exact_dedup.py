@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, stage, with_row_ids
+from .common import SPACE_CLASS, numbered, scratch, stage, with_row_ids
 
 FIRST_DIGIT = 64
 GROWTH = 16
@@ -74,7 +74,11 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """docs without the copies, all columns as they were."""
-    keyed = with_row_ids(docs, "dedup-docs")
-    copies = stage(duplicate_groups(radix_rows(keyed)).where("_uid <> keep_uid").select("_uid"), "dedup-copies")
-    return keyed.join(copies, "_uid", "left_anti").select(*docs.columns)
+    """docs without the copies, all columns as they were, whatever their names."""
+    names = docs.columns
+    own = {c: f"c{i}" for i, c in enumerate(names)}
+    with scratch() as keep:
+        keyed = with_row_ids(numbered(docs), "dedup-docs")
+        copies = stage(duplicate_groups(radix_rows(keyed, own["doc_id"], own["text"])).where("_uid <> keep_uid").select("_uid"), "dedup-copies")
+        keep |= {keyed.staged_at, copies.staged_at}
+    return keyed.join(copies, "_uid", "left_anti").drop("_uid").toDF(*names)

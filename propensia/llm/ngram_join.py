@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, slices, stage, with_row_ids
+from .common import numbered, scratch, slices, stage, with_row_ids
 from .vocab import ChunkTable, Runs
 
 WORDS = 4
@@ -43,7 +43,8 @@ PERCENT = 85
 RARE = 64          # a token in more documents than this is frequent; lists of at most this many classes are short
 BLOCK = 1024       # classes in a block, and
 BLOCK_TOKENS = 1 << 21   # tokens of their sets: both bound a task's memory
-BATCH_ROWS = 4096
+BATCH_ROWS, BATCH_TOKENS = 4096, 1 << 18   # rows and prefix tokens of a batch
+PART_TOKENS = 1 << 20   # prefix tokens that one range counts, on average at most
 U64 = np.uint64
 
 
@@ -77,7 +78,7 @@ def _word_hashes(words: list[bytes]) -> Runs:
 
 @lru_cache(maxsize=1)
 def _words() -> ChunkTable:
-    return ChunkTable(_word_hashes, limit=500_000)
+    return ChunkTable(_word_hashes)
 
 
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
@@ -110,14 +111,19 @@ def _batch(columns: dict[str, pa.Array]) -> pa.RecordBatch:
 def _members(docs: DataFrame) -> DataFrame:
     """doc_id, th, batch, n, dig, prefix (little-endian 64-bit tokens) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, task = 0, TaskContext.get().partitionId() << 32
+        number, rows, tokens = TaskContext.get().partitionId() << 32, 0, 0
         for b in slices(batches):
             sets = shingle_sets([t or "" for t in b.column("text").to_pylist()])
-            n = [len(s) for s in sets]
-            yield _batch({"doc_id": b.column("doc_id"), "th": b.column("th"), "batch": pa.array([task + (row + i) // BATCH_ROWS for i in range(len(sets))], pa.int64()),
+            n, of = [len(s) for s in sets], []
+            for k in n:
+                size = int(misses(k) + shared(k))
+                if rows == BATCH_ROWS or rows and tokens + size > BATCH_TOKENS:
+                    number, rows, tokens = number + 1, 0, 0
+                rows, tokens = rows + 1, tokens + size
+                of.append(number)
+            yield _batch({"doc_id": b.column("doc_id"), "th": b.column("th"), "batch": pa.array(of, pa.int64()),
                           "n": pa.array(n, pa.int64()), "dig": pa.array([digest(s) for s in sets], pa.binary()),
                           "prefix": pa.array([s[:misses(k) + shared(k)].tobytes() for s, k in zip(sets, n)], pa.binary())})
-            row += len(sets)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return stage(docs.mapInArrow(run, f"doc_id {kind}, th bigint, batch bigint, n bigint, dig binary, prefix binary"), "join-members")
@@ -148,25 +154,22 @@ def _prefix_counts(members: DataFrame, n_parts: int) -> DataFrame:
 
 def _repeated(counts: DataFrame) -> DataFrame:
     """batch, toks, freq: of each batch's tokens those in two sets or more, and which are frequent."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, toks, cnts = [], [], []
-        for b in batches:
-            ids += b.column("batch").to_pylist()
-            toks += [_tokens(x) for x in b.column("toks").to_pylist()]
-            cnts += [np.frombuffer(x, np.uint8) for x in b.column("cnt").to_pylist()]
-        if not ids:
-            return
+    def run(t: pa.Table) -> pa.Table:
+        ids, toks = t["batch"].to_pylist(), [_tokens(x) for x in t["toks"].to_pylist()]
         tok, of = np.concatenate(toks), np.repeat(np.arange(len(ids)), [len(x) for x in toks])
-        _, which = np.unique(tok, return_inverse=True)
-        total = np.bincount(which, np.concatenate(cnts))[which]
+        order = np.argsort(tok, kind="stable")   # its runs are sorted already
+        new = np.concatenate([[True], tok[order[1:]] != tok[order[:-1]]])
+        cnt = np.concatenate([np.frombuffer(x, np.uint8) for x in t["cnt"].to_pylist()])
+        total = np.empty(len(tok), np.int64)
+        total[order] = np.add.reduceat(cnt[order].astype(np.int64), np.flatnonzero(new))[np.cumsum(new) - 1]
         keep = total >= 2
         tok, of, frequent = tok[keep], of[keep], (total[keep] > RARE).astype(np.uint8)
         at = np.searchsorted(of, np.arange(len(ids) + 1))
         rows = [(ids[i], x, y) for i, (x, y) in enumerate(zip(at, at[1:])) if x < y]
-        yield _batch({"batch": pa.array([i for i, _, _ in rows], pa.int64()), "toks": pa.array([tok[x:y].tobytes() for _, x, y in rows], pa.binary()),
-                      "freq": pa.array([frequent[x:y].tobytes() for _, x, y in rows], pa.binary())})
+        return pa.table({"batch": pa.array([i for i, _, _ in rows], pa.int64()), "toks": pa.array([tok[x:y].tobytes() for _, x, y in rows], pa.binary()),
+                         "freq": pa.array([frequent[x:y].tobytes() for _, x, y in rows], pa.binary())})
 
-    return counts.repartition(partitions(counts.sparkSession), "part").mapInArrow(run, "batch bigint, toks binary, freq binary")
+    return counts.groupBy("part").applyInArrow(run, "batch bigint, toks binary, freq binary")
 
 
 def _linkable(members: DataFrame, repeated: DataFrame) -> DataFrame:
@@ -366,10 +369,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     (it is its own component). Rows of equal sets link, repeated rows too; a null
     doc_id is smallest only where a component has no other. No rows give none; other columns of docs play no part."""
     docs = docs.selectExpr(f"`{doc_id}` as doc_id", f"`{text}` as text", f"xxhash64(`{text}`) as th")
-    n = partitions(docs.sparkSession)
     members = _members(docs)
+    tokens = members.agg(F.sum(F.length("prefix")) / 8).first()[0] or 0
     sizes = stage(members.where("n > 0").groupBy("dig").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("low")), "join-sizes")
-    linkable = _linkable(members, _repeated(_prefix_counts(members, 2 * n)))
+    linkable = _linkable(members, _repeated(_prefix_counts(members, 1 + int(tokens) // PART_TOKENS)))
     classes = with_row_ids(linkable.join(sizes, "dig"), "join-classes")
     keys = stage(_index(classes), "join-keys")
     lists = stage(keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("t")).where("m > 1"), "join-lists")
@@ -401,12 +404,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """docs with one row of each component left, that of the smallest doc_id (null
-    ids last, then the first row), all columns as they were."""
-    keyed = with_row_ids(docs, "near-dedup-docs")
-    # an input column may be called like a result, so ids alone go through the join
-    found = near_duplicates(keyed, doc_id="_uid").select(F.col("doc_id").alias("_uid"), F.col("component_id").alias("_component"))
-    groups = stage(found.join(keyed.select("_uid", F.col(doc_id).alias("_id")), "_uid"), "near-dedup-groups")
-    keep = groups.groupBy("_component").agg(F.min(F.struct(F.col("_id").isNull().alias("z"), "_id", "_uid")).alias("k")).select(F.col("k._uid").alias("_uid"))
-    # The ids that go are mostly the fewer, and staged: Spark knows their size before it plans the join with the texts.
-    copies = stage(groups.select("_uid").join(keep, "_uid", "left_anti"), "near-dedup-copies")
-    return keyed.join(copies, "_uid", "left_anti").select(*docs.columns)
+    ids last, then the first row), all columns as they were, whatever their names."""
+    names = docs.columns
+    own = {c: f"c{i}" for i, c in enumerate(names)}
+    with scratch() as kept:
+        keyed = with_row_ids(numbered(docs), "near-dedup-docs")
+        found = near_duplicates(keyed, doc_id="_uid", text=own["text"]).select(F.col("doc_id").alias("_uid"), F.col("component_id").alias("_component"))
+        groups = stage(found.join(keyed.select("_uid", F.col(own[doc_id]).alias("_id")), "_uid"), "near-dedup-groups")
+        keep = groups.groupBy("_component").agg(F.min(F.struct(F.col("_id").isNull().alias("z"), "_id", "_uid")).alias("k")).select(F.col("k._uid").alias("_uid"))
+        # The ids that go are mostly the fewer, and staged: Spark knows their size before it plans the join with the texts.
+        copies = stage(groups.select("_uid").join(keep, "_uid", "left_anti"), "near-dedup-copies")
+        kept |= {keyed.staged_at, copies.staged_at}
+    return keyed.join(copies, "_uid", "left_anti").drop("_uid").toDF(*names)
