@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from propensia.llm import exact_dedup, fertility, ngram_join, packing, quality_model, queries
-from propensia.llm.common import read, stage
+from propensia.llm.common import read, scratch, stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of the documents that all stages keep; a stage's own folders go when its result is written."""
     docs = read(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), name)
+        with scratch() as keep:
+            docs = stage(function(spark, docs, sf_dir), name)
+            keep.add(docs.staged_at)
     return STAGES[-1][1](spark, docs, sf_dir)
