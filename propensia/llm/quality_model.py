@@ -34,8 +34,8 @@ from .vocab import ChunkTable, runs
 
 BITS = 18
 MAX_LABELS = 12_000
-#: Of a model that was not fitted on any clean document; else the least tail is chosen on held-out ones.
-MIN_TAIL = 0.5
+#: The least tail before any clean document has been seen, and how many of them it weighs as much as.
+MIN_TAIL, TAIL_WEIGHT = 0.5, 500
 #: Parts that are held out in turn, and the share of clean documents, each judged by the fit without its part, that stays.
 FOLDS, CLEAN_KEPT = 3, 0.998
 STEM = 4
@@ -173,16 +173,21 @@ def fit_model(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS)
 
 
 def held_out_tail(features: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int = 3, folds: int = FOLDS) -> float:
-    """The highest least tail that keeps CLEAN_KEPT of the clean documents, each
-    judged by a fit on the folds that it isn't in. The same rule for any number of documents."""
+    """The highest least tail that keeps CLEAN_KEPT of the clean documents, each judged by
+    a fit on the folds that it isn't in; its log odds are drawn to those of MIN_TAIL by
+    TAIL_WEIGHT documents. One rule for any number of documents."""
     fold, tails = np.arange(len(grades)) % folds, [np.zeros(0)]
     for k in range(folds):
         clean = np.flatnonzero((fold == k) & (grades == n_grades - 1))
         if len(clean):
             model = fit_ordinal([f for f, own in zip(features, fold) if own != k], grades[fold != k], n_grades)
             tails.append(model.tails([features[i] for i in clean])[:, -1])
-    tails = np.sort(np.concatenate(tails))
-    return float(tails[int((1 - CLEAN_KEPT) * len(tails))]) if len(tails) else MIN_TAIL
+    tails = np.clip(np.sort(np.concatenate(tails)), 1e-12, 1 - 1e-12)
+    if not len(tails):
+        return MIN_TAIL
+    own = tails[int((1 - CLEAN_KEPT) * len(tails))]
+    odds = [np.log(p / (1 - p)) for p in (own, MIN_TAIL)]
+    return float(_sigmoid((len(tails) * odds[0] + TAIL_WEIGHT * odds[1]) / (len(tails) + TAIL_WEIGHT)))
 
 
 def score_texts(docs: DataFrame, model: OrdinalModel, keep: list[str], text: str = "text", min_tail: float | None = None) -> DataFrame:

@@ -247,7 +247,8 @@ def test_ordinal_model_stems_and_held_out_tail():
     tails = quality_model.fit_ordinal(found[:3600], grades[:3600]).tails(found[3600:])[:, -1]
     assert (tails >= least)[grades[3600:] == 2].mean() > 0.99 and (tails >= least)[grades[3600:] == 1].mean() < 0.05
     few = quality_model.held_out_tail(found[:100], grades[:100])   # the same rule for few documents
-    assert 0 < few < 1 and few != quality_model.MIN_TAIL and quality_model.held_out_tail(found[:9], np.zeros(9, np.int64)) == quality_model.MIN_TAIL
+    assert 0 < few < 1 and few != quality_model.MIN_TAIL
+    assert quality_model.held_out_tail(found[:9], np.zeros(9, np.int64)) == quality_model.MIN_TAIL   # no clean one
 
 
 def test_quality_model_odd(spark, odd):
