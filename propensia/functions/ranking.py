@@ -5,18 +5,19 @@ groups here are few and large (three models, 27 category-months), so one of
 them can hold a third of all rows. Instead:
 
 1. ``repartitionByRange`` on (group, order) spreads every group over many
-   range partitions whose sizes come from Spark's sample of the keys; the
-   sorted partitions are checkpointed once to the shared checkpoint folder,
-   so every later branch reads the very same partitions (two evaluations of
-   a range exchange would sample different boundaries) and a lost executor
-   does not change them;
-2. inside each partition, already sorted, a vectorised pass computes running
-   sums per group (``mapInPandas``, Arrow batches, state carried across
-   batches);
+   range partitions whose sizes come from Spark's sample of the keys; each row
+   keeps the number of its range partition;
+2. a window over (range partition, group), which is as small as a range
+   partition is, gives running sums. The rows are written with both, once, to the
+   shared checkpoint folder, so every later branch reads the very same partitions
+   (two evaluations of a range exchange would sample different boundaries), only
+   the columns it needs, and a lost executor does not change them;
 3. per (partition, group) block totals, at most partitions + groups rows, are
-   turned into offsets by a window over that small table and joined back. AQE
+   turned into offsets by a window over that small table and joined back. Spark
    broadcasts that table only when its measured size is small.
 
+All of it is JVM code, so groups of any type match as SQL groups them, nulls with nulls.
+
 The rows fed in must be unique on (group, order); callers pre-aggregate ties
 (distinct values with counts) or add a unique tie-break column.
 """
@@ -24,15 +25,12 @@ The rows fed in must be unique on (group, order); callers pre-aggregate ties
 from __future__ import annotations
 
 from functools import reduce
-from typing import Iterable, Sequence
+from typing import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import stage
 
 _PID = "_rk_pid"
 
@@ -50,85 +48,42 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _local_running_sums(group_cols: list[str], weight_cols: list[str], out_names: list[str]):
-    """Exclusive running sums per group inside one sorted partition."""
-
-    def run(batches: Iterable[pd.DataFrame]):
-        carry_key = None
-        carry = np.zeros(len(weight_cols), dtype="float64")
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            new_grp = np.zeros(len(pdf), dtype=bool)
-            new_grp[0] = True
-            for g in group_cols:
-                col = pdf[g]
-                new_grp[1:] |= (col.values[1:] != col.values[:-1])
-            grp_id = np.cumsum(new_grp)
-            first_key = tuple(pdf[g].iloc[0] for g in group_cols)
-            continues = carry_key is not None and first_key == carry_key
-            for i, (w, out) in enumerate(zip(weight_cols, out_names)):
-                wv = pdf[w].astype("float64").values
-                incl = pd.Series(wv).groupby(grp_id).cumsum().values
-                excl = incl - wv
-                if continues:
-                    excl = excl + np.where(grp_id == 1, carry[i], 0.0)
-                pdf[out] = excl
-            last_id = grp_id[-1]
-            last_key = tuple(pdf[g].iloc[-1] for g in group_cols)
-            for i, w in enumerate(weight_cols):
-                wv = pdf[w].astype("float64").values
-                tail = wv[grp_id == last_id].sum()
-                base = carry[i] if (continues and last_id == 1) else 0.0
-                carry[i] = base + tail
-            carry_key = last_key
-            yield pdf
-
-    return run
-
-
 def prefix_sums(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[str, bool]],
                 weight_cols: Sequence[str], num_partitions: int | None = None) -> DataFrame:
     """Add ``<w>_before`` (sum of w over earlier rows of the group, in order)
     and ``<w>_total`` (group sum) for every weight column ``w``.
 
-    Weights are summed as doubles; they are counts in every caller, so the
-    sums are exact below 2**53.
+    Weights are whole numbers (counts in every caller), so the sums are exact.
     """
     group_cols = list(group_cols)
     weight_cols = list(weight_cols)
-    local_names = [f"_rk_loc_{w}" for w in weight_cols]
     n = _num_partitions(df, num_partitions)
     sort = _sort_exprs(group_cols, order)
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
-                .checkpoint(eager=True)
-                .withColumn(_PID, F.spark_partition_id()))
-    out_schema = T.StructType(ranged.schema.fields + [
-        T.StructField(c, T.DoubleType(), False) for c in local_names])
-    local = ranged.mapInPandas(_local_running_sums(group_cols, weight_cols, local_names),
-                               schema=out_schema)
-
-    blocks = ranged.groupBy(_PID, *group_cols).agg(
-        *[F.sum(F.col(w).cast("double")).alias(f"_rk_blk_{w}") for w in weight_cols])
+    earlier = Window.partitionBy(_PID, *group_cols).orderBy(*sort[len(group_cols):]).rowsBetween(
+        Window.unboundedPreceding, -1)
+    local = stage(df.repartitionByRange(n, *sort).withColumn(_PID, F.spark_partition_id()).withColumns({
+        f"_rk_loc_{w}": F.coalesce(F.sum(F.col(w).cast("long")).over(earlier), F.lit(0).cast("long"))
+        for w in weight_cols}), "ranked")
+
+    blocks = local.groupBy(_PID, *group_cols).agg(
+        *[F.sum(F.col(w).cast("long")).alias(f"_rk_blk_{w}") for w in weight_cols])
     before_w = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(
         Window.unboundedPreceding, -1)
     whole_w = Window.partitionBy(*group_cols)
-    offsets = blocks.select(
+    offsets = stage(blocks.select(
         _PID, *group_cols,
-        *[F.coalesce(F.sum(f"_rk_blk_{w}").over(before_w), F.lit(0.0)).alias(f"_rk_off_{w}")
+        *[F.coalesce(F.sum(f"_rk_blk_{w}").over(before_w), F.lit(0).cast("long")).alias(f"_rk_off_{w}")
           for w in weight_cols],
-        *[F.sum(f"_rk_blk_{w}").over(whole_w).alias(f"{w}_total") for w in weight_cols])
+        *[F.sum(f"_rk_blk_{w}").over(whole_w).alias(f"{w}_total") for w in weight_cols]), "rank-offsets")
 
-    joined = _null_safe_join(local, offsets, [_PID, *group_cols], "inner")
-    cols = [c for c in df.columns]
-    cols += [(F.col(f"_rk_loc_{w}") + F.col(f"_rk_off_{w}")).cast("long").alias(f"{w}_before")
-             for w in weight_cols]
-    cols += [F.col(f"{w}_total").cast("long").alias(f"{w}_total") for w in weight_cols]
+    joined = null_safe_join(local, offsets, [_PID, *group_cols], "inner")
+    cols = [F.col(c) for c in df.columns]
+    cols += [(F.col(f"_rk_loc_{w}") + F.col(f"_rk_off_{w}")).alias(f"{w}_before") for w in weight_cols]
+    cols += [F.col(f"{w}_total") for w in weight_cols]
     return joined.select(*cols)
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Equi-join in which null keys match each other, as they do in a window's groups."""
     right = right.withColumnsRenamed({k: f"_rk_key_{k}" for k in keys})
     match = reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"_rk_key_{k}"]) for k in keys])
@@ -155,7 +110,7 @@ def with_percent_rank(df: DataFrame, group_cols: Sequence[str], value_col: str,
                  F.col("rows_before").cast("double") / (F.col("group_rows") - 1).cast("double"))
           .otherwise(F.lit(0.0)))
     ranks = ranks.select(*group_cols, value_col, pr.alias(out_col))
-    return _null_safe_join(df, ranks, [*group_cols, value_col], "left")
+    return null_safe_join(df, ranks, [*group_cols, value_col], "left")
 
 
 def with_competition_rank(df: DataFrame, group_cols: Sequence[str], value_col: str,
@@ -168,7 +123,7 @@ def with_competition_rank(df: DataFrame, group_cols: Sequence[str], value_col: s
     sel = [*group_cols, value_col, (F.col("rows_before") + 1).alias(out_col)]
     if count_col:
         sel.append(F.col("group_rows").alias(count_col))
-    return _null_safe_join(df, ranks.select(*sel), [*group_cols, value_col], "left")
+    return null_safe_join(df, ranks.select(*sel), [*group_cols, value_col], "left")
 
 
 def with_row_number(df: DataFrame, group_cols: Sequence[str], order: Sequence[tuple[str, bool]],

@@ -49,17 +49,27 @@ def customers_new_only(target: DataFrame, staged: DataFrame, key: str = ID,
     """Staged rows whose id is not in the target.
 
     Anti join on non-null ids; a staged row without id is no customer and is
-    not inserted. ``null_aware=True`` adds the other half of SQL's ``NOT IN``:
-    a null id in the target inserts nothing.
+    not inserted. ``null_aware=True`` is SQL's ``NOT IN``, see ``not_in``.
     """
     if null_aware:
-        has_null = target.where(F.col(key).isNull()).limit(1).count() > 0
-        if has_null:
-            return staged.limit(0)
+        return not_in(staged, target, key)
     staged = staged.where(F.col(key).isNotNull())
     return staged.join(target.select(key).where(F.col(key).isNotNull()), on=key, how="left_anti")
 
 
+def not_in(rows: DataFrame, listed: DataFrame, key: str = ID) -> DataFrame:
+    """The rows for which ``key NOT IN (select key from listed)`` is true: all of them if
+    listed is empty; none if it holds a null; else those with an id that it has not.
+
+    One plan and no job of its own: a shuffled anti join on the key, and beside it one row that
+    says whether listed is empty or has a null, joined on a constant (one row is a proven
+    size, so it is broadcast). SQL's own null-aware anti join would broadcast the whole list."""
+    keys = listed.select(F.col(key).alias("_listed"))
+    facts = keys.agg(F.count(F.lit(1)).alias("_n"), F.count_if(F.col("_listed").isNull()).alias("_nulls")).withColumn("_one", F.lit(1))
+    rest = rows.join(keys.where("_listed is not null"), F.col(key) == F.col("_listed"), "left_anti").withColumn("_one", F.lit(1))
+    return rest.join(F.broadcast(facts), "_one").where((F.col("_n") == 0) | ((F.col("_nulls") == 0) & F.col(key).isNotNull())).select(*rows.columns)
+
+
 def customers_upsert(target: DataFrame, staged: DataFrame, key: str = ID) -> DataFrame:
     """Update matched ids, insert new ones, keep the rest, in one full
     outer join; one row per id (target rows without id stay as they are)."""
@@ -84,6 +94,36 @@ def fact_customer_star(fact: DataFrame, dim: DataFrame, fact_key: str = "CUST_NU
     return fact.join(d, fact[fact_key] == d["_dk"], "left").drop("_dk")
 
 
+def relationship_check(fact: DataFrame, dim: DataFrame, fact_key: str = "CUST_NUM", dim_key: str = ID,
+                       one_to_one: bool = True) -> DataFrame:
+    """The keys that break a relationship between facts and a dimension, with
+    the reason and the numbers of rows on both sides: ``duplicate_dimension`` (the dimension has
+    the key more than once), ``duplicate_fact`` (one-to-one only), ``orphan`` (no row of the
+    dimension) and ``null_key`` (facts without key).
+
+    Both sides are counted per key before they meet, so a hot key is one row in the join."""
+    f = fact.groupBy(F.col(fact_key).alias("_key")).agg(F.count(F.lit(1)).alias("n_fact"))
+    d = dim.where(F.col(dim_key).isNotNull()).groupBy(F.col(dim_key).alias("_dim")).agg(F.count(F.lit(1)).alias("n_dim"))
+    both = f.join(d, F.col("_key") == F.col("_dim"), "full").select(
+        F.coalesce("_key", "_dim").alias("key"), F.coalesce("n_fact", F.lit(0)).alias("n_fact"), F.coalesce("n_dim", F.lit(0)).alias("n_dim"))
+    reasons = [F.when(F.col("key").isNull(), F.lit("null_key")),
+               F.when(F.col("key").isNotNull() & (F.col("n_fact") > 0) & (F.col("n_dim") == 0), F.lit("orphan")),
+               F.when(F.col("n_dim") > 1, F.lit("duplicate_dimension"))]
+    if one_to_one:
+        reasons.append(F.when(F.col("key").isNotNull() & (F.col("n_fact") > 1), F.lit("duplicate_fact")))
+    return both.withColumn("reason", F.explode(F.array_compact(F.array(*reasons)))).select("key", "reason", "n_fact", "n_dim")
+
+
+def scored_customer_star(scored: DataFrame, dim: DataFrame, fact_key: str = "CUST_NUM", dim_key: str = ID,
+                         attrs: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """J11 for scored facts (one-to-one): the facts whose key keeps to the relationship, with the
+    customer's attributes, and the keys that don't (see ``relationship_check``)."""
+    broken = relationship_check(scored, dim, fact_key, dim_key)
+    bad = broken.where("key is not null").select(F.col("key").alias("_bad")).distinct()
+    sound = scored.where(F.col(fact_key).isNotNull()).join(bad, F.col(fact_key) == F.col("_bad"), "left_anti")
+    return fact_customer_star(sound, dim, fact_key, dim_key, attrs), broken
+
+
 def date_dim_join(dim: DataFrame, dates: DataFrame, date_col: str = "birth_date") -> DataFrame:
     """Customer attributes with the calendar attributes of a date column
     (date part only)."""

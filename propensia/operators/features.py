@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import (SourceMonths, month_idx, month_range_filter,
                                   standardize_events, year_of, month_of)
 from ..functions.ranking import with_percent_rank
-from ..session import materialize
+from ..session import stage
 from ..sources.fixtures import CONTACT_TYPES, TV_PROGRAMS, WEBSITE_TYPES
 
 KEYS = ["CUST_NUM", "MONTH", "YEAR"]
@@ -145,8 +145,8 @@ def usage_features_many(parts: Sequence[tuple[DataFrame, UsageSpec, MonthWindow]
 
     The sources' monthly aggregates are unioned with a source number and
     written once (the table feeds both the ranks and the join back), and
-    one ranking pass serves all of them, the source being part of the rank
-    group; each source's ranks are those it would get alone. One source's
+    one ranking pass, written once too, serves all of them, the source being part of the
+    rank group; each source's ranks are those it would get alone. One source's
     feature table is then its slice, pivoted."""
     monthly = []
     for i, (raw, spec, window) in enumerate(parts):
@@ -154,8 +154,8 @@ def usage_features_many(parts: Sequence[tuple[DataFrame, UsageSpec, MonthWindow]
         monthly.append(usage_monthly(ev, spec.category_col, spec.duration_col).select(
             F.lit(i).alias("_src"), "CUST_NUM", F.col(spec.category_col).alias("_cat"),
             "MONTH", "YEAR", "DURATION_L3M", "NB_DAYS_USAGE_L3M"))
-    allm = materialize(reduce(lambda a, b: a.unionByName(b), monthly))
-    ranked = usage_rank(allm, "_cat", "_RANK", extra_group=["_src"])
+    allm = stage(reduce(lambda a, b: a.unionByName(b), monthly), "usage-monthly")
+    ranked = stage(usage_rank(allm, "_cat", "_RANK", extra_group=["_src"]), "usage-ranked")
     outs = []
     for i, (_, spec, _) in enumerate(parts):
         p = spec.prefix

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import month_idx_of, shift_months
-from ..functions.ranking import value_ranks
+from ..functions.ranking import null_safe_join, value_ranks
 from ..session import stage
 
 KEYS = ["CUST_NUM", "YEAR", "MONTH"]
@@ -91,7 +91,7 @@ def propensity_label(df: DataFrame, weights: Mapping[str, float], quantile: floa
     """M9: z-score each weighted column inside its group (population std,
     zero std → 1), weighted sum, min-max scale to [0, 1], label the rows at or
     above the group's ``quantile`` of the score. Returns ``key_cols``, the group
-    columns, the score and the label.
+    columns, the score and the label; rows whose group column is null are a group of their own.
 
     The groups are few and hot (one per month), so no row is shuffled by them:
     each step's statistics, one row per group, are written as a small table, and
@@ -105,13 +105,13 @@ def propensity_label(df: DataFrame, weights: Mapping[str, float], quantile: floa
     raw = reduce(lambda a, b: a + b, [
         F.lit(w) * ((F.col(c) - F.col(f"_mu_{c}")) / F.when(F.col(f"_sd_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_sd_{c}")))
         for c, w in weights.items()])
-    summed = stage(df.join(stats, on=g).select(*keys, *g, raw.alias("_raw")), "propensity-sums")
+    summed = stage(null_safe_join(df, stats, g, "inner").select(*keys, *g, raw.alias("_raw")), "propensity-sums")
     ends = stage(summed.groupBy(*g).agg(F.min("_raw").alias("_lo"), F.max("_raw").alias("_hi")), "propensity-ends")
     width = F.col("_hi") - F.col("_lo")
-    scaled = summed.join(ends, on=g).select(
+    scaled = null_safe_join(summed, ends, g, "inner").select(
         *keys, *g, ((F.col("_raw") - F.col("_lo")) / F.when(width == 0, F.lit(1.0)).otherwise(width)).alias(score_col))
     cut = stage(exact_quantile(scaled, g, score_col, quantile, "_thr"), "propensity-cut")
-    return (scaled.join(cut, on=g)
+    return (null_safe_join(scaled, cut, g, "inner")
             .withColumn(target_col, (F.col(score_col) >= F.col("_thr")).cast("int")).drop("_thr"))
 
 

@@ -11,17 +11,18 @@ from __future__ import annotations
 from typing import Sequence
 
 import numpy as np
-from pyspark.errors import AnalysisException
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.ranking import with_row_number
-from ..session import stage
+from ..session import scratch_path, stage
+from ..sources.commits import commit, commits
 
 # The classifier's hyper-parameters (100 trees, rate 0.1,
 # depth 6, row and column sampling 0.8, seed 42).
@@ -56,10 +57,89 @@ def feature_importance(model: PipelineModel, feature_cols: Sequence[str]) -> lis
     return sorted(pairs, key=lambda p: (-p[1], p[0]))
 
 
-def _unit_vector(dim: int, seed: int) -> list[float]:
-    v = np.random.default_rng(seed).normal(size=dim)
-    v = v / (np.linalg.norm(v) or 1.0)
-    return [float(x) for x in v]
+def split_gains(spark: SparkSession, model: PipelineModel, feature_cols: Sequence[str]) -> DataFrame:
+    """M7 by split: for each feature the number of its splits in all trees, their
+    average gain (0 for an unused feature), and its share of the total gain weighted by
+    the rows of the split's node, which is the model's own importance.
+
+    Read from the node table of the saved model, one row per tree node."""
+    path = scratch_path(spark, "model-nodes")
+    model.save(path)
+    last = model.stages[-1]
+    nodes = spark.read.parquet(f"{path}/stages/*_{last.uid}/data").select("nodeData.*").where("leftChild >= 0")
+    rows = F.col("impurityStats")[0]   # of a regression tree's node: rows, sum, sum of squares
+    used = nodes.groupBy(F.col("split.featureIndex").alias("_i")).agg(
+        F.count(F.lit(1)).alias("n_splits"), F.avg("gain").alias("gain"), F.sum(F.col("gain") * rows).alias("_total"))
+    names = spark.createDataFrame(list(enumerate(feature_cols)), "_i int, feature string")   # one row per feature
+    whole = used.agg(F.sum("_total")).first()[0] or 1.0
+    return names.join(used, "_i", "left").select(
+        "feature", F.coalesce("n_splits", F.lit(0)).alias("n_splits"), F.coalesce("gain", F.lit(0.0)).alias("gain"),
+        F.coalesce(F.col("_total") / F.lit(whole), F.lit(0.0)).alias("importance"))
+
+
+# ---------------------------------------------------------------------------- M4
+
+
+# Orders of a row set in which neighbours are sought, random directions that make up the head of an order, and rows of a bucket.
+SEARCH_ORDERS, HEAD_BITS, BUCKET_ROWS = 16, 6, 512
+
+
+def _z_scores(df: DataFrame, feats: Sequence[str]) -> F.Column:
+    """The features as one array, each with mean 0 and deviation 1; a constant one is 0."""
+    stats = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(feats)],
+                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)]).first()
+    return F.array(*[(F.coalesce(F.col(c).cast("double"), F.lit(stats[f"m{i}"] or 0.0)) - F.lit(stats[f"m{i}"] or 0.0)) / F.lit(stats[f"s{i}"] or 1.0)
+                     for i, c in enumerate(feats)])
+
+
+def nearest_rows(rows: DataFrame, id_col: str, vector_col: str, k: int = 5, seed: int = 42,
+                 orders: int = SEARCH_ORDERS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """For each row of ``rows`` (unique long id, array of doubles of one length) up to ``k``
+    near ones by Euclidean distance: id, neighbour, distance, rank from 1; ties to the smaller id.
+
+    The rows are put into several orders, each by the signs of a few seeded random
+    projections and then by one more projection, so that near rows mostly come
+    close together in some of them. Each order is cut into buckets of
+    ``bucket_rows`` rows by a distributed row number, whatever the values are: no
+    bucket is larger, not even where a third of all rows are equal, and no row is left
+    out. Inside a bucket all true distances are taken at once; the best of all orders stay.
+    Up to ``bucket_rows`` rows the result is exact; else ``orders`` sets the recall."""
+    dim = (rows.select(F.max(F.size(vector_col))).first()[0]) or 0
+    rng = np.random.default_rng(seed)
+    rows = stage(rows.select(F.col(id_col).alias("_id"), F.col(vector_col).alias("_v")), "near-rows")
+
+    heads, ats = rng.normal(size=(orders, HEAD_BITS, dim)), rng.normal(size=(orders, dim))
+
+    def project(batches):
+        for pdf in batches:
+            if len(pdf):
+                ids, v = pdf["_id"].to_numpy(), np.stack(pdf["_v"].to_numpy())
+                for order in range(orders):
+                    head = ((v @ heads[order].T > 0) << np.arange(HEAD_BITS)).sum(1)
+                    # as a place on a Gray code: neighbours in this order differ in few signs
+                    for shift in (1, 2, 4):
+                        head = head ^ (head >> shift)
+                    yield pd.DataFrame({"_o": np.int32(order), "_id": ids, "_head": head.astype(np.int32), "_at": v @ ats[order]})
+
+    keyed = rows.mapInPandas(project, "_o int, _id long, _head int, _at double")
+    placed = with_row_number(keyed, ["_o"], [("_head", True), ("_at", True), ("_id", True)], "_rn", "_n")
+    buckets = placed.select("_o", "_id", F.floor((F.col("_rn") - 1) / bucket_rows).alias("_b")).join(rows, "_id")
+
+    def best(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_id")
+        ids, v = pdf["_id"].to_numpy(), np.stack(pdf["_v"].to_numpy())
+        norm = (v * v).sum(1)
+        square = np.maximum(norm[:, None] + norm[None, :] - 2 * v @ v.T, 0)
+        np.fill_diagonal(square, np.inf)
+        many = min(k, len(ids) - 1)
+        at = np.argsort(square, axis=1, kind="stable")[:, :many].ravel()
+        own = np.repeat(np.arange(len(ids)), many)
+        return pd.DataFrame({"id": ids[own], "neighbour": ids[at], "distance": np.sqrt(((v[own] - v[at]) ** 2).sum(1))})
+
+    found = buckets.groupBy("_o", "_b").applyInPandas(best, "id long, neighbour long, distance double")
+    found = found.groupBy("id", "neighbour").agg(F.min("distance").alias("distance"))
+    near = Window.partitionBy("id").orderBy("distance", "neighbour")
+    return found.withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= k)
 
 
 def _u01(*cols) -> F.Column:
@@ -73,13 +153,9 @@ def oversample_minority(df: DataFrame, feature_cols: Sequence[str], label_col: s
                         synthetic_col: str = "SYNTHETIC") -> DataFrame:
     """M4: SMOTE-style minority oversampling up to class balance.
 
-    Neighbours are taken along a seeded random projection of the z-scored
-    features: the minority rows are numbered in projection order (a
-    distributed range-partitioned row number), and each synthetic row
-    interpolates between a row and one of its ``k`` successors (or
-    predecessors at the end) in that order, with a hash-seeded weight. This
-    needs one sort and one equi-join on row numbers: no candidate pairs are
-    enumerated, so the cost is linear in the output. Every minority row gets
+    The neighbours of each minority row are its ``k`` nearest minority rows by z-scored
+    features (``nearest_rows``); each synthetic row lies between a row and one of
+    them, chosen and weighted by a seeded hash. Every minority row gets
     floor or ceil of (majority - minority) / minority synthetic rows.
     """
     feats = list(feature_cols)
@@ -91,24 +167,19 @@ def oversample_minority(df: DataFrame, feature_cols: Sequence[str], label_col: s
     if n_min < 2 or need <= 0:
         return marked
     minority = df.where(F.col(label_col) == 1)
-    stats = minority.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(feats)],
-                         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)]).first()
-    direction = _unit_vector(len(feats), seed)
-    proj = sum(((F.col(c) - F.lit(stats[f"m{i}"] or 0.0)) / F.lit(stats[f"s{i}"] or 1.0)) * F.lit(direction[i])
-               for i, c in enumerate(feats))
-    ordered = with_row_number(minority.withColumn("_proj", proj).withColumn("_g", F.lit(0)),
-                              ["_g"], [("_proj", True)] + [(c, True) for c in key_cols],
-                              "_rn", "_n").drop("_g", "_proj")
+    ordered = stage(with_row_number(minority.withColumn("_g", F.lit(0)), ["_g"],
+                                    [(c, True) for c in key_cols] + [(c, True) for c in feats], "_rn", "_n").drop("_g"), "minority")
+    near = nearest_rows(ordered.select("_rn", _z_scores(ordered, feats).alias("_v")), "_rn", "_v", k, seed)
     base, extra = divmod(need, n_min)
     reps = F.lit(base) + F.when(F.col("_rn") <= F.lit(extra), 1).otherwise(0)
     seeds = ordered.select("_rn", *feats, F.explode(F.sequence(F.lit(1), F.greatest(reps, F.lit(1)))).alias("_j"),
                            reps.alias("_reps")).where(F.col("_j") <= F.col("_reps"))
-    step = (F.pmod(F.xxhash64(F.col("_rn"), F.col("_j"), F.lit(seed)), F.lit(k)) + 1).cast("long")
-    seeds = seeds.withColumn("_nb", F.when(F.col("_rn") + step <= F.lit(n_min), F.col("_rn") + step)
-                             .otherwise(F.greatest(F.col("_rn") - step, F.lit(1))))
+    step = F.pmod(F.xxhash64(F.col("_rn"), F.col("_j"), F.lit(seed)), F.lit(min(k, n_min - 1))) + 1
+    seeds = seeds.withColumn("_rank", step.cast("int"))
+    near = near.select(F.col("id").alias("_rn"), F.col("rank").alias("_rank"), F.col("neighbour").alias("_nb"))
     nb = ordered.select(F.col("_rn").alias("_nb"), *[F.col(c).alias(f"_nb_{c}") for c in feats])
     u = _u01(F.col("_rn"), F.col("_j"), F.lit(seed + 1))
-    synth = seeds.join(nb, on="_nb", how="inner").select(
+    synth = seeds.join(near, ["_rn", "_rank"]).join(nb, on="_nb", how="inner").select(
         *[(F.col(c) + u * (F.col(f"_nb_{c}") - F.col(c))).alias(c) for c in feats])
     fill = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in df.columns if c not in feats]
     synth = synth.select(*fill, *feats).withColumn(label_col, F.lit(1).cast(df.schema[label_col].dataType))
@@ -131,27 +202,22 @@ def latest_versions(registry: DataFrame) -> DataFrame:
             .withColumn("alias", F.lit("last")))
 
 
+def registry(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The registered versions of a model; a few rows for each training run."""
+    found = commits(spark, f"{root.rstrip('/')}/_registry/{name}")
+    return spark.createDataFrame([(name, n, c["path"]) for n, c in sorted(found.items())], REGISTRY_SCHEMA)
+
+
 def register_model(spark: SparkSession, model: PipelineModel, root: str, name: str) -> int:
-    """Save ``model`` as the next version under ``root/name/v<n>`` and append
-    it to the registry table ``root/_registry`` (a Parquet table)."""
-    reg_path = f"{root.rstrip('/')}/_registry"
-    try:
-        current = spark.read.schema(REGISTRY_SCHEMA).parquet(reg_path).where(F.col("model_name") == name)
-        last = current.agg(F.max("version")).first()[0] or 0
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        last = 0  # first registration, no table yet
-    version = int(last) + 1
-    path = f"{root.rstrip('/')}/{name}/v{version}"
-    model.save(path)  # fails where the version exists
-    spark.createDataFrame([(name, version, path)], REGISTRY_SCHEMA).write.mode("append").parquet(reg_path)
-    return version
+    """M8: save ``model`` under ``root/name`` and commit it as the next version. Of two
+    writers at once each gets a version of its own; a writer that fails before the commit leaves none."""
+    path = f"{root.rstrip('/')}/{name}/{model.uid}-{scratch_path(spark, 'v').rsplit('-', 1)[-1]}"
+    model.save(path)
+    return commit(spark, f"{root.rstrip('/')}/_registry/{name}", {"path": path})
 
 
 def load_latest(spark: SparkSession, root: str, name: str) -> PipelineModel:
-    reg = spark.read.schema(REGISTRY_SCHEMA).parquet(f"{root.rstrip('/')}/_registry")
-    row = latest_versions(reg.where(F.col("model_name") == name)).first()
+    row = latest_versions(registry(spark, root, name)).first()
     if row is None:
         raise LookupError(f"no registered version of {name}")
     return PipelineModel.load(row["path"])

@@ -65,6 +65,39 @@ def summary_stats(df: DataFrame, columns: Sequence[str] | None = None, digits: i
         "column", "count", "mean", "stddev", "min", "p25", "p50", "p75", "max")
 
 
+def summary_stats_approx(df: DataFrame, columns: Sequence[str] | None = None, rank_error: float = 0.001, digits: int = 6) -> DataFrame:
+    """A7 (approximate variant): as ``summary_stats``, but each quartile is a value of the column whose rank is
+    off by at most ``rank_error`` of its rows, and one row.
+
+    One pass without sort or unpivot: every task keeps a quantile summary per column, whose size hangs on
+    ``rank_error`` and not on the rows, and the summaries are merged."""
+    cols = list(columns or numeric_columns(df))
+    accuracy = F.lit(int(np.ceil(1 / rank_error)))
+    parts = []
+    for c in cols:
+        v = F.col(c).cast("double")
+        q = F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy)
+        parts.append(F.struct(F.lit(c).alias("column"), F.count(v).alias("count"), F.round(F.avg(v), digits).alias("mean"), F.round(F.stddev_samp(v), digits).alias("stddev"),
+                              F.min(v).alias("min"), q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), F.max(v).alias("max")))
+    one = df.agg(*[p.alias(f"m{i}") for i, p in enumerate(parts)])
+    return one.select(F.inline(F.array(*[f"m{i}" for i in range(len(cols))])))
+
+
+def quantile_rank_errors(df: DataFrame, summary: DataFrame) -> DataFrame:
+    """column, quantile, rank_error: how far, as a share of the column's rows, the exact ranks of each
+    quartile's value are from the rank asked for; 0 if one of its equal rows has it, null for a column
+    without values. A check of a summary, by one more pass over the rows."""
+    parts = F.array(*[F.struct(F.lit(q).alias("quantile"), F.col(p).alias("at")) for q, p in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    asked = summary.select("column", F.inline(parts))   # three rows per column
+    cols = [r["column"] for r in summary.select("column").collect()]
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value").where("value is not null")
+    found = long.join(F.broadcast(asked), "column").groupBy("column", "quantile").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") < F.col("at")).alias("below"), F.count_if(F.col("value") <= F.col("at")).alias("upto"))
+    want = F.ceil(F.col("n") * F.col("quantile"))
+    off = F.greatest(F.col("below") + 1 - want, want - F.col("upto"), F.lit(0)) / F.col("n")
+    return asked.select("column", "quantile").join(found.select("column", "quantile", off.alias("rank_error")), ["column", "quantile"], "left")
+
+
 def null_share(df: DataFrame) -> DataFrame:
     """Share of nulls per column, one aggregate, one row."""
     return df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in df.columns])

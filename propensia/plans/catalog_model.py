@@ -106,6 +106,27 @@ def q_feature_importance_rows(spark, sf_dir):
     return q_feature_importance(spark, sf_dir).select("feature", F.col("gain").between(0, 1).alias("GAIN_VALID"))
 
 
+@register("feature_gains", "M7 O3")
+def q_feature_gains(spark, sf_dir):
+    """Average gain of each feature's splits from the model's node table, highest first."""
+    model, _ = _fit(spark, sf_dir)
+    place = F.row_number().over(Window.orderBy(F.desc("gain"), "feature"))   # one row per feature
+    return ml.split_gains(spark, model, FEATURES).withColumn("place", place)
+
+
+@register("feature_gain_rows", "M7 O3", "select unnest([" + ", ".join(f"'{c}'" for c in FEATURES)
+          + "]) as feature, true as ZERO_IF_UNUSED, true as IMPORTANCE_MATCHES, true as ORDER_VALID")
+def q_feature_gain_rows(spark, sf_dir):
+    """The chosen features; weighted gains add up to Spark's own importances, unused ones have 0, places follow the gain."""
+    model, _ = _fit(spark, sf_dir)
+    own = spark.createDataFrame(ml.feature_importance(model, FEATURES), "feature string, spark_importance double")
+    before = F.lag("gain").over(Window.orderBy("place"))
+    return q_feature_gains(spark, sf_dir).withColumn("_before", before).join(own, "feature").select(
+        "feature", ((F.col("n_splits") > 0) | ((F.col("gain") == 0) & (F.col("importance") == 0))).alias("ZERO_IF_UNUSED"),
+        (F.abs(F.col("importance") - F.col("spark_importance")) < 1e-9).alias("IMPORTANCE_MATCHES"),
+        (F.col("_before").isNull() | (F.col("_before") >= F.col("gain"))).alias("ORDER_VALID"))
+
+
 @register("score_latest_model", "M8 J7 M6 P16")
 def q_score_latest_model(spark, sf_dir):
     """Register the fitted model as a version, load the latest version back and

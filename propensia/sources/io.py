@@ -32,6 +32,14 @@ CUSTOMER_SCHEMA = T.StructType([
     T.StructField("birth_date", T.DateType(), True)])
 
 
+# The staging table of the customer load, with the longest text of each column, and the
+# columns that the load names (all but phone_type).
+STAGING_COLUMNS = [("customer_id", S, 10), ("first_name", S, 20), ("last_name", S, 20), ("gender", T.BooleanType(), None),
+                   ("nationality", S, 20), ("birth_date", T.DateType(), None), ("street_address", S, 50), ("city", S, 50), ("postal_code", S, 10),
+                   ("country", S, 20), ("phone_number", S, 20), ("phone_type", T.BooleanType(), None), ("email_address", S, 50)]
+LOAD_LIST = [name for name, _, _ in STAGING_COLUMNS if name != "phone_type"]
+
+
 def scan_typed(spark: SparkSession, source: str, root: str, schema: T.StructType | None = None,
                timestamp_ntz: bool = False,
                pattern: str = "{root}/{source}/*/{source}.parquet") -> DataFrame:
@@ -56,14 +64,48 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType = CUSTOMER_SCH
             .option("mode", "FAILFAST").csv(path))
 
 
+def load_staging(spark: SparkSession, path: str, load_list: list[str] = LOAD_LIST, columns: list[tuple] = STAGING_COLUMNS,
+                 header: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Bulk-load CSV files into a declared staging layout by a column list.
+
+    The files' columns are those of ``load_list``, in its order; staging columns that it leaves out are absent
+    from the staged frame, so that an upsert keeps their values (H10). Returns the rows that fit the
+    declaration, and the others as (row: the line or its fields, reason): a line of too few or too many
+    fields, a text longer than its column, a value that is no date or no boolean, or no ``customer_id``."""
+    kinds = {name: (kind, most) for name, kind, most in columns}
+    if unknown := [c for c in load_list if c not in kinds]:
+        raise ValueError(f"no such staging column: {', '.join(unknown)}")
+    layout = T.StructType([T.StructField(c, S) for c in load_list] + [T.StructField("_line", S)])
+    raw = (spark.read.schema(layout).option("header", str(header).lower()).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_line").csv(path))   # all columns are text: a line is marked only by its number of fields
+    checks = [F.when(F.col("_line").isNotNull(), F.lit(f"not {len(load_list)} fields"))]
+    if "customer_id" in load_list:
+        checks.append(F.when(F.col("customer_id").isNull(), F.lit("no customer_id")))
+    typed = []
+    for c in load_list:
+        kind, most = kinds[c]
+        if kind == S:
+            typed.append(F.col(c))
+            checks.append(F.when(F.char_length(F.col(c)) > most, F.lit(f"{c} longer than {most}")))
+        else:
+            value = F.expr(f"try_cast(trim(`{c}`) as {kind.simpleString()})")
+            typed.append(value.alias(c))
+            checks.append(F.when(F.col(c).isNotNull() & value.isNull(), F.lit(f"{c} is no {kind.simpleString()}")))
+    marked = raw.withColumn("_reasons", F.array_compact(F.array(*checks)))
+    good = marked.where(F.size("_reasons") == 0).select(*typed)
+    bad = marked.where(F.size("_reasons") > 0).select(F.coalesce("_line", F.to_json(F.struct(*load_list))).alias("row"), F.array_join("_reasons", "; ").alias("reason"))
+    return good, bad
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet",
                partition_by: list[str] | None = None) -> DataFrame:
-    """Replace a table with the frame (drop-if-exists + create in one
-    overwrite) and return the table read back. ``fmt='delta'`` works where the
+    """Replace a catalog table with the frame (drop-if-exists + create in one
+    overwrite) and return the table read back; ``commits.replace_table`` replaces a table
+    in one step for its readers. ``fmt='delta'`` works where the
     Delta jar is installed; the default is Parquet."""
     spark = df.sparkSession
     w = df.write.mode("overwrite").format(fmt)

@@ -22,6 +22,48 @@ def test_ranks_with_nulls_equal_windows(spark):
     assert {r.i: r.n for r in numbered} == {r.i: r.n for r in df.select("i", F.row_number().over(by).alias("n")).collect()}
 
 
+@pytest.mark.parametrize("kind", ["int", "double", "date", "string"])
+def test_ranks_of_null_groups_of_any_type(spark, kind):
+    value = {"int": "g", "double": "g / 4d", "date": "date_add(date '2024-01-01', cast(g as int))", "string": "cast(g as string)"}[kind]
+    df = spark.range(600).selectExpr("case when id % 3 = 0 then null else id % 5 end as g", "cast(id * 37 % 101 as double) as v", "id as i").selectExpr(f"{value} as g", "v", "i")
+    up, down, by = (Window.partitionBy("g").orderBy(*o) for o in (["v"], [F.desc("v")], ["v", "i"]))
+    want = df.select("i", F.percent_rank().over(up).alias("p"), F.rank().over(down).alias("r"), F.row_number().over(by).alias("n"))
+    for parts in (1, 7):
+        got = ranking.with_percent_rank(df, ["g"], "v", "p", num_partitions=parts)
+        got = ranking.with_competition_rank(got, ["g"], "v", out_col="r", num_partitions=parts)
+        got = ranking.with_row_number(got, ["g"], [("v", True), ("i", True)], "n", num_partitions=parts)
+        assert "Python" not in got._jdf.queryExecution().executedPlan().toString() and "Pandas" not in got._jdf.queryExecution().executedPlan().toString()
+        assert sorted(got.select("i", "p", "r", "n").collect()) == sorted(want.collect())
+
+
+def test_propensity_keeps_null_groups(spark):
+    rows = [(i, 2020, None if i % 3 == 0 else 1, float(i)) for i in range(9)]
+    out = labels.propensity_label(spark.createDataFrame(rows, "CUST_NUM long, YEAR int, MONTH int, a double"), {"a": 1.0}, 0.9).collect()
+    assert sorted(r.CUST_NUM for r in out) == list(range(9))
+    assert {r.CUST_NUM for r in out if r.TARGET} == {6, 8}   # the highest of each group, the null one too
+
+
+def test_not_in_knows_nulls_and_empty_lists(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "cust_num long, name string")
+    ids = lambda *v: spark.createDataFrame([(x,) for x in v], "cust_num long")
+    names = lambda df: sorted(r.name for r in df.collect())
+    assert names(customers.not_in(rows, ids())) == ["a", "b", "n"]
+    assert names(customers.not_in(rows, ids(2, 2))) == ["a"]
+    assert names(customers.not_in(rows, ids(7, None))) == []
+    assert names(customers.not_in(rows.limit(0), ids(7))) == []
+
+
+def test_relationship_violations(spark):
+    fact = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,), (None,)], "CUST_NUM long")
+    dim = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z"), (9, "w"), (None, "v")], "cust_num long, name string")
+    found = lambda **k: sorted((r.key or 0, r.reason, r.n_fact, r.n_dim) for r in customers.relationship_check(fact, dim, **k).collect())
+    many = [(0, "null_key", 2, 0), (2, "duplicate_dimension", 1, 2), (3, "orphan", 1, 0)]
+    assert found(one_to_one=False) == many and found() == sorted([*many, (1, "duplicate_fact", 2, 1)])
+    star, broken = customers.scored_customer_star(fact, dim)
+    assert star.count() == 0 and broken.count() == 4
+    assert [tuple(r) for r in customers.scored_customer_star(fact.where("CUST_NUM = 1").distinct(), dim.where("cust_num = 1"))[0].collect()] == [(1, "x")]
+
+
 def test_staged_nulls_and_duplicates(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "t")], "cust_num long, name string")
     staged = spark.createDataFrame([(2, "y"), (2, "x"), (None, "N"), (3, "z")], "cust_num long, name string")
@@ -77,6 +119,3 @@ def test_versions_are_never_overwritten(spark, tmp_path):
     fitted = model.train_gbt(df, ["a"], "y", maxIter=1)
     assert [model.register_model(spark, fitted, str(tmp_path), "m") for _ in range(2)] == [1, 2]
     assert model.load_latest(spark, str(tmp_path), "m").stages
-    (tmp_path / "m" / "v3").mkdir()
-    with pytest.raises(Exception, match="(?i)already exists"):
-        model.register_model(spark, fitted, str(tmp_path), "m")
