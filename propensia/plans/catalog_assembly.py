@@ -28,6 +28,33 @@ CHURN_WEIGHTS = {
     "TV_DURATION_DOCUMENTARIES_L3M_SECONDES": -0.1,
 }
 CHURN_QUANTILE = 0.97
+# The same of the two bundles; total TV usage and the number of sports seen have no assembled column.
+SPORT_WEIGHTS = {
+    "INTERNET_DURATION_SOCIAL_MEDIA_L3M_SECONDES": 0.1,
+    "INTERNET_DURATION_PRICE_COMPARATOR_L3M_SECONDES": -0.2,
+    "AMOUNT_OF_CONTACT_COMPLAINTS_L3M": -0.2,
+    "JOURNEY_DURATION_TECHNICAL_ISSUES_L3M_DAYS": -0.2,
+    "AMOUNT_OF_CONTACT_ADMINISTRATIVE_ISSUES_L3M": -0.2,
+    "INTERNET_DURATION_KIDS_L3M_SECONDES": 0.2,
+    "INTERNET_DURATION_FOOTBALL_L3M_SECONDES": 0.2,
+    "INTERNET_DURATION_CYCLING_L3M_SECONDES": 0.2,
+    "TV_DURATION_FOOTBALL_L3M_SECONDES": 0.2,
+    "TV_DURATION_CYCLING_L3M_SECONDES": 0.2,
+    "TV_DURATION_CULTURE_L3M_SECONDES": -0.1,
+}
+CINEMA_WEIGHTS = {
+    "INTERNET_DURATION_PRICE_COMPARATOR_L3M_SECONDES": -0.2,
+    "AMOUNT_OF_CONTACT_COMPLAINTS_L3M": -0.2,
+    "JOURNEY_DURATION_TECHNICAL_ISSUES_L3M_DAYS": -0.2,
+    "AMOUNT_OF_CONTACT_ADMINISTRATIVE_ISSUES_L3M": -0.2,
+    "INTERNET_DURATION_KIDS_L3M_SECONDES": 0.2,
+    "INTERNET_DURATION_NETFLIX_L3M_SECONDES": 0.35,
+    "INTERNET_DURATION_DISNEY_L3M_SECONDES": 0.35,
+    "INTERNET_DURATION_FOOTBALL_L3M_SECONDES": -0.1,
+    "TV_DURATION_DOCUMENTARIES_L3M_SECONDES": 0.35,
+    "TV_DURATION_MOVIES_L3M_SECONDES": 0.3,
+    "TV_DURATION_CULTURE_L3M_SECONDES": 0.25,
+}
 
 
 def _tables(spark, sf_dir, mode, with_requests=False):
@@ -204,8 +231,8 @@ def q_split_by_time(spark, sf_dir):
 # ---------------------------------------------------------------------------- M9, M10
 
 
-def _propensity_sql() -> str:
-    ws = list(CHURN_WEIGHTS.items())
+def _propensity_sql(weights: dict[str, float]) -> str:
+    ws = list(weights.items())
     stats = ", ".join(f"avg({c}) as mu_{i}, stddev_pop({c}) as sd_{i}" for i, (c, _) in enumerate(ws))
     raw = " + ".join(f"{w} * (({c} - mu_{i}) / (case when sd_{i} = 0 then 1.0 else sd_{i} end))"
                      for i, (c, w) in enumerate(ws))
@@ -224,14 +251,28 @@ select CUST_NUM, YEAR, MONTH, round(S, 6) as PROPENSITY_SCORE, cast(S >= thr as
 from s2 join th using (YEAR, MONTH)""")
 
 
-@register("propensity_label", "M9", _propensity_sql())
-def q_propensity_label(spark, sf_dir):
+def _propensity(spark, sf_dir, weights):
     df = fill_missing_numeric(training_set(spark, sf_dir))
-    out = lb.propensity_label(df, CHURN_WEIGHTS, CHURN_QUANTILE, ("YEAR", "MONTH"))
+    out = lb.propensity_label(df, weights, CHURN_QUANTILE, ("YEAR", "MONTH"))
     return out.select("CUST_NUM", "YEAR", "MONTH", F.round("PROPENSITY_SCORE", 6).alias("PROPENSITY_SCORE"),
                       "TARGET")
 
 
+@register("propensity_label", "M9", _propensity_sql(CHURN_WEIGHTS))
+def q_propensity_label(spark, sf_dir):
+    return _propensity(spark, sf_dir, CHURN_WEIGHTS)
+
+
+@register("propensity_label_sport", "M9", _propensity_sql(SPORT_WEIGHTS))
+def q_propensity_label_sport(spark, sf_dir):
+    return _propensity(spark, sf_dir, SPORT_WEIGHTS)
+
+
+@register("propensity_label_cinema", "M9", _propensity_sql(CINEMA_WEIGHTS))
+def q_propensity_label_cinema(spark, sf_dir):
+    return _propensity(spark, sf_dir, CINEMA_WEIGHTS)
+
+
 _FLAG_EVENTS = {f"{k.lower()}_target": v for k, v in lb.TARGET_EVENTS.items()}
 
 

@@ -196,3 +196,30 @@ def q_mobile_features(spark, sf_dir):
     _fx("socio_demo") + sg.socio_ctes("socio_demo", "train", "f_socio"), "select * from f_socio"))
 def q_socio_features(spark, sf_dir):
     return fs.socio_table(_src(spark, sf_dir, "socio_demo"), "train")
+
+
+# Scoring-window twins: the same tables over the last complete month.
+
+
+@register("internet_features_scoring", "A2 (scoring twin)", sg.render(
+    _fx("internet") + sg.usage_ctes(fx.INTERNET, "internet", "score", "f_internet"), "select * from f_internet"))
+def q_internet_features_scoring(spark, sf_dir):
+    return fs.internet_table(_src(spark, sf_dir, "internet"), "score")
+
+
+@register("journey_features_scoring", "A3 J4 (scoring twin)", sg.render(
+    _fx("journeys") + sg.journey_ctes("journeys", "score", "f_journeys"), "select * from f_journeys"))
+def q_journey_features_scoring(spark, sf_dir):
+    return fs.journeys_table(_src(spark, sf_dir, "journeys"), "score")
+
+
+@register("mobile_features_scoring", "A4 (scoring twin)", sg.render(
+    _fx("mobile") + sg.mobile_ctes("mobile", "score", "f_mobile"), "select * from f_mobile"))
+def q_mobile_features_scoring(spark, sf_dir):
+    return fs.mobile_table(_src(spark, sf_dir, "mobile"), "score")
+
+
+@register("socio_features_scoring", "A5 (scoring twin)", sg.render(
+    _fx("socio_demo") + sg.socio_ctes("socio_demo", "score", "f_socio"), "select * from f_socio"))
+def q_socio_features_scoring(spark, sf_dir):
+    return fs.socio_table(_src(spark, sf_dir, "socio_demo"), "score")
