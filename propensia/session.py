@@ -71,15 +71,6 @@ def share_code(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write an intermediate once (eager reliable checkpoint in the shared
-    checkpoint folder) when it feeds several branches: the upstream scans and
-    shuffles then run once, and a lost executor re-reads the files instead of
-    recomputing from the raw sources."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write an intermediate as Parquet in the shared checkpoint folder and read
     it back: later scans read only the columns they need, and Spark knows the
