@@ -16,7 +16,13 @@ article only containers whose whole class names one, outside it any element that
 doesn't hold most of the host's varying text); if the
 template has an article (else a main) element, only slots inside it are; else a slot
 whose text is the same on all of the host's pages is template text, and so are
-slots that are mostly links (this also goes for single pages without the article element). Pages are then read again along their host's wrapper.
+slots that are mostly links (this also goes for single pages without the article element).
+If the host's articles hold less text than stands beside them, they may be teasers: a page
+then gives the story beside its articles if that is longer. Pages are then read again along their host's wrapper.
+
+A wrapper doesn't grow with the pages: where elements of one name have more than
+``KINDS`` keys in one element (classes made for each page, as blogs write them), they
+become one repeated group under the name and the words that mark boilerplate.
 """
 
 from __future__ import annotations
@@ -47,6 +53,8 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 HOLDS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "tbody": ("table",), "tfoot": ("table",)}
 
 BOILER_TAGS = frozenset("nav footer aside form dialog menu search".split())
+#: Different keys that elements of one name may have in one element of a wrapper.
+KINDS = 24
 BOILER_WORDS = frozenset("""nav navbar navigation menu menubar topbar header masthead footer foot sidebar side aside widget widgets ad ads advert adverts
     advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices alert popup modal overlay
     comment comments reply replies disqus discussion respond share sharing social related recommended breadcrumb breadcrumbs pagination pager
@@ -94,7 +102,7 @@ def _element(name: str, tag: str) -> tuple[str, bool]:
                 hidden = True
             elif attribute == "style":
                 hidden |= bool(_HIDDEN.search(value))
-            elif attribute != "id" or name not in HEADINGS:
+            elif name not in ("html", "body") and (attribute != "id" or name not in HEADINGS):   # a page has one of these, whatever its class
                 words += _words(value)
                 named |= any(_names_boilerplate(token, attribute == "id") for token in value.split())
     return " ".join([name, *["!"] * (named and name in CONTAINERS), *sorted(set(words))]), hidden
@@ -229,8 +237,25 @@ def merge(a: Node, b: Node) -> Node:
 Merging = Generator[tuple[Node, Node], Node, object]   # asks for two elements to be merged, gets the one that stands for them
 
 
+def _general(key: str) -> str:
+    """The key of all elements of its name that are alike in the words that mark boilerplate."""
+    name, *words = key.split(" ")
+    return " ".join([name, "*", *(w for w in words if w == "!" or w in BOILER_WORDS)])
+
+
+def _crowded(keys: Iterable[str]) -> set[str]:
+    """The names with more than KINDS keys, or with a general key already."""
+    kinds: dict[str, int] = {}
+    for name, *words in map(str.split, filter(None, keys)):
+        kinds[name] = kinds.get(name, 0) + (KINDS + 1 if words[:1] == ["*"] else 1)
+    return {name for name, n in kinds.items() if n > KINDS}
+
+
 def _merge(a: Node, b: Node) -> Merging:
     out = {"k": a["k"], "m": a["m"] or b["m"], "o": a["o"] or b["o"], "s": _merge_slots(a["s"], b["s"]), "r": []}
+    if crowded := _crowded({r[0] for r in a["r"]} | {r[0] for r in b["r"]}):
+        out["m"] = True
+        a, b = ({**n, "r": [[_general(r[0]) if r[0].split(" ")[0] in crowded else r[0], *r[1:]] for r in n["r"]]} for n in (a, b))
     keys_a, keys_b = [r[0] for r in a["r"]], [r[0] for r in b["r"]]
     if not out["m"] and keys_a == keys_b:
         for x, y in zip(a["r"], b["r"]):
@@ -246,7 +271,7 @@ def _merge(a: Node, b: Node) -> Merging:
     for key, _, nodes in [*a["r"], *b["r"]]:
         by_key.setdefault(key, []).extend(nodes)
     for key, nodes in by_key.items():
-        out["r"].append([key, True, [(yield from _fold(nodes))]])
+        out["r"].append([key, True, [{**(yield from _fold(nodes)), "k": key}]])
     return out
 
 
@@ -326,7 +351,7 @@ def match(wrapper: Node, page: Node) -> Iterator[tuple[Node, Node]]:
         same = not wrapper["m"] and [r[0] for r in wrapper["r"]] == [r[0] for r in page["r"]]
         by_key = {r[0]: r for r in wrapper["r"]}
         for i, (key, _, nodes) in enumerate(page["r"]):
-            run = wrapper["r"][i] if same else by_key.get(key)
+            run = wrapper["r"][i] if same else by_key.get(key) or by_key.get(_general(key))
             if run is not None:
                 todo += [(run[2][j] if not run[1] and j < len(run[2]) else run[2][0], node) for j, node in enumerate(nodes)]
 
@@ -342,14 +367,15 @@ def _evidence(wrapper: Node, pages: int) -> dict[int, tuple[bool, int]]:
     return out
 
 
-def _boiler(node: Node, inside: bool, has_article: bool, most: bool) -> bool:
+def _boiler(node: Node, inside: bool, has_article: bool, most: bool, all_: bool) -> bool:
     """Whether an element (inside: of an article) is no article text; most: it has
-    most of the wrapper's varying text."""
+    most of the wrapper's varying text, all_: over nine tenths of what varies over several pages."""
     name, *words = node["k"].split(" ")
     if name in ("html", "body", "main") or name == "article" and not inside:
         return False
     if name in BOILER_TAGS or name == "header" and not inside:
-        return True
+        # the element alone says nothing where it holds the story: a form may be around the whole page
+        return not (all_ or name == "form" and (has_article or most))
     if inside:
         return "!" in words
     said = BOILER_WORDS.intersection(words)
@@ -359,9 +385,13 @@ def _boiler(node: Node, inside: bool, has_article: bool, most: bool) -> bool:
     return bool(said) and not has_article and not most
 
 
-def main_slots(wrapper: Node, pages: int) -> tuple[set[int], set[int]]:
-    """id() of the wrapper's elements whose text is article text, and of those
-    that are for pages that have none of them."""
+Slots = tuple[set[int], set[int], set[int]]
+
+
+def main_slots(wrapper: Node, pages: int) -> Slots:
+    """id() of the wrapper's elements whose text is article text; of those that are
+    for pages that have none of them; and, if the articles hold less than stands
+    beside them, of those that take their place on pages where they hold more."""
     slots: list[tuple[Node, str, int]] = []   # element, innermost kind of container, link share in percent
 
     evidence = _evidence(wrapper, pages)
@@ -370,7 +400,7 @@ def main_slots(wrapper: Node, pages: int) -> tuple[set[int], set[int]]:
     while todo:
         node, inside = todo.pop()
         has_article, own = evidence[id(node)]
-        if _boiler(node, bool(inside), has_article, 2 * own > story):
+        if _boiler(node, bool(inside), has_article, 2 * own > story, pages > 1 and 10 * own > 9 * story):
             continue
         name = node["k"].split(" ")[0]
         inside = "article" if name == "article" else inside or name * (name == "main")
@@ -380,10 +410,28 @@ def main_slots(wrapper: Node, pages: int) -> tuple[set[int], set[int]]:
 
     plain = [n for n, _, share in slots if share <= 50]
     varied = {id(n) for n in plain if n["s"][4] or pages == 1} or {id(n) for n in plain}
-    for kind in ("article", "main"):
-        if chosen := {id(n) for n, inside, _ in slots if inside == kind}:
-            return chosen, varied
-    return varied, set()
+    by_kind = {kind: {id(n) for n, inside, _ in slots if inside == kind} for kind in ("article", "main")}
+    if not by_kind["article"]:
+        return by_kind["main"] or varied, varied if by_kind["main"] else set(), set()
+    articles = [n for n in plain if id(n) in by_kind["article"]]
+    with_one = max((n["s"][0] for n in articles), default=pages)   # pages with an article, by its commonest slot
+    beside = varied - by_kind["article"]
+    held, around = sum(n["s"][1] for n in articles), sum(n["s"][1] for n in plain if id(n) in beside)
+    if held * pages >= around * min(with_one, pages):   # by page
+        return by_kind["article"], varied, set()
+    return by_kind["article"], varied, by_kind["main"] if beside & by_kind["main"] else beside
+
+
+def main_blocks(tree: Node, slots: Slots, page: str) -> list[str]:
+    """The page's blocks of article text, read along its host's wrapper and that one's slots."""
+    own, blocks = page_tree(page_blocks(page))
+    pairs = list(match(tree, own))
+    first, other, beside = ({id(p) for w, p in pairs if id(w) in ids} for ids in slots)
+    plain = lambda ids: sum(p["s"][1] for _, p in pairs if id(p) in ids and 2 * p["s"][2] <= p["s"][1])
+    chosen = beside if beside and plain(beside) > plain(first) else first
+    if not any(p["s"][0] for _, p in pairs if id(p) in chosen):
+        chosen = other
+    return [t for node, t in blocks if id(node) in chosen]
 
 
 def _merge_all(rows: Iterable[tuple[str, int, str]]) -> Iterator[tuple[str, int, Node]]:
@@ -448,7 +496,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
     wrappers = stage(infer_wrappers(rows), "wrappers").select("host", "pages", "wrapper")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[Node, tuple[set[int], set[int]]]] = {}
+        known: dict[str, tuple[Node, Slots]] = {}
         for batch in slices(batches):
             texts = []
             for host, n, wrapper, page in zip(*(batch.column(c).to_pylist() for c in ("host", "pages", "wrapper", "html"))):
@@ -460,13 +508,8 @@ def extract_text(pages: DataFrame) -> DataFrame:
                         known.clear()
                     tree = read_tree(wrapper)
                     known[host] = (tree, main_slots(tree, n))
-                tree, article = known[host]
-                own, blocks = page_tree(page_blocks(page or ""))
-                pairs = list(match(tree, own))
-                chosen = {id(p) for w, p in pairs if id(w) in article[0]}
-                if not any(p["s"][0] for _, p in pairs if id(p) in chosen):
-                    chosen = {id(p) for w, p in pairs if id(w) in article[1]}
-                texts.append("\n".join(t for node, t in blocks if id(node) in chosen))
+                tree, slots = known[host]
+                texts.append("\n".join(main_blocks(tree, slots, page or "")))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
