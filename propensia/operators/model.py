@@ -8,17 +8,19 @@ value per feature) reach the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import QuantileDiscretizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from ..functions.ranking import with_row_number
 from ..session import scratch_path, stage
@@ -43,6 +45,41 @@ def train_gbt(train: DataFrame, feature_cols: Sequence[str], label_col: str,
     return Pipeline(stages=[assembler, gbt]).fit(data)
 
 
+#: Bins of a feature in a frame shared by several fits, as many as the trees tell apart.
+FEATURE_BINS = 32
+
+
+def class_weight(label_col: str, negatives: int, positives: int) -> F.Column:
+    """Weight of a row that makes both classes weigh the same; 1 where a class is missing."""
+    ratio = negatives / positives if negatives and positives else 1.0
+    return F.when(F.col(label_col) == 1, F.lit(ratio)).otherwise(F.lit(1.0))
+
+
+def train_targets(frame: DataFrame, feature_cols: Sequence[str], target_cols: Sequence[str],
+                  bins: int = FEATURE_BINS, **overrides) -> dict[str, PipelineModel]:
+    """M5 for several 0/1 targets of one frame, both classes of a target weighted alike (M4's ``weightCol``).
+
+    The features are cut at their quantiles (one pass, mergeable sketches), assembled and
+    written once; each target's fit reads that table, and the fits run as concurrent jobs.
+    Each model is whole: bins, vector, trees. A target with one class gives a constant model."""
+    binned = [f"_bin_{c}" for c in feature_cols]
+    cut = QuantileDiscretizer(inputCols=list(feature_cols), outputCols=binned, numBuckets=bins, relativeError=0.001, handleInvalid="keep")
+    # bins are in the order of the feature, not categories, as the column's metadata would tell the trees
+    ordered = SQLTransformer(statement=f"SELECT *, {', '.join(f'{c} + 0D AS _at{c}' for c in binned)} FROM __THIS__")
+    prepared = Pipeline(stages=[cut, ordered, VectorAssembler(inputCols=[f"_at{c}" for c in binned], outputCol="features")]).fit(frame)
+    n = frame.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(t).cast("long")).alias(t) for t in target_cols]).first()
+    ready = stage(prepared.transform(frame).select("features", *[F.col(t).cast("double").alias(t) for t in target_cols],
+                                                   *[class_weight(t, n["n"] - (n[t] or 0), n[t] or 0).alias(f"_weight_{t}") for t in target_cols]), "binned")
+
+    @inheritable_thread_target(frame.sparkSession)
+    def fit(target: str) -> PipelineModel:
+        gbt = GBTClassifier(featuresCol="features", labelCol=target, weightCol=f"_weight_{target}", **(GBT_PARAMS | overrides))
+        return PipelineModel([*prepared.stages, gbt.fit(ready)])
+
+    with ThreadPoolExecutor(len(target_cols)) as pool:   # each fit is a run of Spark jobs; Spark shares the executors among them
+        return dict(zip(target_cols, pool.map(fit, target_cols)))
+
+
 def score(model: PipelineModel, df: DataFrame, proba_col: str = "y_proba") -> DataFrame:
     """M6: positive-class probability per row, JVM side."""
     out = model.transform(df)

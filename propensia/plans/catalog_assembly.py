@@ -74,6 +74,15 @@ def training_set(spark, sf_dir, target: str = "CHURN"):
                                f"TARGET_{target}")
 
 
+def training_set_of_all(spark, sf_dir):
+    """The same assembled features with the next-month label of every target."""
+    t = _tables(spark, sf_dir, "train")
+    df, events = asm.assemble(t.tv, t.internet, t.mobile, t.socio, t.journeys), all_requests(spark, sf_dir)
+    for target, event in lb.TARGET_EVENTS.items():
+        df = lb.label_next_month(df, events, event, f"TARGET_{target}")
+    return df
+
+
 # ---------------------------------------------------------------------------- DuckDB parts
 
 _ALL_REQ = ("req_all", """select CUST_NUM, EVENT_TYPE, cast(month(EVT_DT) as integer) as MONTH,
@@ -231,7 +240,7 @@ def q_split_by_time(spark, sf_dir):
 # ---------------------------------------------------------------------------- M9, M10
 
 
-def _propensity_sql(weights: dict[str, float]) -> str:
+def _propensity_sql(weights: dict[str, float], quantile: float = CHURN_QUANTILE) -> str:
     ws = list(weights.items())
     stats = ", ".join(f"avg({c}) as mu_{i}, stddev_pop({c}) as sd_{i}" for i, (c, _) in enumerate(ws))
     raw = " + ".join(f"{w} * (({c} - mu_{i}) / (case when sd_{i} = 0 then 1.0 else sd_{i} end))"
@@ -244,7 +253,7 @@ def _propensity_sql(weights: dict[str, float]) -> str:
         ("s2", """select sc.CUST_NUM, sc.YEAR, sc.MONTH,
             (raw - lo) / (case when hi - lo = 0 then 1.0 else hi - lo end) as S
           from sc join mm using (YEAR, MONTH)"""),
-        ("th", f"select YEAR, MONTH, quantile_cont(S, {CHURN_QUANTILE}) as thr from s2 group by YEAR, MONTH"),
+        ("th", f"select YEAR, MONTH, quantile_cont(S, {quantile}) as thr from s2 group by YEAR, MONTH"),
     ]
     return sg.render(ctes, """
 select CUST_NUM, YEAR, MONTH, round(S, 6) as PROPENSITY_SCORE, cast(S >= thr as integer) as TARGET

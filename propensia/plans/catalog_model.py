@@ -14,7 +14,8 @@ from ..session import scratch_path, stage
 from ..sources.fixtures import scored
 from . import sqlgen as sg
 from .catalog import register
-from .catalog_assembly import _HASH_SQL, _tables, _train_ctes, training_set
+from .catalog_assembly import (CHURN_WEIGHTS, CINEMA_WEIGHTS, SPORT_WEIGHTS, _HASH_SQL, _propensity_sql, _tables, _train_ctes,
+                               training_set, training_set_of_all)
 from ..operators import assemble as asm
 
 FEATURES = feature_columns_in_order()
@@ -33,18 +34,63 @@ def _train_rows(df):
     return df.where(F.col("SPLIT") == "train").drop("SPLIT")
 
 
-_FITTED = {}  # the model and its frame, by application and table folder: the model keys share one fit
+_FITTED = {}  # a model and its frame, by application and input files: the model keys share one fit
 
 
-def _fit(spark, sf_dir):
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _inputs(spark, sf_dir):
+    """Number, newest time and bytes of the folder's files, so that a rewritten folder is fitted anew."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(sf_dir)
+    return tuple(files.agg(F.count(F.lit(1)), F.max("modificationTime"), F.sum("length")).first())
+
+
+def _once(spark, sf_dir, fit):
+    key = (spark.sparkContext.applicationId, sf_dir, _inputs(spark, sf_dir), fit.__name__)
     if key not in _FITTED:
-        df = model_frame(spark, sf_dir)
-        balanced = ml.oversample_minority(_train_rows(df), FEATURES, TARGET).drop("SYNTHETIC")
-        _FITTED[key] = ml.train_gbt(balanced, FEATURES, TARGET), df
+        _FITTED[key] = fit(spark, sf_dir)
     return _FITTED[key]
 
 
+def _fit_churn(spark, sf_dir):
+    df = model_frame(spark, sf_dir)
+    balanced = ml.oversample_minority(_train_rows(df), FEATURES, TARGET).drop("SYNTHETIC")
+    return ml.train_gbt(balanced, FEATURES, TARGET), df
+
+
+def _fit(spark, sf_dir):
+    return _once(spark, sf_dir, _fit_churn)
+
+
+TARGETS = {m: f"TARGET_{m}" for m in lb.TARGET_EVENTS}
+WEIGHTS = {"CHURN": CHURN_WEIGHTS, "SPORT": SPORT_WEIGHTS, "CINEMA": CINEMA_WEIGHTS}
+GRADE_QUANTILE = 0.8   # rows of the top fifth of a month's propensity are the positives of the check of quality
+AUC_FLOOR, LEAST_CLASS = 0.75, 5   # held-out AUC that every model must pass where both classes have as many rows
+
+
+def _fit_requests(spark, sf_dir):
+    """One model per target on the next month's requests, from one frame."""
+    df = stage(lb.split_by_hash(cast_features(fill_missing_numeric(training_set_of_all(spark, sf_dir)), FEATURES)), "targets-frame")
+    return ml.train_targets(_train_rows(df), FEATURES, list(TARGETS.values())), df
+
+
+def _fit_propensity(spark, sf_dir):
+    """One model per target on its propensity label (M9), which the features do explain."""
+    df = cast_features(fill_missing_numeric(training_set(spark, sf_dir, "CHURN")), FEATURES).drop(TARGET)
+    df = stage(lb.split_by_hash(df), "propensity-frame")
+    for m, weights in WEIGHTS.items():
+        label = lb.propensity_label(df, weights, GRADE_QUANTILE).select(*lb.KEYS, F.col("TARGET").alias(TARGETS[m]))
+        df = df.join(label, lb.KEYS)
+    df = stage(df, "propensity-targets")
+    return ml.train_targets(_train_rows(df), FEATURES, list(TARGETS.values())), df
+
+
+def _union_of_results(spark, sf_dir, fit):
+    """U1 over the held-out rows, scored by each target's own model."""
+    models, df = _once(spark, sf_dir, fit)
+    test = df.where(F.col("SPLIT") == "test").drop("SPLIT")
+    return ev.union_model_results(
+        (m, ev.apply_threshold(ml.score(models[t], test), TRAIN_THRESHOLD, pred_col=f"PREDICTION_{m}")) for m, t in TARGETS.items())
+
+
 # DuckDB parts: rows, keys and invariants of the model results (the scores
 # themselves come out of a fit that SQL cannot express).
 _SPLIT_CTES = _train_ctes() + [("parts", f"""select CUST_NUM, YEAR, MONTH, {TARGET},
@@ -169,3 +215,43 @@ select model_name, max(version) as version,
 from reg group by model_name"""))
 def q_latest_model_version(spark, sf_dir):
     return ml.latest_versions(_registry(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------- three targets
+
+
+@register("trained_union_fact", "M5 M6 U1 P18 P19")
+def q_trained_union_fact(spark, sf_dir):
+    """The union fact of the churn, sport and cinema models' own held-out results."""
+    return _union_of_results(spark, sf_dir, _fit_requests)
+
+
+def _union_rows_sql() -> str:
+    ctes = _train_ctes()
+    known = {name for name, _ in ctes}
+    ctes += [c for m in TARGETS for c in _train_ctes(m) if c[0] == f"tg_{m}" and c[0] not in known]
+    rows = "\nunion all\n".join(f"""select a.CUST_NUM, a.YEAR, a.MONTH, cast(coalesce(t.{col}, 0) as integer) as TARGET, '{m}' as MODEL_TYPE
+      from assembled a left join tg_{m} t on a.CUST_NUM = t.CUST_NUM and a.YEAR = t.YEAR and a.MONTH = t.MONTH
+      where {_HASH_SQL.replace("CUST_NUM", "a.CUST_NUM")} >= 70""" for m, col in TARGETS.items())
+    return sg.render(ctes, f"""select *, cast({TRAIN_THRESHOLD} as double) as THRESHOLD_USED,
+      true as SCORE_VALID, true as PREDICTION_VALID from ({rows})""")
+
+
+@register("trained_union_rows", "M5 M6 U1 P18 P19", _union_rows_sql())
+def q_trained_union_rows(spark, sf_dir):
+    """Keys, targets and invariants of ``trained_union_fact``."""
+    df = q_trained_union_fact(spark, sf_dir)
+    return df.select("CUST_NUM", "YEAR", "MONTH", F.col("TARGET").cast("int").alias("TARGET"), "MODEL_TYPE", "THRESHOLD_USED",
+                     F.col("y_proba").between(0, 1).alias("SCORE_VALID"),
+                     (F.col("PREDICTION") == (F.col("y_proba") >= TRAIN_THRESHOLD).cast("int")).alias("PREDICTION_VALID"))
+
+
+@register("trained_model_auc", "M5 M6 U1 E5", "\nunion all\n".join(f"""
+select '{m}' as MODEL_TYPE, count(*) filter (TARGET = 1) as POSITIVES, count(*) filter (TARGET = 0) as NEGATIVES, true as AUC_ABOVE_FLOOR
+from ({_propensity_sql(w, GRADE_QUANTILE)}) where {_HASH_SQL} >= 70""" for m, w in WEIGHTS.items()))
+def q_trained_model_auc(spark, sf_dir):
+    """Held-out AUC of the three models on labels that the features explain; a constant model (AUC 0.5) fails the floor.
+    Where a class has fewer than LEAST_CLASS held-out rows, the AUC says nothing and isn't held against it."""
+    auc = ev.roc_auc(_union_of_results(spark, sf_dir, _fit_propensity))
+    few = F.least("POSITIVES", "NEGATIVES") < LEAST_CLASS
+    return auc.select("MODEL_TYPE", "POSITIVES", "NEGATIVES", (few | (F.col("AUC") >= AUC_FLOOR)).alias("AUC_ABOVE_FLOOR"))

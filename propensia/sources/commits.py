@@ -61,6 +61,12 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(where, True)
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """What the folder holds; nothing if it isn't there."""
+    where, fs = _fs(spark, folder)
+    return sorted(status.getPath().getName() for status in fs.listStatus(where)) if fs.exists(where) else []
+
+
 def commits(spark: SparkSession, folder: str) -> dict[int, dict]:
     """number -> content of every commit; a file that is not written to its end is none yet."""
     where, fs = _fs(spark, folder)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 
 from propensia.session import scratch_path
-from propensia.streaming.daily_ingest import EVENT_SCHEMA, land_events, late_events, run_daily_ingest
+from propensia.sources.commits import names
+from propensia.streaming.daily_ingest import DAY_PARTS, EVENT_SCHEMA, counted_events, land_events, late_events, run_daily_ingest
 
 
 def _drop(spark, rows, path):
@@ -45,3 +46,19 @@ def test_undated_events_are_landed(spark):
     path = scratch_path(spark, "t_undated")
     rows = [(1, dt.datetime(2024, 1, 1), 1, "a", 1.0, "{}"), (2, None, 1, "a", 1.0, "{}")]
     assert land_events(spark.createDataFrame(rows, EVENT_SCHEMA), path) == 2 and spark.read.parquet(path).count() == 2
+
+
+def test_files_stay_bounded_over_many_batches(spark):
+    """50 batches on three days, each with a copy of an earlier event and every tenth with an undated row: totals are
+    exact, a day has few parts, and only the last two batches' index and totals remain."""
+    land, out, ckpt = (scratch_path(spark, n) for n in ("t_many_landing", "t_many_out", "t_many_ckpt"))
+    day = lambda n: dt.datetime(2024, 1, 1 + n % 3, 12, n % 60)
+    for n in range(50):
+        rows = [(n, day(n), 1, "click", 1.0, "{}")] + [(n - 3, day(n - 3), 1, "click", 1.0, "{}")] * (n >= 3) + [(900 + n, None, 1, "view", 2.0, "{}")] * (n % 10 == 0)
+        spark.createDataFrame(rows, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(land)
+    got = {(r.window_start and r.window_start.day, r.event_type, r.n_events) for r in run_daily_ingest(spark, land, out, ckpt, max_files_per_trigger=1).collect()}
+    assert got == {(1, "click", 17), (2, "click", 17), (3, "click", 16), (None, "view", 5)}
+    assert sorted(r.event_id for r in counted_events(spark, out).collect()) == sorted([*range(50), *range(900, 950, 10)])
+    assert len(names(spark, f"{out}/index")) <= 2 and len(names(spark, f"{out}/totals")) <= 2
+    parts = [f for folder in names(spark, f"{out}/events") for f in names(spark, f"{out}/events/{folder}") if f.startswith("day=")]
+    assert len(parts) <= 2 * 4 * (DAY_PARTS + 1)   # three days and the undated rows, in two indexes
