@@ -43,6 +43,7 @@ PERCENT = 85
 RARE = 64          # a token in more documents than this is frequent; lists of at most this many classes are short
 BLOCK = 1024       # classes in a block, and
 BLOCK_TOKENS = 1 << 21   # tokens of their sets: both bound a task's memory
+STRIP = 2048       # tokens of a matrix that compares blocks
 BATCH_ROWS, BATCH_TOKENS = 4096, 1 << 18   # rows and prefix tokens of a batch
 PART_TOKENS = 1 << 20   # prefix tokens that one range counts, on average at most
 U64 = np.uint64
@@ -288,26 +289,51 @@ def _verify_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .mapInArrow(run, "a bigint, b bigint, copies_a bigint, copies_b bigint")
 
 
+def _overlaps(a: list[np.ndarray], b: list[np.ndarray] | None) -> np.ndarray:
+    """How many tokens each of a shares with each of b (none: with each other one of a):
+    products of 0/1 matrices over the tokens that occur on both sides, STRIP at a time."""
+    flat = [np.concatenate(side) for side in (a, b) if side is not None]
+    if b is None:
+        tokens = np.sort(flat[0])
+        common = np.unique(tokens[1:][tokens[1:] == tokens[:-1]])
+    else:
+        common = np.intersect1d(*flat)
+    at, both = [], np.zeros((len(a), len(a if b is None else b)), np.float32)   # exact: no set has 2^24 tokens of a block
+    for side, tokens in zip((a, b), flat):
+        row = np.repeat(np.arange(len(side), dtype=np.int32), [len(s) for s in side])
+        col = np.searchsorted(common, tokens).astype(np.int32)
+        hit = col < len(common)
+        hit[hit] = common[col[hit]] == tokens[hit]
+        row, col = row[hit], col[hit]
+        order = np.argsort(col, kind="stable")
+        at.append((row[order], col[order], len(side)))
+    for start in range(0, len(common), STRIP):
+        width = min(STRIP, len(common) - start)
+        strips = []
+        for row, col, n in at:
+            x, y = np.searchsorted(col, [start, start + width])
+            strips.append(np.zeros((n, width), np.float32))
+            strips[-1][row[x:y], col[x:y] - start] = 1
+        both += strips[0] @ strips[-1].T
+    return both
+
+
 def block_links(sets: list[np.ndarray], side: np.ndarray) -> np.ndarray:
     """Which sets link: all pairs of one block, or only those across two (side has
-    0 and 1). Overlaps are matrix products over the tokens that occur twice or more."""
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, col, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    number = np.cumsum(count > 1) - 1
-    keep = count[col] > 1
-    row, col = row[keep], number[col[keep]]
-    order = np.argsort(col, kind="stable")
-    row, col = row[order], col[order]
-    both = np.zeros((len(sets), len(sets)), np.float32)
-    for at in range(0, int(col[-1]) + 1 if len(col) else 0, 8192):
-        x, y = np.searchsorted(col, [at, at + 8192])
-        m = np.zeros((len(sets), min(8192, int(col[-1]) + 1 - at)), np.float32)
-        m[row[x:y], col[x:y] - at] = 1
-        both += m @ m.T
+    0 and 1), of which only the product of one with the other is made."""
+    out = np.zeros((len(sets), len(sets)), bool)
+    ends = [np.flatnonzero(side == k) for k in (0, 1)]
+    if not len(sets) or side.any() and not len(ends[0]):
+        return out
+    a, b = ends if side.any() else (ends[0], ends[0])
+    both = _overlaps([sets[i] for i in a], [sets[i] for i in b] if side.any() else None)
     n = np.array([len(s) for s in sets], np.float64)
-    link = _linked(n[:, None], n[None, :], both.astype(np.float64))
-    np.fill_diagonal(link, False)
-    return link & (side[:, None] != side[None, :]) if side.any() else link
+    for i, shared_with in zip(a, both):
+        out[i, b] = _linked(n[i], n[b], shared_with.astype(np.float64))
+    if side.any():
+        return out | out.T
+    np.fill_diagonal(out, False)
+    return out
 
 
 def _verify_blocks(pairs: DataFrame, blocks: DataFrame, sets: DataFrame) -> DataFrame:
@@ -317,10 +343,11 @@ def _verify_blocks(pairs: DataFrame, blocks: DataFrame, sets: DataFrame) -> Data
     rows = ends.select("x", "y", "e.blk", "e.side").join(blocks, "blk").join(sets, "cls").select("x", "y", "side", "cls", "copies", "toks")
 
     def run(t: pa.Table) -> pa.Table:
+        _words().clear()   # no text is read here
         t = t.sort_by("cls")
         cls, copies, side = (t[c].to_numpy() for c in ("cls", "copies", "side"))
         link = block_links([_tokens(x) for x in t["toks"].to_pylist()], side)
-        counts = link @ copies.astype(np.float64)
+        counts = np.array([copies[partners].sum() for partners in link])
         edges, todo = [], np.ones(len(cls), bool)
         for root in range(len(cls)):
             if todo[root] and link[root].any():

@@ -118,3 +118,16 @@ def test_near_duplicate_batches_bounded_by_tokens(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "PART_TOKENS", 100)
     assert sorted(map(tuple, ngram_join.near_duplicates(df).collect())) == want
     assert len({r[2] for r in want}) == 40
+
+
+def test_block_comparison_equals_all_pairs():
+    """Sets of one block and across two, some empty or with nothing in common, against every pair's intersection."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 62, 120).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.permutation(120)[:int(rng.integers(100, 120))]], rng.integers(0, 1 << 62, 3).astype(np.uint64)])) for _ in range(50)]
+    sets += [np.empty(0, np.uint64), rng.integers(0, 1 << 62, 9).astype(np.uint64)]
+    for side in (np.zeros(52, int), (np.arange(52) % 3 == 0).astype(int), np.ones(52, int)):
+        want = [[i != j and len(both := np.intersect1d(x, y)) > 0 and 100 * len(both) >= 85 * len(np.union1d(x, y)) and (not side.any() or side[i] != side[j])
+                 for j, y in enumerate(sets)] for i, x in enumerate(sets)]
+        assert ngram_join.block_links(sets, side).tolist() == want
+    assert ngram_join.block_links([], np.zeros(0, int)).shape == (0, 0)
