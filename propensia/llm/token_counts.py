@@ -59,7 +59,7 @@ def count_documents(found: DataFrame) -> DataFrame:
     """found: as from find_separators. One row per document: shard, doc_no (from
     0), start, n_tokens (without the separator), terminated. Ids after the last
     separator are a document that isn't terminated; a file without ids has none."""
-    found = found.select("shard", "block", "n", "eods", F.shiftright("block", GROUP_SHIFT).alias("_g"))
+    found = stage(found.select("shard", "block", "n", "eods", F.shiftright("block", GROUP_SHIFT).alias("_g")), "token-separators")   # read twice
     before = Window.partitionBy("shard", "_g").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     group_before = Window.partitionBy("shard").orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
     last = F.when(F.size("eods") > 0, F.element_at("eods", -1))
