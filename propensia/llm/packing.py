@@ -4,7 +4,8 @@ Documents are cut into pieces of at most one sequence; only the pieces' lengths
 matter for packing, and there are at most ``capacity`` different ones. The plan
 is made from the counts of lengths alone: the longest piece left opens a
 sequence; if the gap is the length of a piece on hand, or the sum of two or
-three, that combination closes it exactly; else the best-fitting (longest) piece
+three, that combination closes it exactly (an index says for every sum how many
+pairs of lengths on hand make it); else the best-fitting (longest) piece
 goes in and the smaller gap is tried again. A pattern found in this way is used
 as many times as the counts allow, which uses up one of its lengths, so the plan
 has some ``capacity * log(capacity)`` patterns at most, however many documents
@@ -102,10 +103,25 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
 
 
 class _Lengths:
-    """Counts of lengths on hand, and which of them add up to a gap."""
+    """Counts of lengths on hand, and which of them add up to a gap. pairs[s]: how many
+    pairs of lengths (a length with itself needs two pieces) on hand have the sum s;
+    a single length is its own sum, and a triple is a length and a pair of the rest."""
 
     def __init__(self, counts: np.ndarray):
-        self.left = counts.copy()
+        self.left = np.zeros_like(counts)
+        self.pairs = np.zeros(2 * len(counts), np.int64)
+        for n in np.flatnonzero(counts):
+            self.change(int(n), int(counts[n]))
+
+    def change(self, n: int, by: int) -> None:
+        """by more (or fewer) pieces of length n; the pair sums follow."""
+        had, has = int(self.left[n]), int(self.left[n]) + by
+        if (had > 0) != (has > 0):
+            self.left[n] = 0
+            self.pairs[n + np.flatnonzero(self.left)] += 1 if has > 0 else -1
+        if (had > 1) != (has > 1):
+            self.pairs[2 * n] += 1 if has > 1 else -1
+        self.left[n] = has
 
     def longest(self, most: int) -> int:
         at = np.flatnonzero(self.left[:most + 1])
@@ -113,6 +129,8 @@ class _Lengths:
 
     def pair(self, gap: int, most: int) -> tuple[int, ...]:
         """Two lengths of sum gap, the longer one as long as can be and at most most."""
+        if not self.pairs[gap]:
+            return ()
         a = np.arange(min(most, gap - 1), (gap - 1) // 2, -1)
         ok = (self.left[a] > 0) & (self.left[gap - a] > np.where(2 * a == gap, 1, 0))
         at = np.flatnonzero(ok)
@@ -124,10 +142,10 @@ class _Lengths:
             return (gap,)
         if two := self.pair(gap, gap - 1):
             return two
-        for a in np.flatnonzero(self.left[:gap - 1])[::-1]:
-            if 3 * a < gap:
-                break
-            self.left[a] -= 1
+        longest = np.flatnonzero(self.left[:gap - 1])[::-1]
+        longest = longest[3 * longest >= gap]
+        for a in longest[self.pairs[gap - longest] > 0]:
+            self.left[a] -= 1   # its own piece is no part of the pair
             two = self.pair(gap - int(a), int(a))
             self.left[a] += 1
             if two:
@@ -143,7 +161,7 @@ def pack_plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...],
         take: tuple[int, ...] = (top,)
         while take:
             for n in take:
-                on_hand.left[n] -= 1
+                on_hand.change(n, -1)
                 items.append(n)
                 gap -= n
             take = ()
@@ -154,7 +172,7 @@ def pack_plan(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...],
         need = Counter(items)
         times = 1 + min(int(on_hand.left[n]) // k for n, k in need.items())
         for n, k in need.items():
-            on_hand.left[n] -= (times - 1) * k
+            on_hand.change(n, -(times - 1) * k)
         plan.append((tuple(sorted(items, reverse=True)), times))
     return plan
 
