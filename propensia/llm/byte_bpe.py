@@ -136,3 +136,24 @@ def decode_ids(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids array<int>, data binary")
+
+
+STREAM_IDS = 4096   # ids that a stream brings at a time
+
+
+def decode_texts(encoded: DataFrame, ranks: str, pattern: str, piece_ids: int = STREAM_IDS) -> DataFrame:
+    """All columns of encoded and text, decoded piece by piece as from a stream: a character
+    whose bytes two pieces share is put together, bytes that are no UTF-8 become U+FFFD.
+    Null ids decode to an empty text. A column text of encoded is replaced."""
+    keep = [c for c in encoded.columns if c != "text"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = byte_bpe(ranks, pattern)
+        for batch in slices(batches):
+            ids = batch.column("ids")
+            flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *(len(x) if x.is_valid else 0 for x in ids)])
+            texts = ["".join(bpe.decode_stream(flat[at:min(at + piece_ids, b)] for at in range(a, b, piece_ids))) for a, b in zip(ends, ends[1:])]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string())], names=[*keep, "text"])
+
+    kinds = [f"`{c}` {encoded.schema[c].dataType.simpleString()}" for c in keep]
+    return encoded.select(*keep).mapInArrow(run, ", ".join([*kinds, "text string"]))

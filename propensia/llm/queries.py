@@ -42,10 +42,13 @@ def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = byte_bpe.encode_texts(read(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN, offsets=False)
-    decoded = byte_bpe.decode_ids(encoded, BYTE_RANKS, public_tokenizers.PATTERN)
+    """Besides the digests: n_chars (code points that the offsets cover) and n_split (tokens that end inside a character)."""
+    encoded = byte_bpe.encode_texts(read(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    spans = encoded.select("doc_id", "ids", F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_chars"),
+                           (F.size("ends") - F.size(F.array_distinct("ends"))).cast("long").alias("n_split"))
+    decoded = byte_bpe.decode_texts(spans, BYTE_RANKS, public_tokenizers.PATTERN)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-                          F.sha2("data", 256).alias("decoded_sha256"))
+                          F.sha2("text", 256).alias("decoded_sha256"), "n_chars", "n_split")
 
 
 def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
