@@ -388,9 +388,31 @@ def components(edges: DataFrame) -> DataFrame:
     return state.select(F.col("u").alias("node"), F.col("v").alias("root")).union(state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _unconnected(pairs: DataFrame, blocks: DataFrame, edges: DataFrame) -> DataFrame:
+    """The pairs (x, y) of blocks whose classes aren't all in one component of the edges (u, v) yet."""
+    ends = blocks.join(components(edges).withColumnRenamed("node", "cls"), "cls", "left") \
+        .groupBy("blk").agg(F.min(F.coalesce("root", "cls")).alias("lo"), F.max(F.coalesce("root", "cls")).alias("hi"))
+    for s in "xy":
+        pairs = pairs.join(ends.select(F.col("blk").alias(s), F.col("lo").alias(f"lo_{s}"), F.col("hi").alias(f"hi_{s}")), s)
+    return pairs.where("not (lo_x = hi_x and lo_y = hi_y and lo_x = lo_y)").select("x", "y")
+
+
+def _compare_blocks(pairs: DataFrame, blocks: DataFrame, sets: DataFrame, light: DataFrame, n_links: bool) -> DataFrame:
+    """As _verify_blocks. Where links needn't be counted, a block is compared with itself and
+    the first block it is paired with; of the other pairs only those whose classes are not
+    connected by then: a group of m near copies costs some m / BLOCK comparisons, not their square."""
+    if n_links:
+        return stage(_verify_blocks(pairs, blocks, sets), "join-block-links")
+    star = stage(pairs.where("x = y").union(pairs.where("x < y").groupBy("y").agg(F.min("x").alias("x")).select("x", "y")), "join-star-pairs")
+    first = stage(_verify_blocks(star, blocks, sets), "join-star-links")
+    known = light.select(F.col("a").alias("u"), F.col("b").alias("v")).union(first.where("b is not null").select("a", "b"))
+    rest = stage(_unconnected(pairs.join(star, ["x", "y"], "left_anti"), blocks, known), "join-rest-pairs")
+    return first.union(stage(_verify_blocks(rest, blocks, sets), "join-block-links"))
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_links: bool = True) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (the smallest
-    doc_id reachable by links) and n_links (documents that it links with).
+    doc_id reachable by links) and n_links (documents that it links with; null if not asked for).
 
     A null text or one without words has an empty set and links with nothing
     (it is its own component). Rows of equal sets link, repeated rows too; a null
@@ -414,7 +436,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(blocks.select("cls")).distinct()
     sets = _fetch(docs, classes, wanted)
     light = stage(_verify_pairs(pairs, sets), "join-links")
-    heavy = stage(_verify_blocks(block_pairs, blocks, sets), "join-block-links")
+    heavy = _compare_blocks(block_pairs, blocks, sets, light, n_links)
     edges = light.select(F.col("a").alias("u"), F.col("b").alias("v")).union(heavy.where("b is not null").select("a", "b"))
     links = light.select(F.col("a").alias("cls"), F.col("copies_b").alias("k")).union(light.select("b", "copies_a")) \
         .union(heavy.where("links is not null").select("a", "links")).groupBy("cls").agg(F.sum("k").alias("more"))
@@ -426,7 +448,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
                                                            (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")), "join-sets-done")
     return members.select("doc_id", "n", "dig").join(by_set, "dig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        (F.coalesce("n_links", F.lit(0)) if n_links else F.lit(None)).cast("long").alias("n_links"))
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
@@ -436,7 +458,7 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     own = {c: f"c{i}" for i, c in enumerate(names)}
     with scratch() as kept:
         keyed = with_row_ids(numbered(docs), "near-dedup-docs")
-        found = near_duplicates(keyed, doc_id="_uid", text=own["text"]).select(F.col("doc_id").alias("_uid"), F.col("component_id").alias("_component"))
+        found = near_duplicates(keyed, doc_id="_uid", text=own["text"], n_links=False).select(F.col("doc_id").alias("_uid"), F.col("component_id").alias("_component"))
         groups = stage(found.join(keyed.select("_uid", F.col(own[doc_id]).alias("_id")), "_uid"), "near-dedup-groups")
         keep = groups.groupBy("_component").agg(F.min(F.struct(F.col("_id").isNull().alias("z"), "_id", "_uid")).alias("k")).select(F.col("k._uid").alias("_uid"))
         # The ids that go are mostly the fewer, and staged: Spark knows their size before it plans the join with the texts.

@@ -4,6 +4,7 @@ empty and long texts, ties, repeated rows, empty tables, clashing columns."""
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -161,6 +162,22 @@ def test_ngram_join(spark, monkeypatch, rare, block):
     monkeypatch.setattr(ngram_join, "BLOCK", block)
     out = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.near_duplicates(docs(spark, texts)).collect()}
     assert out == brute_join(texts)
+    alone = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_duplicates(docs(spark, texts), n_links=False).collect()}
+    assert alone == {i: r[:2] for i, r in out.items()}
+
+
+def test_one_large_near_group_is_not_compared_block_by_block(spark, monkeypatch):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(w if i != k else f"x{k}" for i, w in enumerate(words)) for k in rng.sample(range(200), 120)] + ["a b c d e"]
+    monkeypatch.setattr(ngram_join, "RARE", 3)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    compared, verify = [], ngram_join._verify_blocks
+    monkeypatch.setattr(ngram_join, "_verify_blocks", lambda pairs, *rest: compared.append(pairs.count()) or verify(pairs, *rest))
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs(spark, texts), n_links=False).collect()}
+    assert got == {i: r[1] for i, r in brute_join(texts).items()}
+    ngram_join.near_duplicates(docs(spark, texts)).count()
+    assert compared[1] == 0 and 3 * compared[0] < compared[2]
 
 
 def test_ngram_join_odd(spark, odd):
@@ -203,6 +220,14 @@ def test_byte_bpe(spark, odd):
     for r in rows:
         t = texts[r.doc_id] or ""
         assert r.ids == want.encode_ordinary(t) and bytes(r.data).decode() == t
+    encoded = byte_bpe.encode_texts(docs(spark, texts), queries.BYTE_RANKS, P.PATTERN)
+    for size in (1, 3, 4096):   # pieces of one id split every character of several tokens
+        for r in byte_bpe.decode_texts(encoded, queries.BYTE_RANKS, P.PATTERN, size).collect():
+            assert r.text == (texts[r.doc_id] or "") and list(r.ids) == want.encode_ordinary(r.text)
+            assert (r.ends[-1] if r.ends else 0) == len(r.text) and len(r.starts) == len(r.ids)
+    torn = spark.createDataFrame([(1, bpe_ids := want.encode_ordinary("🎉")[:-1]), (2, None)], "doc_id long, ids array<int>")
+    assert bpe_ids and {r.doc_id: r.text for r in byte_bpe.decode_texts(torn, queries.BYTE_RANKS, P.PATTERN, 1).collect()} == \
+        {1: want.decode_bytes(bpe_ids).decode("utf-8", "replace"), 2: ""}
     assert byte_bpe.encode_texts(odd.limit(0), queries.BYTE_RANKS, P.PATTERN).count() == 0
     bpe = byte_bpe.byte_bpe(queries.BYTE_RANKS, P.PATTERN)
     t = "né日🎉x"
@@ -288,6 +313,26 @@ def test_pack_plan(seed):
     assert sum(times for _, times in plan) <= len(gaps)
 
 
+def test_pair_sums_follow_the_counts():
+    rng = np.random.default_rng(8)
+    counts = rng.integers(0, 3, 41)
+    counts[0] = 0
+    on_hand = packing._Lengths(counts)
+    for _ in range(200):
+        n = int(rng.integers(1, 41))
+        on_hand.change(n, -int(rng.integers(0, on_hand.left[n] + 1)) if rng.random() < 0.6 else int(rng.integers(0, 3)))
+        want = np.zeros(82, np.int64)
+        for a in range(1, 41):
+            for b in range(1, a + 1):
+                want[a + b] += bool(on_hand.left[a] and on_hand.left[b] > (a == b))
+        assert np.array_equal(on_hand.pairs, want)
+        gap = int(rng.integers(1, 41))
+        pieces = [int(n) for n in np.repeat(np.arange(41), on_hand.left)]
+        found = on_hand.complement(gap)
+        sums = {sum(c) for k in (1, 2, 3) for c in itertools.combinations(pieces, k)} if len(pieces) < 60 else None
+        assert sum(found) in (0, gap) and (sums is None or bool(found) == (gap in sums))
+
+
 def test_pack_documents(spark, odd):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(queries.WORD_JSON)
