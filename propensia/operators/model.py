@@ -32,9 +32,22 @@ GBT_PARAMS = dict(maxIter=100, stepSize=0.1, maxDepth=6, subsamplingRate=0.8,
                   featureSubsetStrategy="0.8", seed=42)
 
 
+#: Rows up to which a frame stays in the partitions it has: a pass over so few is shorter than the start of its tasks.
+FIT_ROWS = 16_384
+
+
+def _even(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` dealt evenly over the cores if it has, or will come to, more than ``FIT_ROWS`` rows."""
+    return df if rows <= FIT_ROWS else df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def train_gbt(train: DataFrame, feature_cols: Sequence[str], label_col: str,
-              weight_col: str | None = None, **overrides) -> PipelineModel:
-    """M5: gradient-boosted trees on the assembled feature vector."""
+              weight_col: str | None = None, rows: int = 0, **overrides) -> PipelineModel:
+    """M5: gradient-boosted trees on the assembled feature vector.
+
+    The fit passes over the frame once for every level of every tree, and each pass is as long
+    as its largest task. So a frame of many ``rows`` (their number or a bound of it) is written once
+    in parts of one size, one per core; the passes then have no part of its plan to make again."""
     params = dict(GBT_PARAMS)
     params.update(overrides)
     gbt = GBTClassifier(featuresCol="features", labelCol=label_col, **params)
@@ -42,6 +55,9 @@ def train_gbt(train: DataFrame, feature_cols: Sequence[str], label_col: str,
         gbt.setWeightCol(weight_col)
     assembler = VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="keep")
     data = train.withColumn(label_col, F.col(label_col).cast("double"))
+    if rows > FIT_ROWS:
+        kept = [*feature_cols, label_col, *([weight_col] if weight_col else [])]
+        data = stage(_even(data.select(*kept), rows), "fit-rows")
     return Pipeline(stages=[assembler, gbt]).fit(data)
 
 
@@ -68,8 +84,9 @@ def train_targets(frame: DataFrame, feature_cols: Sequence[str], target_cols: Se
     ordered = SQLTransformer(statement=f"SELECT *, {', '.join(f'{c} + 0D AS _at{c}' for c in binned)} FROM __THIS__")
     prepared = Pipeline(stages=[cut, ordered, VectorAssembler(inputCols=[f"_at{c}" for c in binned], outputCol="features")]).fit(frame)
     n = frame.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(t).cast("long")).alias(t) for t in target_cols]).first()
-    ready = stage(prepared.transform(frame).select("features", *[F.col(t).cast("double").alias(t) for t in target_cols],
-                                                   *[class_weight(t, n["n"] - (n[t] or 0), n[t] or 0).alias(f"_weight_{t}") for t in target_cols]), "binned")
+    ready = prepared.transform(frame).select("features", *[F.col(t).cast("double").alias(t) for t in target_cols],
+                                             *[class_weight(t, n["n"] - (n[t] or 0), n[t] or 0).alias(f"_weight_{t}") for t in target_cols])
+    ready = stage(ready, "binned")
 
     @inheritable_thread_target(frame.sparkSession)
     def fit(target: str) -> PipelineModel:
@@ -193,7 +210,8 @@ def oversample_minority(df: DataFrame, feature_cols: Sequence[str], label_col: s
     The neighbours of each minority row are its ``k`` nearest minority rows by z-scored
     features (``nearest_rows``); each synthetic row lies between a row and one of
     them, chosen and weighted by a seeded hash. Every minority row gets
-    floor or ceil of (majority - minority) / minority synthetic rows.
+    floor or ceil of (majority - minority) / minority synthetic rows, made where it
+    lies; so where many are to come, the few minority rows are dealt over the cores first.
     """
     feats = list(feature_cols)
     df = stage(df)  # counted, profiled, ordered and unioned
@@ -209,7 +227,7 @@ def oversample_minority(df: DataFrame, feature_cols: Sequence[str], label_col: s
     near = nearest_rows(ordered.select("_rn", _z_scores(ordered, feats).alias("_v")), "_rn", "_v", k, seed)
     base, extra = divmod(need, n_min)
     reps = F.lit(base) + F.when(F.col("_rn") <= F.lit(extra), 1).otherwise(0)
-    seeds = ordered.select("_rn", *feats, F.explode(F.sequence(F.lit(1), F.greatest(reps, F.lit(1)))).alias("_j"),
+    seeds = _even(ordered, need).select("_rn", *feats, F.explode(F.sequence(F.lit(1), F.greatest(reps, F.lit(1)))).alias("_j"),
                            reps.alias("_reps")).where(F.col("_j") <= F.col("_reps"))
     step = F.pmod(F.xxhash64(F.col("_rn"), F.col("_j"), F.lit(seed)), F.lit(min(k, n_min - 1))) + 1
     seeds = seeds.withColumn("_rank", step.cast("int"))

@@ -52,8 +52,9 @@ def _once(spark, sf_dir, fit):
 
 def _fit_churn(spark, sf_dir):
     df = model_frame(spark, sf_dir)
-    balanced = ml.oversample_minority(_train_rows(df), FEATURES, TARGET).drop("SYNTHETIC")
-    return ml.train_gbt(balanced, FEATURES, TARGET), df
+    train = _train_rows(df)
+    balanced = ml.oversample_minority(train, FEATURES, TARGET).drop("SYNTHETIC")   # at most twice the rows
+    return ml.train_gbt(balanced, FEATURES, TARGET, rows=2 * train.count()), df
 
 
 def _fit(spark, sf_dir):

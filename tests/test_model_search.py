@@ -55,6 +55,35 @@ def test_oversampling_lies_between_neighbours(spark):
     assert again == {(r.a, r.b) for r in made}
 
 
+def rows_by_part(df):
+    return sorted(r[0] for r in df.groupBy(F.spark_partition_id()).count().select("count").collect())
+
+
+def test_synthetic_rows_and_the_fits_frame_are_dealt_evenly(spark, monkeypatch):
+    """Many synthetic rows of few: no partition of what the trees are fitted on holds more than its share."""
+    monkeypatch.setattr(model, "FIT_ROWS", 1000, raising=False)
+    rng = np.random.default_rng(10)
+    rows = [(i, 2024, 1, float(a), float(b), int(i < 40)) for i, (a, b) in enumerate(rng.normal(size=(4000, 2)))]
+    df = spark.createDataFrame(rows, "CUST_NUM long, YEAR int, MONTH int, a double, b double, y int")
+    out = model.oversample_minority(df, ["a", "b"], "y").drop("SYNTHETIC")
+    assert {tuple(r) for r in out.groupBy("y").count().collect()} == {(0, 3960), (1, 3960)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    made = next(i for i, line in enumerate(plan) if "Generate explode" in line)
+    assert any("Repartition 4, true" in line for line in plan[made:made + 4])   # the few rows are dealt before many are made of them
+    fitted_on, fit = [], model.Pipeline.fit
+    monkeypatch.setattr(model.Pipeline, "fit", lambda self, data: (fitted_on.append(data), fit(self, data))[1])
+    model.train_gbt(out, ["a", "b"], "y", rows=8000, maxIter=1)
+    parts = rows_by_part(fitted_on[0])
+    assert sum(parts) == 7920 and len(parts) == 4 and parts[-1] < 1.1 * parts[0]
+    want = {tuple(r): r["count"] for r in out.groupBy("a", "b", "y").count().collect()}
+    assert {tuple(r): r["count"] for r in fitted_on[0].groupBy("a", "b", F.col("y").cast("int").alias("y")).count().collect()} == want
+
+
+def test_a_small_frame_keeps_its_partitions(spark):
+    df = spark.range(100, numPartitions=1)
+    assert model._even(df, 100) is df and model._even(df, model.FIT_ROWS + 1).rdd.getNumPartitions() == 4
+
+
 def test_split_gains_are_the_models_own(spark):
     rng = np.random.default_rng(9)
     df = spark.createDataFrame([(float(a), float(b), 1.0, int(a + 0.3 * b > 0)) for a, b in rng.normal(size=(400, 2))], "a double, b double, c double, y int")
