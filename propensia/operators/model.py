@@ -76,7 +76,7 @@ def train_targets(frame: DataFrame, feature_cols: Sequence[str], target_cols: Se
     """M5 for several 0/1 targets of one frame, both classes of a target weighted alike (M4's ``weightCol``).
 
     The features are cut at their quantiles (one pass, mergeable sketches), assembled and
-    written once; each target's fit reads that table, and the fits run as concurrent jobs.
+    written once, in even parts; each target's fit reads that table, and the fits run as concurrent jobs.
     Each model is whole: bins, vector, trees. A target with one class gives a constant model."""
     binned = [f"_bin_{c}" for c in feature_cols]
     cut = QuantileDiscretizer(inputCols=list(feature_cols), outputCols=binned, numBuckets=bins, relativeError=0.001, handleInvalid="keep")
@@ -86,7 +86,7 @@ def train_targets(frame: DataFrame, feature_cols: Sequence[str], target_cols: Se
     n = frame.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(t).cast("long")).alias(t) for t in target_cols]).first()
     ready = prepared.transform(frame).select("features", *[F.col(t).cast("double").alias(t) for t in target_cols],
                                              *[class_weight(t, n["n"] - (n[t] or 0), n[t] or 0).alias(f"_weight_{t}") for t in target_cols])
-    ready = stage(ready, "binned")
+    ready = stage(_even(ready, n["n"]), "binned")
 
     @inheritable_thread_target(frame.sparkSession)
     def fit(target: str) -> PipelineModel:

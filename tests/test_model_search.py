@@ -79,6 +79,16 @@ def test_synthetic_rows_and_the_fits_frame_are_dealt_evenly(spark, monkeypatch):
     assert {tuple(r): r["count"] for r in fitted_on[0].groupBy("a", "b", F.col("y").cast("int").alias("y")).count().collect()} == want
 
 
+def test_the_frame_of_several_targets_is_dealt_evenly(spark, monkeypatch):
+    monkeypatch.setattr(model, "FIT_ROWS", 1000, raising=False)
+    df = spark.range(4000).selectExpr("cast(id % 97 as double) as a", "int(id % 97 > 60) as y", "int(id % 97 < 9) as z").coalesce(1)
+    fitted_on, fit = [], model.GBTClassifier.fit
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda self, data: (fitted_on.append(data), fit(self, data))[1])
+    found = model.train_targets(df, ["a"], ["y", "z"], maxIter=2)
+    assert [rows_by_part(x) for x in fitted_on] == [[1000] * 4] * 2
+    assert all(model.score(found[t], df).where((F.col("y_proba") >= 0.5).cast("int") != F.col(t)).count() < 120 for t in found)   # bins hold three values
+
+
 def test_a_small_frame_keeps_its_partitions(spark):
     df = spark.range(100, numPartitions=1)
     assert model._even(df, 100) is df and model._even(df, model.FIT_ROWS + 1).rdd.getNumPartitions() == 4
