@@ -56,6 +56,12 @@ def unstage(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def let_go(*frames: DataFrame) -> None:
+    """Remove what stage wrote for these frames: nothing reads them again."""
+    for df in frames:
+        unstage(df.sparkSession, df.staged_at)
+
+
 @contextmanager
 def scratch() -> Iterator[set[str]]:
     """Folders staged inside are removed at the end, but for those whose paths

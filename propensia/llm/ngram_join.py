@@ -12,12 +12,16 @@ two linked sets share at least k tokens, where k = e + 1, so
 2. the others are indexed by their prefix tokens that occur elsewhere: rare ones
    singly, frequent ones as pairs. All pairs are not needed: the frequent
    tokens are dealt into fewer than k classes by hash, so k shared ones put two
-   into one class, and only pairs inside a class are keys;
+   into one class, and only pairs inside a class are keys. A set with fewer than
+   k frequent tokens shares a rare one with every partner and has no pairs: text
+   that many documents hold beside their own puts none of them into long lists.
+   Sets of which too few keys occur elsewhere go once more;
 3. short lists of the index give candidate pairs, which must also share enough
    keys; the sets in long lists (groups of near copies) are put into blocks, and
    blocks that share a long list are compared as matrices, pair of blocks by
    pair of blocks, which returns a spanning forest and counts, not pairs;
-4. candidates are verified on their whole sets, fetched for them alone.
+4. candidates are verified on their whole sets, fetched for them alone, in rounds
+   of bounded size: the disk that a round takes is free before the next one.
 
 Equal sets are one class from the start. Links are joined into components by
 alternating large-star and small-star steps.
@@ -25,8 +29,8 @@ alternating large-star and small-star steps.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, scratch, slices, stage, with_row_ids
+from .common import let_go, numbered, scratch, slices, stage, with_row_ids
 from .vocab import ChunkTable, Runs
 
 WORDS = 4
@@ -46,6 +50,8 @@ BLOCK_TOKENS = 1 << 21   # tokens of their sets: both bound a task's memory
 STRIP = 2048       # tokens of a matrix that compares blocks
 BATCH_ROWS, BATCH_TOKENS = 4096, 1 << 18   # rows and prefix tokens of a batch
 PART_TOKENS = 1 << 20   # prefix tokens that one range counts, on average at most
+ROUND_TOKENS = 1 << 24   # tokens that one round of fetching or comparing sends, or as many as all prefixes have
+LEAST = -(-PERCENT // (100 - PERCENT))   # smaller sets link with equal ones only
 U64 = np.uint64
 
 
@@ -181,7 +187,7 @@ def _linkable(members: DataFrame, repeated: DataFrame) -> DataFrame:
         order = np.argsort(tok)
         tok, frequent, rows, seen = tok[order], frequent[order], [], set()
         for i, (dig, n, blob) in enumerate(zip(own["dig"].to_pylist(), own["n"].to_pylist(), own["prefix"].to_pylist())):
-            if n and dig not in seen and len(tok):
+            if n >= LEAST and dig not in seen and len(tok):
                 p = _tokens(blob)
                 at = np.minimum(np.searchsorted(tok, p), len(tok) - 1)
                 hit = tok[at] == p
@@ -203,9 +209,11 @@ def index_keys(tokens: np.ndarray, frequent: np.ndarray, n: int) -> tuple[np.nda
     """Keys of a set and which of them are rare single tokens."""
     rare, often = tokens[~frequent], tokens[frequent]
     keys, low = [rare], int(shared(smallest_partner(n)))
+    if len(often) < low:   # whatever set it links with, they share a rare token
+        return rare, np.ones(len(rare), bool)
     if shared(smallest_partner(smallest_partner(n))) <= 1:   # a partner may be too small for pairs
         keys.append(often)
-    if low >= 2 and len(often) >= 2:
+    if low >= 2:
         group = mix(often) & U64((1 << ((low - 1).bit_length() - 1)) - 1)   # at most low - 1 classes, nested for all sizes
         order = np.lexsort((often, group))
         often, group = often[order], group[order]
@@ -233,24 +241,35 @@ def _index(classes: DataFrame) -> DataFrame:
     return classes.select("_uid", "n", "toks", "freq").mapInArrow(run, "key bigint, rare boolean, cls bigint, n bigint, fq bigint")
 
 
-def _candidates(postings: DataFrame) -> DataFrame:
-    """a < b of short lists that fit in size and share enough keys."""
-    short = postings.where(F.col("m") <= RARE).select("key", "rare", "cls", "n", "fq")
-    a, b = (short.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rare", "cls", "n", "fq")]) for s in "ab")
+def _shared_sql(n: str) -> str:
+    """shared(n) in SQL."""
+    return f"({n} - ({PERCENT} * {n} + 99) div 100 + 1)"
+
+
+def _promising(postings: DataFrame) -> DataFrame:
+    """The postings of the sets that still have enough tokens which occur in other sets. Up to
+    here a token also counted as repeated if only rows of one and the same set hold it."""
+    enough = postings.groupBy("cls").agg(F.sum(F.col("rare").cast("long")).alias("c"), F.max("fq").alias("q"), F.max("n").alias("n")) \
+        .where(f"c + q >= {_shared_sql(f'(({PERCENT} * n + 99) div 100)')}").select("cls")
+    return postings.join(enough, "cls", "left_semi")
+
+
+def _candidates(own: DataFrame, postings: DataFrame) -> DataFrame:
+    """a < b of short lists that fit in size and share enough keys, a of the postings own, b of all; n: tokens of a."""
+    a, b = (df.where(F.col("m") <= RARE).select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("rare", "cls", "n", "fq")]) for df, s in ((own, "a"), (postings, "b")))
     low, high = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     pairs = a.join(b, "key").where((F.col("cls_a") < F.col("cls_b")) & (100 * low >= PERCENT * high))
-    need = low - F.expr(f"({PERCENT} * least(n_a, n_b) + 99) div 100")
-    need = need + 1
+    need = F.expr(_shared_sql("least(n_a, n_b)"))
     return pairs.groupBy(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).agg(
-        F.sum(F.col("rare_a").cast("long")).alias("c"), F.max(F.least("fq_a", "fq_b")).alias("q"), F.max(need).alias("need")) \
-        .where("c + q >= need").select("a", "b")
+        F.sum(F.col("rare_a").cast("long")).alias("c"), F.max(F.least("fq_a", "fq_b")).alias("q"), F.max(need).alias("need"), F.max("n_a").alias("n")) \
+        .where("c + q >= need").select("a", "b", "n")
 
 
 def _blocks(postings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of the classes in long lists: (cls, blk) and the pairs of blocks (x <= y) that share a long list."""
-    long = postings.where(F.col("m") > RARE).select("key", "cls", "m", "t")
-    home = long.groupBy("cls").agg(F.max(F.struct("m", "key", "t")).alias("h"))   # longest list first: few homes, full blocks
-    blocks = stage(home.select("cls", F.xxhash64("h.key", F.pmod(F.xxhash64("cls"), F.ceil(F.greatest(F.col("h.m") / BLOCK, F.col("h.t") / BLOCK_TOKENS)))).alias("blk")), "join-blocks")
+    """Of the classes in long lists: (cls, blk, n) and the pairs of blocks (x <= y) that share a long list."""
+    long = postings.where(F.col("m") > RARE).select("key", "cls", "n", "m", "t")
+    home = long.groupBy("cls").agg(F.max(F.struct("m", "key", "t")).alias("h"), F.max("n").alias("n"))   # longest list first: few homes, full blocks
+    blocks = stage(home.select("cls", F.xxhash64("h.key", F.pmod(F.xxhash64("cls"), F.ceil(F.greatest(F.col("h.m") / BLOCK, F.col("h.t") / BLOCK_TOKENS)))).alias("blk"), "n"), "join-blocks")
     in_list = stage(long.select("key", "cls").join(blocks, "cls").select("key", "blk").distinct(), "join-block-keys")
     x, y = in_list.withColumnRenamed("blk", "x"), in_list.withColumnRenamed("blk", "y")
     return blocks, stage(x.join(y, "key").where("x <= y").select("x", "y").distinct(), "join-block-pairs")
@@ -260,22 +279,44 @@ def _linked(n_a, n_b, both):
     return (100 * both >= PERCENT * (n_a + n_b - both)) & (both > 0)
 
 
-def _fetch(docs: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
-    """cls, copies, toks (whole sets) of the wanted classes."""
-    who = classes.join(wanted, classes["_uid"] == wanted["cls"]).select("cls", "copies", F.col("doc_id").alias("_d"), F.col("th").alias("_t"))
-    texts = docs.join(who, docs["doc_id"].eqNullSafe(who["_d"]) & (docs["th"] == who["_t"])).select("cls", "copies", "text").dropDuplicates(["cls"])
+def _rounds(df: DataFrame, by: list[str], tokens: int, most: int) -> list[DataFrame]:
+    """df dealt by hash into parts of most tokens each, on average at most; it has so many tokens to send."""
+    n = 1 + int(tokens or 0) // most
+    return [df] if n == 1 else [df.where(F.pmod(F.xxhash64(*by), F.lit(n)) == i) for i in range(n)]
+
+
+def _in_rounds(parts: list[DataFrame], step: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """What step makes of all parts, staged one after the other."""
+    return reduce(DataFrame.union, [stage(step(part), name) for part in parts])
+
+
+def _fetch(docs: DataFrame, who: DataFrame) -> DataFrame:
+    """cls, copies, blk, toks (whole sets) of the classes in who, each of which has a row (_d, _t)."""
+    texts = docs.join(who, docs["doc_id"].eqNullSafe(who["_d"]) & (docs["th"] == who["_t"])).select("cls", "copies", "blk", "text").dropDuplicates(["cls"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             sets = shingle_sets([t or "" for t in b.column("text").to_pylist()])
-            yield _batch({"cls": b.column("cls"), "copies": b.column("copies"), "toks": pa.array([s.tobytes() for s in sets], pa.binary())})
+            yield _batch({c: b.column(c) for c in ("cls", "copies", "blk")} | {"toks": pa.array([s.tobytes() for s in sets], pa.binary())})
+
+    return texts.mapInArrow(run, "cls bigint, copies bigint, blk bigint, toks binary")
 
-    return stage(texts.mapInArrow(run, "cls bigint, copies bigint, toks binary"), "join-sets")
 
+def _verify_pairs(pairs: DataFrame, sets: DataFrame, sent: int, most: int) -> DataFrame:
+    """a, b, copies_a, copies_b of the pairs that link, staged. The sets are dealt by hash, and a round
+    has the pairs of two deals: it sends those two once, and a's set again for each pair; sent: tokens in all."""
+    deals = _rounds(sets, ["cls"], sent, 2 * most)
+    near = []
+    for i, own in enumerate(deals):
+        for j, other in enumerate(deals):
+            part = pairs.where((F.pmod(F.xxhash64("a"), F.lit(len(deals))) == i) & (F.pmod(F.xxhash64("b"), F.lit(len(deals))) == j)) if len(deals) > 1 else pairs
+            near.append(stage(_linked_pairs(part, own, other), "join-links"))
+    return reduce(DataFrame.union, near)
 
-def _verify_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, copies_a, copies_b of the pairs that link."""
-    a, b = (sets.select(F.col("cls").alias(s), F.col("copies").alias(f"copies_{s}"), F.col("toks").alias(f"toks_{s}")) for s in "ab")
+
+def _linked_pairs(pairs: DataFrame, own: DataFrame, other: DataFrame) -> DataFrame:
+    """The pairs that link, with a's set in own and b's in other."""
+    a, b = (sets.select(F.col("cls").alias(s), F.col("copies").alias(f"copies_{s}"), F.col("toks").alias(f"toks_{s}")) for sets, s in ((own, "a"), (other, "b")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in slices(batches):
@@ -336,11 +377,11 @@ def block_links(sets: list[np.ndarray], side: np.ndarray) -> np.ndarray:
     return out
 
 
-def _verify_blocks(pairs: DataFrame, blocks: DataFrame, sets: DataFrame) -> DataFrame:
+def _verify_blocks(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b, links: edges (links null) of a spanning forest of each pair of blocks, and for each class a how many documents it links with (b null)."""
     ends = pairs.select("x", "y", F.explode(F.when(F.col("x") == F.col("y"), F.array(F.struct(F.col("x").alias("blk"), F.lit(0).alias("side"))))
                                             .otherwise(F.array(F.struct(F.col("x").alias("blk"), F.lit(0).alias("side")), F.struct(F.col("y").alias("blk"), F.lit(1).alias("side"))))).alias("e"))
-    rows = ends.select("x", "y", "e.blk", "e.side").join(blocks, "blk").join(sets, "cls").select("x", "y", "side", "cls", "copies", "toks")
+    rows = ends.select("x", "y", "e.blk", "e.side").join(sets.where("blk is not null"), "blk").select("x", "y", "side", "cls", "copies", "toks")
 
     def run(t: pa.Table) -> pa.Table:
         _words().clear()   # no text is read here
@@ -397,17 +438,25 @@ def _unconnected(pairs: DataFrame, blocks: DataFrame, edges: DataFrame) -> DataF
     return pairs.where("not (lo_x = hi_x and lo_y = hi_y and lo_x = lo_y)").select("x", "y")
 
 
-def _compare_blocks(pairs: DataFrame, blocks: DataFrame, sets: DataFrame, light: DataFrame, n_links: bool) -> DataFrame:
-    """As _verify_blocks. Where links needn't be counted, a block is compared with itself and
+def _verify_rounds(pairs: DataFrame, blocks: DataFrame, sets: DataFrame, most: int, name: str) -> DataFrame:
+    """_verify_blocks, staged, a round of pairs at a time: each pair sends both of its blocks' sets."""
+    size = blocks.groupBy("blk").agg(F.sum("n").alias("s"))
+    x, y = (size.select(F.col("blk").alias(k), F.col("s").alias(f"s_{k}")) for k in "xy")
+    sent = pairs.join(x, "x").join(y, "y").agg(F.sum(F.col("s_x") + F.when(F.col("x") < F.col("y"), F.col("s_y")).otherwise(0))).first()[0]
+    return _in_rounds(_rounds(pairs, ["x", "y"], sent, most), lambda part: _verify_blocks(part, sets), name)
+
+
+def _compare_blocks(pairs: DataFrame, blocks: DataFrame, sets: DataFrame, light: DataFrame, n_links: bool, most: int) -> DataFrame:
+    """As _verify_rounds. Where links needn't be counted, a block is compared with itself and
     the first block it is paired with; of the other pairs only those whose classes are not
     connected by then: a group of m near copies costs some m / BLOCK comparisons, not their square."""
     if n_links:
-        return stage(_verify_blocks(pairs, blocks, sets), "join-block-links")
+        return _verify_rounds(pairs, blocks, sets, most, "join-block-links")
     star = stage(pairs.where("x = y").union(pairs.where("x < y").groupBy("y").agg(F.min("x").alias("x")).select("x", "y")), "join-star-pairs")
-    first = stage(_verify_blocks(star, blocks, sets), "join-star-links")
+    first = _verify_rounds(star, blocks, sets, most, "join-star-links")
     known = light.select(F.col("a").alias("u"), F.col("b").alias("v")).union(first.where("b is not null").select("a", "b"))
     rest = stage(_unconnected(pairs.join(star, ["x", "y"], "left_anti"), blocks, known), "join-rest-pairs")
-    return first.union(stage(_verify_blocks(rest, blocks, sets), "join-block-links"))
+    return first.union(_verify_rounds(rest, blocks, sets, most, "join-block-links"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_links: bool = True) -> DataFrame:
@@ -422,31 +471,45 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tokens = members.agg(F.sum(F.length("prefix")) / 8).first()[0] or 0
     sizes = stage(members.where("n > 0").groupBy("dig").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("low")), "join-sizes")
     linkable = _linkable(members, _repeated(_prefix_counts(members, 1 + int(tokens) // PART_TOKENS)))
+    most = max(ROUND_TOKENS, int(tokens))
     classes = with_row_ids(linkable.join(sizes, "dig"), "join-classes")
+    rows = stage(members.select("doc_id", "n", "dig"), "join-rows")
+    let_go(members)
     keys = stage(_index(classes), "join-keys")
+    known = stage(classes.select(F.col("_uid").alias("cls"), "dig", "low", "copies", "n", F.col("doc_id").alias("_d"), F.col("th").alias("_t")), "join-known")
+    let_go(classes)
     lists = stage(keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("t")).where("m > 1"), "join-lists")
-    postings = stage(keys.join(lists, "key"), "join-postings")
+    repeated = stage(keys.join(lists, "key"), "join-repeated")
+    let_go(keys, lists)
+    postings = stage(_promising(repeated), "join-postings")
+    let_go(repeated)
     blocks, block_pairs = _blocks(postings)
     # A pair that a comparison of blocks covers needs no other.
     ends = [blocks.select(F.col("cls").alias(s), F.col("blk").alias(f"blk_{s}")) for s in "ab"]
-    pairs = _candidates(postings).join(ends[0], "a", "left").join(ends[1], "b", "left") \
-        .withColumns({"x": F.least("blk_a", "blk_b"), "y": F.greatest("blk_a", "blk_b"), "_one": F.col("blk_a").isNull() | F.col("blk_b").isNull()})
-    pairs = pairs.join(block_pairs.withColumn("_in", F.lit(True)), ["x", "y"], "left").where(F.col("_one") | F.col("_in").isNull())
-    pairs = stage(pairs.select("a", "b"), "join-pairs")
+
+    def outside(own: DataFrame) -> DataFrame:
+        found = _candidates(own, postings).join(ends[0], "a", "left").join(ends[1], "b", "left") \
+            .withColumns({"x": F.least("blk_a", "blk_b"), "y": F.greatest("blk_a", "blk_b"), "_one": F.col("blk_a").isNull() | F.col("blk_b").isNull()})
+        return found.join(block_pairs.withColumn("_in", F.lit(True)), ["x", "y"], "left").where(F.col("_one") | F.col("_in").isNull()).select("a", "b", "n")
+
+    met = postings.where(F.col("m") <= RARE).agg(F.sum(F.col("m") - 1)).first()[0] or 0   # twice the pairs; one is sent in the bytes of three tokens or so
+    pairs = _in_rounds(_rounds(postings, ["cls"], 3 * met // 2, most), outside, "join-pairs")
+    let_go(postings)
     wanted = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).union(blocks.select("cls")).distinct()
-    sets = _fetch(docs, classes, wanted)
-    light = stage(_verify_pairs(pairs, sets), "join-links")
-    heavy = _compare_blocks(block_pairs, blocks, sets, light, n_links)
+    who = stage(known.join(wanted, "cls").join(blocks.select("cls", "blk"), "cls", "left").select("cls", "copies", "blk", "n", "_d", "_t"), "join-wanted")
+    needed, first = who.agg(F.sum("n")).first()[0] or 0, pairs.agg(F.sum("n")).first()[0] or 0
+    sets = _in_rounds(_rounds(who, ["cls"], needed, most), lambda part: _fetch(docs, part.drop("n")), "join-sets")
+    light = _verify_pairs(pairs.select("a", "b"), sets, 2 * needed + first, most)
+    heavy = _compare_blocks(block_pairs, blocks, sets, light, n_links, most)
     edges = light.select(F.col("a").alias("u"), F.col("b").alias("v")).union(heavy.where("b is not null").select("a", "b"))
     links = light.select(F.col("a").alias("cls"), F.col("copies_b").alias("k")).union(light.select("b", "copies_a")) \
         .union(heavy.where("links is not null").select("a", "links")).groupBy("cls").agg(F.sum("k").alias("more"))
-    known = classes.select(F.col("_uid").alias("cls"), "dig", "low")
-    roots = components(edges).withColumnRenamed("node", "cls").join(known, "cls")
+    roots = components(edges).withColumnRenamed("node", "cls").join(known.select("cls", "dig", "low"), "cls")
     lowest = roots.groupBy("root").agg(F.min("low").alias("component_id"))
     found = stage(roots.join(lowest, "root").join(links, "cls").select("dig", "component_id", "more"), "join-components")
     by_set = stage(sizes.join(found, "dig", "left").select("dig", F.coalesce("component_id", "low").alias("component_id"),
                                                            (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")), "join-sets-done")
-    return members.select("doc_id", "n", "dig").join(by_set, "dig", "left").select(
+    return rows.join(by_set, "dig", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         (F.coalesce("n_links", F.lit(0)) if n_links else F.lit(None)).cast("long").alias("n_links"))
 

@@ -180,6 +180,46 @@ def test_one_large_near_group_is_not_compared_block_by_block(spark, monkeypatch)
     assert compared[1] == 0 and 3 * compared[0] < compared[2]
 
 
+def test_common_passage_beside_own_text_makes_no_blocks(spark, monkeypatch):
+    """A passage in all documents, a quarter of each: no block of unlike documents is compared; near copies of one are."""
+    rng = random.Random(6)
+    common = " ".join(f"c{i}" for i in range(25))
+    texts = [common + " " + " ".join(f"d{i}w{rng.randrange(900)}" for _ in range(75)) for i in range(40)]
+    texts += [t.replace(t.split()[60], "other", 1) for t in texts[:20]] + texts[:5]
+    monkeypatch.setattr(ngram_join, "RARE", 3)
+    compared, verify = [], ngram_join._verify_blocks
+    monkeypatch.setattr(ngram_join, "_verify_blocks", lambda pairs, *rest: compared.append(pairs.count()) or verify(pairs, *rest))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.near_duplicates(docs(spark, texts)).collect()}
+    assert got == brute_join(texts) and len({r[1] for r in got.values()}) == 40
+    assert sum(compared) == 0
+
+
+def test_ngram_join_in_rounds(spark, monkeypatch):
+    """Rounds of some sizes give what one gives, and none sends more than it may, on average."""
+    texts = [t for t in near_texts(4, 3, 14) if len(t) > 60]
+    sent, rounds = [], ngram_join._rounds
+    monkeypatch.setattr(ngram_join, "RARE", 6)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "_rounds", lambda df, by, tokens, most: sent.append(len(out := rounds(df, by, 4, 2 if tokens else 9))) or out)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.near_duplicates(docs(spark, texts)).collect()}
+    assert got == brute_join(texts) and sent.count(3) >= 3
+    df = docs(spark, texts)
+    for tokens, most, n in ((0, 9, 1), (8, 9, 1), (9, 9, 2), (100, 9, 12), (None, 9, 1)):
+        parts = rounds(df, ["doc_id"], tokens, most)
+        assert len(parts) == n and sorted(r.doc_id for part in parts for r in part.collect()) == sorted(r.doc_id for r in df.collect())
+
+
+@pytest.mark.parametrize("n", [5, 6, 13, 40, 400])
+def test_index_keys_of_sets_with_few_frequent_tokens(n):
+    """Sets with fewer frequent tokens than linked sets share are indexed by their rare ones alone, the others by pairs too."""
+    low = int(ngram_join.shared(ngram_join.smallest_partner(n)))
+    size = int(ngram_join.misses(n) + ngram_join.shared(n))
+    tokens = np.sort(np.random.default_rng(n).integers(0, 1 << 62, size).astype(np.uint64))
+    for often in range(size + 1):
+        keys, rare = ngram_join.index_keys(tokens, np.arange(size) < often, n)
+        assert rare.sum() == size - often and (len(keys) > rare.sum()) == (often >= low)
+
+
 def test_ngram_join_odd(spark, odd):
     got = ngram_join.near_duplicates(odd.union(odd.where("doc_id = 8")))
     assert got.count() == 10 and got.where("doc_id = 9 and component_id = 1 and n_links = 3").count() == 1
